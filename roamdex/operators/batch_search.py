@@ -9,7 +9,7 @@ from roamdex import fixed
 from roamdex.functions import text
 from roamdex.operators.joins import spread_join
 from roamdex.operators.postings import Index
-from roamdex.operators.search import idf, tf_norm
+from roamdex.operators.search import best_first, idf, tf_norm
 
 
 def last_word_terms(keywords: DataFrame, keyword: str = "keyword") -> DataFrame:
@@ -99,6 +99,6 @@ def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> Data
         .filter(F.col("got") == F.col("needed"))
         .select("query_id", "doc_id", "score")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    order = Window.partitionBy("query_id").orderBy(*best_first())
     ranked = hits.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= n) if n else ranked

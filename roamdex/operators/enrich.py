@@ -27,7 +27,8 @@ def _merged(per_match: DataFrame) -> DataFrame:
 
     Folded per (document, key) first, so the map gathers distinct keys only.
     """
-    pairs = per_match.select("doc_id", "title", F.explode("kv").alias("key", "value"))
+    # Entries and not the bare column: from that Spark would infer a size filter and work the map out twice.
+    pairs = per_match.select("doc_id", "title", F.inline(F.map_entries("kv")))
     best = pairs.groupBy("doc_id", "key").agg(
         F.max(F.struct("title", "value")).alias("best")
     )

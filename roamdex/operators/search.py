@@ -173,14 +173,16 @@ def _with_weights(index: Index, rows: DataFrame, exact: list[tuple[str, str]]) -
     return rows.join(F.broadcast(stats), ["field", "term"], "left").withColumn("_weight", weight)
 
 
+def _shifted(positions: Column, by: int) -> Column:
+    return F.transform(positions, lambda p: p - by)
+
+
 def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]]) -> DataFrame:
     """Clause scores to document scores, by occurrence rules."""
     scored = per_doc
     for i, (c, ts) in enumerate(kept):
         if c.kind == PHRASE and len(ts) > 1:
-            starts = [
-                F.transform(F.col(f"p{i}_{j}"), lambda p, j=j: p - j) for j in range(len(ts))
-            ]
+            starts = [_shifted(F.col(f"p{i}_{j}"), j) for j in range(len(ts))]
             scored = scored.withColumn(f"f{i}", F.size(reduce(F.array_intersect, starts)))
             weights = reduce(lambda a, b: a + b, [F.col(f"w{i}_{j}") for j in range(len(ts))])
             value = weights * tf_norm(F.col(f"f{i}"), F.col(f"l{i}"), F.col(f"a{i}"))
@@ -202,9 +204,15 @@ def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]]) -> DataF
     return scored.select("doc_id", total.alias("score"))
 
 
+def best_first() -> list[Column]:
+    """Falling score, then document id. Scores are compared to nine decimals, so that copies of a document
+    tie in whatever order their parts were added up."""
+    return [F.round("score", 9).desc(), F.col("doc_id").asc()]
+
+
 def top_hits(hits: DataFrame, n: int) -> DataFrame:
-    """Best ``n`` hits; equal scores by document id."""
-    return hits.orderBy(F.desc("score"), "doc_id").limit(n)
+    """Best ``n`` hits."""
+    return hits.orderBy(*best_first()).limit(n)
 
 
 def hit_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:

@@ -332,7 +332,7 @@ def infobox_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def infobox_map(spark: SparkSession, sf: str) -> DataFrame:
     rows = ib.with_map(ib.infobox_pairs(keyed_dump(spark, sf)))
-    return rows.select("title", F.explode("kv").alias("key", "value"))
+    return rows.select("title", F.inline(F.map_entries("kv")))
 
 
 @query
@@ -425,8 +425,8 @@ _text_search("search_wildcard", C("t?e*n", "other", se.WILDCARD))
 _text_search("search_fuzzy", C("thier", "other", se.FUZZY))
 _text_search("search_range", C("la", "other", se.RANGE, high="le", inclusive=True))
 _page_search("search_prefix", *se.all_of(C("the"), C("https://", "link", se.PREFIX)))
-_page_search("search_phrase", C("and the", kind=se.PHRASE))
-_page_search("search_phrase_or_term", C("is the", kind=se.PHRASE, boost=1.5), C("erthan"))
+_page_search("search_phrase", C("the and", kind=se.PHRASE))
+_page_search("search_phrase_or_term", C("and attion to", kind=se.PHRASE, boost=1.5), C("is"))
 _page_search("search_keyword", *se.keyword_clauses("is on the", LINK_PREFIX))
 
 
@@ -499,7 +499,7 @@ def title_boxes(spark: SparkSession, sf: str) -> DataFrame:
     boxes = titled(spark, sf).select(head.alias("title")).filter(F.col("title") != "").distinct()
     return boxes.select(
         "title",
-        F.create_map(F.lit("title"), F.lit("ignored"), F.lit("cap"), F.upper("title")).alias("kv"),
+        F.create_map(F.lit("title"), F.lit("ignored"), F.lit("cap"), F.concat(F.lit("about "), F.col("title"))).alias("kv"),
     )
 
 
