@@ -9,6 +9,7 @@ from roamdex import fixed
 from roamdex.functions import text
 from roamdex.operators.joins import spread_join
 from roamdex.operators.postings import Index
+from roamdex.session import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 from roamdex.operators.search import best_first, idf, tf_norm
 
 
@@ -53,13 +54,11 @@ def hit_counts(
     # needs its documents made distinct.
     sizes = wanted.groupBy("keyword").agg(F.count(F.lit(1)).alias("k"), F.min("term").alias("term"))
     per_term = found.groupBy("term").agg(F.count(F.lit(1)).alias("hits"))
-    single = sizes.filter("k = 1").join(per_term, "term").select("keyword", "hits")
-    several = (
-        sizes.filter("k > 1").select("keyword").join(wanted, "keyword").join(found, "term")
-        .select("keyword", "doc_id").distinct()
-        .groupBy("keyword").agg(F.count(F.lit(1)).alias("hits"))
-    )
-    counts = single.unionByName(several)
+    counts = sizes.filter("k = 1").join(per_term, "term").select("keyword", "hits")
+    several = sizes.filter("k > 1").select("keyword").join(wanted, "keyword")
+    if not several.isEmpty():
+        documents = several.join(found, "term").select("keyword", "doc_id").distinct()
+        counts = counts.unionByName(documents.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits")))
     return (
         keywords.select(F.col("keyword"))
         .distinct()
@@ -91,7 +90,9 @@ def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> Data
         )
     )
     postings = index.postings.select("field", "term", "doc_id", "tf", "doc_len")
-    matched = spread_join(postings, weighted, ["field", "term"], ["doc_id"])
+    # ``weighted`` has at most one row per row of ``asked``, which is cheap to measure.
+    small = fits_broadcast(asked, max_rows=BROADCAST_ROWS // 4, max_bytes=BROADCAST_BYTES // 4)
+    matched = spread_join(postings, weighted, ["field", "term"], ["doc_id"], small_fits=small)
     weight = F.col("boost") * F.col("_idf") * tf_norm(F.col("tf"), F.col("doc_len"), F.col("_avg"))
     hits = (
         matched.groupBy("query_id", "doc_id")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,25 +54,79 @@ def section_pattern(name: str) -> str:
     return rf"(?s){literal}{mark}.*?(?<!{word})(?={word}++{mark})"
 
 
-def sections(clean: Column, names: Sequence[str], cap: int = fixed.TEXT_CAP) -> Column:
-    """Map of section name to the text of its first section, for the names the page has."""
+def _ends_with(name: str) -> Callable[[Column], Column]:
+    return lambda piece: F.endswith(piece, F.lit(name))
 
-    def one(name: str) -> Column:
-        body = text.squeeze_newlines(F.regexp_extract(clean, section_pattern(name), 0))
-        # The cheap containment test spares absent names the pattern search.
-        present = F.contains(clean, F.lit(name + fixed.EDIT_MARK))
-        return F.struct(
-            F.lit(name).alias("key"),
-            F.when(present, F.substring(body, 1, cap)).otherwise("").alias("value"),
-        )
 
-    found = F.filter(F.array(*[one(n) for n in dict.fromkeys(names)]), lambda s: s["value"] != "")
-    return F.map_from_entries(found)
+def with_sections(
+    pages: DataFrame, clean: str, names: Sequence[str], cap: int = fixed.TEXT_CAP
+) -> DataFrame:
+    """Add ``paragraphs``: a map of section name to the text of its first section, for the names a page has.
+
+    The text is cut at its edit marks once and all names are looked up in the pieces. A section runs from the
+    first mark whose piece ends in the name to the next mark whose piece ends in a word, without that word.
+    Several projections, so that the pieces are made once and not once per name.
+    """
+    word = r"[\p{L}\p{N}_]"
+    mark = fixed.EDIT_MARK
+    cut = pages.withColumn("_pieces", F.split(clean, re.escape(mark), -1))
+    cut = cut.withColumn("_heads", F.slice("_pieces", 1, F.size("_pieces") - 1)).withColumn(
+        "_bodies", F.transform("_pieces", lambda p: F.regexp_replace(p, rf"(?<!{word}){word}++\z", ""))
+    )
+    ends_in_word = F.transform(
+        "_heads",
+        lambda h, i: F.when(F.octet_length(F.get("_bodies", i)) < F.octet_length(h), i + 1),
+    )
+    starts = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("name"),
+                F.array_position(F.transform("_heads", _ends_with(n)), True)
+                .cast("int")
+                .alias("at"),
+            )
+            for n in dict.fromkeys(names)
+        ]
+    )
+    cut = cut.withColumn("_stops", F.array_compact(ends_in_word)).withColumn("_starts", starts)
+    spans = F.transform(
+        F.filter("_starts", lambda s: s["at"] > 0),
+        lambda s: F.struct(
+            s["name"].alias("name"),
+            s["at"].alias("at"),
+            F.get(F.filter("_stops", lambda j: j > s["at"]), F.lit(0)).alias("stop"),
+        ),
+    )
+
+    def entry(s: Column) -> Column:
+        whole = F.slice("_pieces", s["at"] + 1, s["stop"] - 1 - s["at"])
+        body = F.array_join(F.concat(whole, F.array(F.get("_bodies", s["stop"] - 1))), mark)
+        return F.struct(s["name"], F.substring(text.squeeze_newlines(F.concat(s["name"], F.lit(mark), body)), 1, cap))
+
+    found = F.map_from_entries(F.transform(F.filter(spans, lambda s: s["stop"].isNotNull()), entry))
+    return cut.select(*pages.columns, found.alias("paragraphs"))
 
 
 def remainder(clean: Column, names: Sequence[str], cap: int = fixed.TEXT_CAP) -> Column:
-    """The text left after taking out every section of each name, one name after the other."""
-    rest = reduce(lambda c, n: F.regexp_replace(c, section_pattern(n), ""), names, clean)
+    """The text left after taking out every section of each name, one name after the other.
+
+    A name the text does not hold costs a byte search, not a pattern search.
+    """
+    steps = F.array(
+        *[
+            F.struct(
+                F.lit(n + fixed.EDIT_MARK).alias("heading"), F.lit(section_pattern(n)).alias("pattern")
+            )
+            for n in names
+        ]
+    )
+    rest = F.aggregate(
+        steps,
+        clean,
+        lambda left, s: F.when(
+            F.contains(left, s["heading"]), F.regexp_replace(left, s["pattern"], F.lit(""))
+        ).otherwise(left),
+    ) if names else clean
     return F.substring(text.squeeze_newlines(rest), 1, cap)
 
 
@@ -89,11 +142,11 @@ def extract_documents(
         text.strip_tags(F.col("raw")).alias("_clean"),
         F.regexp_extract("raw", fixed.CRUMB_LINE, 0).alias("_crumbs"),
     )
-    base = clean.select(
+    base = with_sections(clean, "_clean", names, cap).select(
         text.first_line(F.col("raw")).alias("link"),
         title(F.col("raw")).alias("title"),
         crumbs_of(F.col("_crumbs")).alias("categories"),
-        sections(F.col("_clean"), names, cap).alias("paragraphs"),
+        "paragraphs",
         remainder(F.col("_clean"), names, cap).alias("other"),
     )
     return base.select(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roamdex.functions import text
@@ -70,23 +70,31 @@ def field_terms(documents: DataFrame, specs: Sequence[FieldSpec], doc_id: str =
     )
 
 
-def _term_runs(rows: DataFrame, positions: bool) -> DataFrame:
+Test = Callable[[Column, Column], Column]  # of (field, term)
+
+
+def _term_runs(rows: DataFrame, positions: bool, keep: Test | None) -> DataFrame:
     """Postings of rows from ``field_terms``, worked out inside each row.
 
     A document's terms are sorted in place and cut where the term changes, so counting needs no shuffle;
     what would be the largest exchange of an index build does not happen. The projections are kept apart so
     that each array is made once.
     """
+    entries = F.col("terms")
     if positions:
-        key = F.transform("terms", lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
-        term_at = lambda i: F.get("_sorted", i)["term"]
-    else:
-        key = F.col("terms")
-        term_at = lambda i: F.get("_sorted", i)
-    cut = rows.select("doc_id", "field", F.size("terms").alias("doc_len"), F.sort_array(key).alias("_sorted"))
+        entries = F.transform(entries, lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+
+    def term_of(entry: Column) -> Column:
+        return entry["term"] if positions else entry
+
+    if keep:
+        entries = F.filter(entries, lambda e: keep(F.col("field"), term_of(e)))
+    cut = rows.select("doc_id", "field", F.size("terms").alias("doc_len"), F.sort_array(entries).alias("_sorted"))
+    n = F.size("_sorted")
+    # A term ends where the next one differs; past the last there is none. No terms kept: no ends.
     ends = F.filter(
-        F.sequence(F.lit(1), F.col("doc_len")),
-        lambda i: (i == F.col("doc_len")) | (term_at(i) != term_at(i - 1)),
+        F.when(n > 0, F.sequence(F.lit(1), n)),
+        lambda i: ~term_of(F.get("_sorted", i)).eqNullSafe(term_of(F.get("_sorted", i - 1))),
     )
     cut = cut.withColumn("_ends", ends)
 
@@ -98,7 +106,7 @@ def _term_runs(rows: DataFrame, positions: bool) -> DataFrame:
             else F.lit(None).cast("array<int>")
         )
         return F.struct(
-            term_at(end - 1).alias("term"), (end - start).alias("tf"), where.alias("positions")
+            term_of(F.get("_sorted", end - 1)).alias("term"), (end - start).alias("tf"), where.alias("positions")
         )
 
     runs = cut.select("field", "doc_id", "doc_len", F.explode(F.transform("_ends", run)).alias("_r"))
@@ -106,14 +114,20 @@ def _term_runs(rows: DataFrame, positions: bool) -> DataFrame:
 
 
 def build_postings(
-    documents: DataFrame, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS, doc_id: str = "doc_id"
+    documents: DataFrame,
+    specs: Sequence[FieldSpec] = DOCUMENT_FIELDS,
+    doc_id: str = "doc_id",
+    keep: Test | None = None,
 ) -> DataFrame:
-    """``field, term, doc_id, tf, doc_len, positions``: one row per field, term and document."""
+    """``field, term, doc_id, tf, doc_len, positions``: one row per field, term and document.
+
+    With ``keep`` only terms that pass the test are counted and given.
+    """
     parts = []
     for positions in (True, False):
         group = [s for s in specs if s.positions == positions]
         if group:
-            parts.append(_term_runs(field_terms(documents, group, doc_id), positions))
+            parts.append(_term_runs(field_terms(documents, group, doc_id), positions, keep))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -144,12 +158,22 @@ class Index:
     fields: DataFrame
     specs: tuple[FieldSpec, ...] = DOCUMENT_FIELDS
 
-    @classmethod
+    @staticmethod
     def build(
-        cls, documents: DataFrame, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS, doc_id: str = "doc_id"
-    ) -> Index:
+        documents: DataFrame, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS, doc_id: str = "doc_id"
+    ) -> LiveIndex:
         postings = build_postings(documents, specs, doc_id)
-        return cls(postings, term_stats(postings), field_stats(documents, specs, doc_id), tuple(specs))
+        fields = field_stats(documents, specs, doc_id)
+        return LiveIndex(postings, term_stats(postings), fields, tuple(specs), documents, doc_id)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS) -> Index:
+        return cls(
+            spark.read.parquet(f"{path}/postings"),
+            spark.read.parquet(f"{path}/terms"),
+            spark.read.parquet(f"{path}/fields"),
+            tuple(specs),
+        )
 
     def write(self, path: str, partitions: int | None = None) -> None:
         """Write the three tables, postings in (field, term, doc_id) order.
@@ -158,28 +182,79 @@ class Index:
         term as well, as ``doc_id`` is part of the order.
         """
         order = ["field", "term", "doc_id"]
-        ranged = (
-            self.postings.repartitionByRange(partitions, *order)
-            if partitions
-            else self.postings.repartitionByRange(*order)
-        )
-        ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/postings")
+        ranges = (partitions, *order) if partitions else order
+        ranged = self.postings.repartitionByRange(*ranges).sortWithinPartitions(*order)
+        ranged.write.mode("overwrite").parquet(f"{path}/postings")
         spark = self.postings.sparkSession
-        stored = spark.read.parquet(f"{path}/postings")
-        term_stats(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/terms")
+        # The stored postings are sorted, so a term's rows meet in few map tasks and fold before the shuffle.
+        terms = term_stats(spark.read.parquet(f"{path}/postings"))
+        terms = terms.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
+        terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.fields.write.mode("overwrite").parquet(f"{path}/fields")
 
-    @classmethod
-    def read(cls, spark: SparkSession, path: str, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS) -> Index:
-        return cls(
-            spark.read.parquet(f"{path}/postings"),
-            spark.read.parquet(f"{path}/terms"),
-            spark.read.parquet(f"{path}/fields"),
-            tuple(specs),
-        )
+    def stored(self, path: str) -> Index:
+        """Write to ``path`` and read back."""
+        self.write(path)
+        return Index.read(self.postings.sparkSession, path, self.specs)
 
     def analyzer(self, field: str) -> str:
         """Analyzer of a field; names that are no column of their own come from the text maps."""
         return next((s.analyzer for s in self.specs if s.name == field and s.shape != MAP), "standard")
+
+    def has_positions(self, field: str) -> bool:
+        return any(s.positions for s in self.specs if s.name == field)
+
+    def matching(self, test: Test, fields: Sequence[str], terms: Sequence[str] | None = None) -> DataFrame:
+        """Postings that pass the test. ``fields`` and ``terms`` name all it can match and are there for the
+        parquet reader, which skips row groups by them."""
+        rows = self.postings.filter(F.col("field").isin(list(fields)))
+        if terms is not None:
+            rows = rows.filter(F.col("term").isin(list(terms)))
+        return rows.filter(test(F.col("field"), F.col("term")))
+
+    def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
+        """``field, term, df, n_docs, total_len`` of the given terms, at most one row per field and term."""
+        wanted = F.col("field").isin(list(fields))
+        df = self.terms.filter(wanted & F.col("term").isin(list(terms))).select("field", "term", "df")
+        return df.join(self.fields.filter(wanted), "field")
+
+
+@dataclass(frozen=True)
+class LiveIndex(Index):
+    """Index over documents that were not indexed before.
+
+    A search tests terms inside each document and lets only those it asks for out, so it sorts and moves
+    none of the others.
+    """
+
+    documents: DataFrame | None = None
+    doc_id: str = "doc_id"
+
+    def _specs_of(self, fields: Sequence[str]) -> list[FieldSpec]:
+        """The columns that can hold the fields: their own, and the maps when a name is no column."""
+        own = [s for s in self.specs if s.shape != MAP and s.name in fields]
+        maps = [s for s in self.specs if s.shape == MAP]
+        return own if {s.name for s in own} == set(fields) else own + maps
+
+    def matching(self, test: Test, fields: Sequence[str], terms: Sequence[str] | None = None) -> DataFrame:
+        return build_postings(self.documents, self._specs_of(fields), self.doc_id, keep=test)
+
+    def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
+        """One pass: each document gives a row per field without a term, for the totals, and one per term."""
+        rows = field_terms(self.documents, self._specs_of(fields), self.doc_id)
+        asked = F.array(*[F.lit(t) for t in terms])
+        found = F.concat(F.array(F.lit(None).cast("string")), F.array_intersect("terms", asked))
+        sums = (
+            rows.select("field", F.size("terms").alias("doc_len"), F.explode(found).alias("term"))
+            .groupBy("field", "term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("doc_len").alias("total_len"))
+        )
+        # A field's few sums: its total and one per asked term.
+        total = Window.partitionBy("field")
+        return sums.select(
+            "field",
+            "term",
+            "df",
+            F.max(F.when(F.col("term").isNull(), F.col("df"))).over(total).alias("n_docs"),
+            F.max(F.when(F.col("term").isNull(), F.col("total_len"))).over(total).alias("total_len"),
+        ).filter(F.col("term").isNotNull() & F.col("field").isin(list(fields)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roamdex import fixed
 from roamdex.functions import text
-from roamdex.operators.postings import Index
+from roamdex.operators.postings import Index, Test
 
 MUST, SHOULD, MUST_NOT = "must", "should", "must_not"
 TERM, PHRASE, PREFIX, WILDCARD, FUZZY, RANGE = "term", "phrase", "prefix", "wildcard", "fuzzy", "range"
@@ -75,99 +75,85 @@ def _glob(pattern: str) -> str:
     return r"(?s)\A" + "".join(parts.get(ch, re.sub(r"([^\w])", r"\\\1", ch)) for ch in pattern) + r"\z"
 
 
-def _term_test(clause: Clause, standard: bool) -> Column:
-    """Test on ``term`` for the clause kinds that match many terms."""
-    term = F.col("term")
-    low = clause.text.lower() if standard else clause.text
-    if clause.kind == PREFIX:
-        return F.startswith(term, F.lit(low))
-    if clause.kind == WILDCARD:
-        fixed_part = re.split(r"[*?]", low)[0]
-        return F.startswith(term, F.lit(fixed_part)) & term.rlike(_glob(low))
-    if clause.kind == FUZZY:
-        return F.levenshtein(term, F.lit(low), fixed.FUZZY_EDITS) >= 0
-    if clause.kind == RANGE:
-        high = clause.high.lower() if standard else clause.high
-        if clause.inclusive:
-            return (term >= low) & (term <= high)
-        return (term > low) & (term < high)
-    raise ValueError(f"unknown clause kind {clause.kind}")
+def _test(clause: Clause, terms: list[str], standard: bool) -> Test:
+    """What a posting must be to count for a clause."""
+    low, high = clause.text, clause.high
+    if standard:
+        low, high = low.lower(), high.lower() if high else high
+
+    def holds(term: Column) -> Column:
+        if clause.kind in (TERM, PHRASE):
+            return term.isin(terms)
+        if clause.kind == PREFIX:
+            return F.startswith(term, F.lit(low))
+        if clause.kind == WILDCARD:
+            return F.startswith(term, F.lit(re.split(r"[*?]", low)[0])) & term.rlike(_glob(low))
+        if clause.kind == FUZZY:
+            return F.levenshtein(term, F.lit(low), fixed.FUZZY_EDITS) >= 0
+        if clause.kind == RANGE:
+            return (term >= low) & (term <= high) if clause.inclusive else (term > low) & (term < high)
+        raise ValueError(f"unknown clause kind {clause.kind}")
+
+    return lambda field, term: (field == clause.field) & holds(term)
 
 
 def search(index: Index, clauses: Sequence[Clause]) -> DataFrame:
     """``doc_id, score`` of every matching document.
 
-    One filtered scan of the postings (field and term tests reach the parquet reader), one shuffle by
-    document. Term statistics join in for the query's own terms only, at most one row per term asked for,
-    which bounds their broadcast.
+    One pass over the postings the clauses can match (field and term tests reach the parquet reader of a
+    stored index), one shuffle by document. Term statistics join in for the query's own terms only, at most
+    one row per term asked for, which bounds their broadcast.
     """
-    if not any(c.occur != MUST_NOT for c in clauses):
-        raise ValueError("a query needs a clause that is not must_not")
-    queried = _analysed(index, clauses)
-    kept = [(c, t) for c, t in zip(clauses, queried) if t]
-    clauses = [c for c, _ in kept]
-    terms = [t for _, t in kept]
-    for c, t in kept:
-        if c.kind == PHRASE and len(t) > 1 and not _has_positions(index, c.field):
-            raise ValueError(f"field {c.field} is indexed without positions")
-
-    def in_field(c: Clause) -> Column:
-        return F.col("field") == c.field
-
-    exact = sorted({(c.field, t) for c, ts in kept if c.kind in (TERM, PHRASE) for t in ts})
-    tests = []
+    kept = [(c, t) for c, t in zip(clauses, _analysed(index, clauses)) if t]
+    if all(c.occur == MUST_NOT for c, _ in kept):
+        raise ValueError("a query needs a clause with terms that is not must_not")
     for c, ts in kept:
-        if c.kind in (TERM, PHRASE):
-            tests.append(in_field(c) & F.col("term").isin(ts))
-        else:
-            tests.append(in_field(c) & _term_test(c, index.analyzer(c.field) == "standard"))
-
-    rows = index.postings.filter(F.col("field").isin(sorted({c.field for c in clauses})))
-    if all(c.kind in (TERM, PHRASE) for c in clauses):
-        rows = rows.filter(F.col("term").isin(sorted({t for _, t in exact})))
-    rows = rows.filter(reduce(or_, tests))
-    rows = _with_weights(index, rows, exact)
+        if c.kind == PHRASE and len(ts) > 1 and not index.has_positions(c.field):
+            raise ValueError(f"field {c.field} is indexed without positions")
+    tests = [_test(c, ts, index.analyzer(c.field) == "standard") for c, ts in kept]
+
+    def any_test(field: Column, term: Column) -> Column:
+        return reduce(or_, [t(field, term) for t in tests])
+
+    fields = sorted({c.field for c, _ in kept})
+    exact = [(c.field, t) for c, ts in kept if c.kind in (TERM, PHRASE) for t in ts]
+    scored_fields, terms = sorted({f for f, _ in exact}), sorted({t for _, t in exact})
+    only_exact = all(c.kind in (TERM, PHRASE) for c, _ in kept)
+    rows = index.matching(any_test, fields, terms if only_exact else None)
+    if exact:
+        rows = _weighted(rows, index.statistics(scored_fields, terms))
+    else:
+        rows = rows.withColumn("_weight", F.lit(None).cast("double"))
+    field, term = F.col("field"), F.col("term")
 
     aggs = []
     for i, (c, ts) in enumerate(kept):
+        here = tests[i](field, term)
         if c.kind == PHRASE and len(ts) > 1:
             for j, t in enumerate(ts):
-                here = in_field(c) & (F.col("term") == t)
+                slot = here & (term == t)
                 aggs += [
-                    F.max(F.when(here, F.col("positions"))).alias(f"p{i}_{j}"),
-                    F.max(F.when(here, F.col("_idf"))).alias(f"w{i}_{j}"),
+                    F.max(F.when(slot, F.col("positions"))).alias(f"p{i}_{j}"),
+                    F.max(F.when(slot, F.col("_idf"))).alias(f"w{i}_{j}"),
                 ]
             aggs += [
-                F.max(F.when(tests[i], F.col("doc_len"))).alias(f"l{i}"),
-                F.max(F.when(tests[i], F.col("_avg"))).alias(f"a{i}"),
+                F.max(F.when(here, F.col("doc_len"))).alias(f"l{i}"),
+                F.max(F.when(here, F.col("_avg"))).alias(f"a{i}"),
             ]
         elif c.kind in (TERM, PHRASE):
-            aggs.append(F.sum(F.when(tests[i], F.col("_weight"))).alias(f"s{i}"))
+            aggs.append(F.sum(F.when(here, F.col("_weight"))).alias(f"s{i}"))
         else:
-            aggs.append(F.max(F.when(tests[i], F.lit(1.0))).alias(f"s{i}"))
-    per_doc = rows.groupBy("doc_id").agg(*aggs)
-    return _combined(per_doc, kept)
-
-
-def _has_positions(index: Index, field: str) -> bool:
-    return any(s.positions for s in index.specs if s.name == field)
+            aggs.append(F.max(F.when(here, F.lit(1.0))).alias(f"s{i}"))
+    return _combined(rows.groupBy("doc_id").agg(*aggs), kept)
 
 
-def _with_weights(index: Index, rows: DataFrame, exact: list[tuple[str, str]]) -> DataFrame:
+def _weighted(rows: DataFrame, statistics: DataFrame) -> DataFrame:
     """Add ``_idf``, ``_avg`` and ``_weight`` to postings of the exact terms."""
-    if not exact:
-        return rows
-    wanted = reduce(or_, [(F.col("field") == f) & (F.col("term") == t) for f, t in exact])
-    fields = F.col("field").isin(sorted({f for f, _ in exact}))
-    stats = (
-        index.terms.filter(wanted)
-        .join(index.fields.filter(fields), "field")
-        .select(
-            "field",
-            "term",
-            idf(F.col("n_docs"), F.col("df")).alias("_idf"),
-            (F.col("total_len") / F.col("n_docs")).alias("_avg"),
-        )
+    stats = statistics.select(
+        "field",
+        "term",
+        idf(F.col("n_docs"), F.col("df")).alias("_idf"),
+        (F.col("total_len") / F.col("n_docs")).alias("_avg"),
     )
     weight = F.col("_idf") * tf_norm(F.col("tf"), F.col("doc_len"), F.col("_avg"))
     return rows.join(F.broadcast(stats), ["field", "term"], "left").withColumn("_weight", weight)

@@ -15,6 +15,7 @@ from roamdex.operators import links as li
 from roamdex.operators import pages as pg
 from roamdex.operators.batch_search import hit_counts
 from roamdex.operators.postings import DOCUMENT_FIELDS, FieldSpec, Index
+from roamdex.session import cut_lineage, spread_small
 from roamdex.sources import readers, writers
 
 
@@ -30,6 +31,7 @@ def build_collection(
     from a table that survives lost executors.
     """
     spark = pages.sparkSession
+    pages = spread_small(pages, "url_key")
     writers.write_documents(pg.extract_documents(pages, names), f"{out}/documents", mode="overwrite")
     documents = spark.read.parquet(f"{out}/documents")
     writers.write_gazetteer(pg.gazetteer(documents), f"{out}/gazetteer")
@@ -73,7 +75,8 @@ def evaluate_counts(
     """
     predicted = hit_counts(index, keywords, prefix).withColumnRenamed("hits", "predicted")
     known = truth.select("keyword", F.coalesce(F.col("truth").try_cast("int"), F.lit(0)).alias("truth"))
-    rows = ev.paired(known, predicted)
+    # Read three times below; a row per keyword, stored once.
+    rows = cut_lineage(ev.paired(known, predicted))
     precision = ev.average_precision(rows, F.col("truth") > 0, "predicted")
     recall = ev.macro_recall(rows)
     parts = [

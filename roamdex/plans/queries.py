@@ -6,6 +6,7 @@ built from whole table rows by a column expression, the same on both sides of th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,7 @@ from roamdex.operators.postings import (
     term_stats,
 )
 from roamdex.plans.jobs import evaluate_counts
+from roamdex.session import shared_folder, spread_small
 from roamdex.sources.writers import heading_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,8 +53,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; text tables of a few row groups are spread over the cores by their key."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,16 +109,15 @@ def wrapped_documents(spark: SparkSession, sf: str) -> DataFrame:
         if i < len(names):
             body = F.coalesce(F.get("lines", F.lit(i - 1)), F.lit(""))
         else:
-            body = F.array_join(F.slice("lines", i, 2**31 - 1), "\n")
+            body = F.array_join(F.slice("lines", i, F.size("lines")), "\n")
         parts += [F.lit(f"{name}{fixed.EDIT_MARK}\n"), body, F.lit("\n")]
     return lines.select("doc_id", F.concat(*parts, F.lit(f"End{fixed.EDIT_MARK}\n")).alias("clean"))
 
 
 @query
 def page_sections(spark: SparkSession, sf: str) -> DataFrame:
-    found = wrapped_documents(spark, sf).select(
-        "doc_id", F.explode(pg.sections(F.col("clean"), fixed.SECTION_NAMES)).alias("name", "body")
-    )
+    found = pg.with_sections(wrapped_documents(spark, sf), "clean", fixed.SECTION_NAMES)
+    found = found.select("doc_id", F.inline(F.map_entries("paragraphs")).alias("name", "body"))
     return found.select(
         "doc_id", "name", F.md5("body").alias("body_md5"), F.length("body").cast("bigint").alias("body_chars")
     )
@@ -119,8 +125,8 @@ def page_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def page_sections_count(spark: SparkSession, sf: str) -> DataFrame:
-    found = wrapped_documents(spark, sf).withColumn("p", pg.sections(F.col("clean"), fixed.SECTION_NAMES))
-    return found.select("doc_id", F.size(F.map_keys("p")).cast("bigint").alias("num_cat"))
+    found = pg.with_sections(wrapped_documents(spark, sf), "clean", fixed.SECTION_NAMES)
+    return found.select("doc_id", F.size(F.map_keys("paragraphs")).cast("bigint").alias("num_cat"))
 
 
 @query
@@ -479,7 +485,8 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.lit("other").alias("field"),
         F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("term"), F.lit(False).alias("required"),
     )
-    best = bs.search_batch(text_index(spark, sf), asked, HITS)
+    index = text_index(spark, sf).stored(f"{shared_folder(spark)}/{uuid.uuid4()}")
+    best = bs.search_batch(index, asked, HITS)
     return best.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 

@@ -28,13 +28,11 @@ def build_session(master: str | None = None, app: str = "roamdex", **conf: str)
     return b.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: the one already set, else ``spark.checkpoint.dir``.
 
-    The folder is the session's own (``spark.checkpoint.dir`` or one already set). A temporary folder
-    is made only where none is set and everything runs in one local JVM.
+    A temporary folder is made only where neither is set and everything runs in one local JVM.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,9 +41,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="roamdex-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer partitions than there are cores over all of them, by ``keys``.
+
+    Such a scan is small (its partitions are no larger than ``spark.sql.files.maxPartitionBytes``), and text
+    work on it would leave cores idle. A larger scan is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (rows and string bytes, one map-side combined aggregate) against the broadcast bounds."""
     width = F.lit(0).cast("bigint")
