@@ -54,6 +54,11 @@ def section_pattern(name: str) -> str:
     return rf"(?s){literal}{mark}.*?(?<!{word})(?={word}++{mark})"
 
 
+def no_fields() -> Column:
+    """An empty map of text fields."""
+    return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+
+
 def _ends_with(name: str) -> Callable[[Column], Column]:
     return lambda piece: F.endswith(piece, F.lit(name))
 
@@ -67,6 +72,8 @@ def with_sections(
     first mark whose piece ends in the name to the next mark whose piece ends in a word, without that word.
     Several projections, so that the pieces are made once and not once per name.
     """
+    if not names:
+        return pages.withColumn("paragraphs", no_fields())
     word = r"[\p{L}\p{N}_]"
     mark = fixed.EDIT_MARK
     cut = pages.withColumn("_pieces", F.split(clean, re.escape(mark), -1))
@@ -157,9 +164,7 @@ def extract_documents(
         "categories",
         "paragraphs",
         "other",
-        F.map_from_arrays(
-            F.array().cast("array<string>"), F.array().cast("array<string>")
-        ).alias("extra"),
+        no_fields().alias("extra"),
     )
 
 

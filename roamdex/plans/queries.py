@@ -516,10 +516,9 @@ def title_phrase_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrichable(spark: SparkSession, sf: str) -> DataFrame:
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     return titled(spark, sf).select(
         "doc_id", "link", "title", F.lit(0).alias("num_cat"), F.array().cast("array<string>").alias("categories"),
-        empty.alias("paragraphs"), F.lit("").alias("other"), empty.alias("extra"),
+        pg.no_fields().alias("paragraphs"), F.lit("").alias("other"), pg.no_fields().alias("extra"),
     )
 
 
