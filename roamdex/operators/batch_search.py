@@ -79,10 +79,10 @@ def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> Data
     )
     needed = asked.groupBy("query_id").agg(F.sum("required").alias("needed"))
     # The statistics of all asked terms, joined to the queries before they meet the postings.
+    statistics = index.terms.select("field", "term", "df").join(index.fields, "field")
     weighted = (
         asked.join(needed, "query_id")
-        .join(index.terms.select("field", "term", "df"), ["field", "term"])
-        .join(index.fields, "field")
+        .join(statistics, ["field", "term"])
         .select(
             "query_id", "field", "term", "required", "needed", "boost",
             idf(F.col("n_docs"), F.col("df")).alias("_idf"),

@@ -14,10 +14,11 @@ def range_of(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
     The bounds are quantiles of ``df``, at most ``ranges`` numbers on the driver. They only balance the
     ranges: any bounds give the same totals.
     """
-    bounds = sorted(set(df.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.5 / ranges)))
-    if not bounds:
+    if ranges < 2:
         return F.lit(0)
-    cuts = F.array(*[F.lit(float(b)) for b in bounds])
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 4 * ranges)).first()[0]
+    cuts = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
     return F.size(F.filter(cuts, lambda b: b < F.col(column)))
 
 
