@@ -9,7 +9,7 @@ from roamdex import fixed
 from roamdex.functions import text
 from roamdex.operators.joins import spread_join
 from roamdex.operators.postings import Index
-from roamdex.session import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
+from roamdex.session import BROADCAST_BYTES, BROADCAST_ROWS, cut_lineage, fits_broadcast
 from roamdex.operators.search import best_first, idf, tf_norm
 
 
@@ -38,7 +38,7 @@ def hit_counts(
 
     Keywords without hits are kept with 0; a count is reported as no more than ``cap``.
     """
-    wanted = last_word_terms(keywords)
+    wanted = cut_lineage(last_word_terms(keywords))  # read four times below, a row or two per keyword
     terms = wanted.select("term").distinct()
     postings = index.postings.select("field", "term", "doc_id")
     linked = (

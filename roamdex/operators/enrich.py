@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamdex.operators.joins import sized_join, spread_join
 from roamdex.operators.phrase_join import title_phrase_join
+from roamdex.session import cut_lineage
 
 _FIXED_NAMES = ("id", "link", "title", "other")
 
@@ -37,11 +39,17 @@ def _merged(per_match: DataFrame) -> DataFrame:
     )
 
 
-def matched_fields(documents: DataFrame, infoboxes: DataFrame, merge: bool = False) -> DataFrame:
+def matches_of(documents: DataFrame, infoboxes: DataFrame) -> DataFrame:
+    """``title, doc_id`` of the documents each infobox title matches, stored for the joins that follow."""
+    return cut_lineage(title_phrase_join(infoboxes, documents).select("title", "doc_id"))
+
+
+def matched_fields(infoboxes: DataFrame, matches: DataFrame, merge: bool = False) -> DataFrame:
     """``doc_id, kv`` per (infobox row, matching document), or per document with ``merge``."""
-    matches = title_phrase_join(infoboxes, documents).select("title", "doc_id")
-    # A title on many infobox rows and many documents is split by Spark's skew join; all rows are results.
-    per_match = infoboxes.select("title", "kv").join(matches, "title")
+    # A title may sit on a third of the infobox rows: they are spread by their content.
+    per_match = spread_join(
+        infoboxes.select("title", "kv"), matches, ["title"], [F.map_entries("kv")]
+    )
     return _merged(per_match) if merge else per_match.select("doc_id", "kv")
 
 
@@ -50,7 +58,7 @@ def enrich(documents: DataFrame, fields: DataFrame) -> DataFrame:
 
     Fields whose name the document already has are left out.
     """
-    joined = documents.filter(F.col("doc_id").isNotNull()).join(fields, "doc_id")
+    joined = sized_join(documents, fields, "doc_id")
     named = joined.withColumn("_names", field_names())
     added = named.withColumn(
         "extra",
@@ -61,8 +69,8 @@ def enrich(documents: DataFrame, fields: DataFrame) -> DataFrame:
 
 def enrich_replace(documents: DataFrame, infoboxes: DataFrame, merge: bool = False) -> DataFrame:
     """All documents, the matched ones replaced by their enriched copies."""
-    fields = matched_fields(documents, infoboxes, merge)
-    return replace(documents, enrich(documents, fields), fields.select("doc_id"))
+    matches = matches_of(documents, infoboxes)
+    return replace(documents, enrich(documents, matched_fields(infoboxes, matches, merge)), matches)
 
 
 def replace(documents: DataFrame, copies: DataFrame, replaced_ids: DataFrame) -> DataFrame:
@@ -72,6 +80,4 @@ def replace(documents: DataFrame, copies: DataFrame, replaced_ids: DataFrame) ->
 
 def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """Delete by exact id."""
-    # The same not-null filter as in enrich() lets Spark reuse one shuffle of the documents for both.
-    kept = documents.filter(F.col("doc_id").isNotNull())
-    return kept.join(ids.select("doc_id").distinct(), "doc_id", "left_anti")
+    return sized_join(documents, ids.select("doc_id").distinct(), "doc_id", "left_anti")

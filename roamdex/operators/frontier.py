@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamdex.functions import urls
-from roamdex.operators.joins import without
+from roamdex.operators.joins import sized_join, spread_join, without
+from roamdex.session import cut_lineage
 
 COLUMNS = ("url", "queue_rank", "round", "seq")
 ORDER = ("queue_rank", "round", "seq", "url")
@@ -43,6 +44,17 @@ def numbered(taken: DataFrame) -> DataFrame:
     return taken.select("url", F.row_number().over(order).alias("turn"))
 
 
+def take(frontier: DataFrame, n: int) -> DataFrame:
+    """``url, turn`` of the next ``n`` URLs, stored, as a round reads them several times."""
+    return cut_lineage(numbered(next_urls(frontier, n)))
+
+
+def fetched(pages: DataFrame, taken: DataFrame) -> DataFrame:
+    """The pages of the taken URLs. Pages stay where they are when the round's keys can be broadcast."""
+    keys = taken.select(urls.quote(F.col("url")).alias("link"))
+    return sized_join(pages, keys, "link", "left_semi")
+
+
 def found_links(taken: DataFrame, edges: DataFrame) -> DataFrame:
     """``(url, seq)`` of the links on the pages of ``taken(url, turn)``, as a one-by-one crawl would queue them.
 
@@ -56,8 +68,8 @@ def found_links(taken: DataFrame, edges: DataFrame) -> DataFrame:
         + F.shiftleft(F.col("kind").cast("bigint"), 31)
         + F.col("pos")
     )
-    # ``src`` has the round's n rows; Spark broadcasts it only when its size is under the threshold.
-    return edges.join(src, "src").select(F.col("dst").alias("url"), place.alias("seq"))
+    joined = spread_join(edges, src, ["src"], ["dst", "pos"])
+    return joined.select(F.col("dst").alias("url"), place.alias("seq"))
 
 
 def unseen(
@@ -65,21 +77,20 @@ def unseen(
 ) -> DataFrame:
     """Frontier rows for the ``(url, seq)`` candidates that were neither visited nor queued.
 
-    Repeats are folded before any join, so a link found on a third of all pages is one row by then.
+    Repeats are folded before any join, so a link found on a third of all pages is one row by then. The
+    folded rows are stored: they are measured, matched against the known URLs and given.
     """
     known = visited.select("url").unionByName(frontier.select("url"))
-    return _ranked(without(first_seen(candidates), known, "url"), priority_host, round_no)
+    return _ranked(without(cut_lineage(first_seen(candidates)), known, "url"), priority_host, round_no)
 
 
 def frontier_step(
-    frontier: DataFrame, visited: DataFrame, edges: DataFrame, n: int, priority_host: str, round_no: int
+    frontier: DataFrame, visited: DataFrame, taken: DataFrame, edges: DataFrame, priority_host: str, round_no: int
 ) -> tuple[DataFrame, DataFrame]:
-    """One crawl round: take ``n`` URLs, mark them visited, queue what their pages link to."""
-    taken = next_urls(frontier, n)
+    """One crawl round: mark the URLs of ``take()`` visited and queue what their pages link to."""
     new_visited = visited.select("url").unionByName(taken.select("url"))
-    candidates = found_links(numbered(taken), edges)
-    new = unseen(candidates, visited, frontier, priority_host, round_no)
-    left = frontier.join(taken.select("url"), "url", "left_anti").select(*COLUMNS)
+    new = unseen(found_links(taken, edges), visited, frontier, priority_host, round_no)
+    left = sized_join(frontier, taken.select("url"), "url", "left_anti").select(*COLUMNS)
     return left.unionByName(new), new_visited
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamdex.session import fits_broadcast
@@ -14,7 +14,7 @@ def spread_join(
     large: DataFrame,
     small: DataFrame,
     on: list[str],
-    spread_by: list[str],
+    spread_by: list[str | Column],
     how: str = "inner",
     salts: int = SALTS,
     small_fits: bool | None = None,
@@ -35,6 +35,14 @@ def spread_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def sized_join(large: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Broadcast ``small`` when it measures under the bounds, else shuffle both sides.
+
+    For keys that are unique in ``large``: only ``small`` can be hot then, and Spark's skew join splits it.
+    """
+    return large.join(F.broadcast(small) if fits_broadcast(small) else small, on, how)
+
+
 def without(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key is not in ``known``, where ``known`` is the larger side.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roamdex.functions import text
 from roamdex.operators.joins import spread_join
+from roamdex.session import cut_lineage, fits_broadcast
 
 
 def phrase_of(title: Column) -> Column:
@@ -40,12 +41,14 @@ def title_phrase_join(
     each before the join and fanned out to their titles after it; a span shared by a third of all titles is
     spread by document id.
     """
-    named = (
+    # Titles and their phrases are read four times below, so they are stored; they are short and few beside
+    # the rows they come from.
+    named = cut_lineage(
         phrases.select(F.col(phrase_title).alias("title"))
         .distinct()
-        .withColumn("phrase", phrase_of(F.col("title")))
-        .filter(F.col("phrase") != "")
-    )
+        .select("title", phrase_of(F.col("title")).alias("phrase"))
+    ).filter(F.col("phrase") != "")
+    small = fits_broadcast(named)
     distinct = named.select("phrase").distinct()
     # One array of the distinct phrase lengths (in tokens): a short list, whatever the number of phrases.
     lengths = distinct.agg(
@@ -57,5 +60,6 @@ def title_phrase_join(
     spans = tokenised.select(
         "doc_id", F.explode(token_spans(F.col("_tokens"), F.col("_lengths"))).alias("phrase")
     )
-    matched = spread_join(spans, distinct, ["phrase"], ["doc_id"])
+    matched = spread_join(spans, distinct, ["phrase"], ["doc_id"], small_fits=small)
+    named = F.broadcast(named) if small else named
     return matched.join(named, "phrase").select("title", "doc_id", "phrase")

@@ -53,18 +53,23 @@ def query(fn: Query) -> Query:
     return fn
 
 
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table; text tables of a few row groups are spread over the cores by their key."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread_small(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work on their whole text, over all cores also when they are a few row groups."""
+    return spread_small(table(spark, sf, "documents"), "doc_id")
+
+
+def bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages for work on their whole body."""
+    return spread_small(table(spark, sf, "pages"), "page_id")
 
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """``page_id, url_key, link, raw``."""
-    pages = table(spark, sf, "pages")
+    pages = bodies(spark, sf)
     link = F.col("url")
     return pages.select(
         "page_id",
@@ -89,7 +94,7 @@ def titled(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def page_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = pg.extract_documents(pg.pages_from_table(table(spark, sf, "pages")))
+    docs = pg.extract_documents(pg.pages_from_table(bodies(spark, sf)))
     return docs.select(
         "doc_id",
         "link",
@@ -102,7 +107,7 @@ def page_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def wrapped_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Document lines put under the section headings: one line each, all further lines under the last."""
-    lines = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    lines = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines"))
     names = fixed.SECTION_NAMES
     parts: list[Column] = [F.lit("Intro\n")]
     for i, name in enumerate(names, 1):
@@ -139,7 +144,7 @@ def page_remainder(spark: SparkSession, sf: str) -> DataFrame:
 
 def crumbed_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages with a breadcrumb line made of their URL parts, with a leaf on every https page."""
-    pages = table(spark, sf, "pages")
+    pages = bodies(spark, sf)
     part = lambda n: F.split_part(F.col("url"), F.lit("/"), F.lit(n))
     leaf = F.when(
         F.startswith("url", F.lit("https://")),
@@ -277,8 +282,10 @@ def frontier_add(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def frontier_round(spark: SparkSession, sf: str) -> DataFrame:
     queue, visited = split_queue(spark, sf)
-    quoted = edges(spark, sf).withColumn("src", urls.quote(F.col("src")))
-    left, seen = fr.frontier_step(queue, visited, quoted, ROUND_SIZE, PRIORITY_HOST, 1)
+    taken = fr.take(queue, ROUND_SIZE)
+    pages = raw_pages(spark, sf).withColumn("link", urls.quote(F.col("link")))
+    edges = li.page_links(fr.fetched(pages, taken), fixed.ORIGIN_ANY)
+    left, seen = fr.frontier_step(queue, visited, taken, edges, PRIORITY_HOST, 1)
     rows = left.select("url", F.lit("queued").alias("state"), F.col("round").cast("bigint").alias("round"))
     return rows.unionByName(
         seen.select("url", F.lit("visited").alias("state"), F.lit(-1).cast("bigint").alias("round"))
@@ -359,7 +366,7 @@ PAGE_FIELDS = (FieldSpec("title", positions=True), FieldSpec("link", analyzer="k
 
 
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    return texts(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
 
 
 def text_index(spark: SparkSession, sf: str) -> Index:
@@ -493,7 +500,7 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def keyword_list(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct stripped lines of all documents."""
-    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    lines = texts(spark, sf).select(F.explode(F.split("text", "\n")).alias("line"))
     return lines.select(text.strip(F.col("line")).alias("keyword")).distinct().select(F.md5("keyword").alias("keyword_md5"))
 
 
@@ -533,8 +540,8 @@ def _flat(docs: DataFrame) -> DataFrame:
 
 @query
 def enrich(spark: SparkSession, sf: str) -> DataFrame:
-    docs = enrichable(spark, sf)
-    return _flat(en.enrich(docs, en.matched_fields(docs, title_boxes(spark, sf))))
+    docs, boxes = enrichable(spark, sf), title_boxes(spark, sf)
+    return _flat(en.enrich(docs, en.matched_fields(boxes, en.matches_of(docs, boxes))))
 
 
 @query

@@ -55,7 +55,7 @@ def test_steps_follow_the_queue_rules(spark):
     seeds = spark.createDataFrame([(u, i) for i, u in enumerate(names[:4])], "url string, seq bigint")
     frontier, visited = fr.init_frontier(seeds, HOST), spark.createDataFrame([], "url string")
     for k in (1, 2):
-        frontier, visited = fr.frontier_step(frontier, visited, edges, 3, HOST, k)
+        frontier, visited = fr.frontier_step(frontier, visited, fr.take(frontier, 3), edges, HOST, k)
     first, second, seen = crawl_in_rounds(names[:4], pages, 3, 2)
     assert in_order(frontier) == (first, second)
     assert sorted(r.url for r in visited.collect()) == sorted(seen)
