@@ -63,6 +63,11 @@ ABSOLUTE_LINK = (
     r"https://[\p{L}\p{N}_-]+\.[\p{L}\p{N}_-]"
     r"[\p{L}\p{N}_.,@?^=%&:/~+#-]*[\p{L}\p{N}_@?^=%&/~+#-]"
 )
+# The same links with scheme, host and path as groups, for engines that do not recurse on repeats.
+ABSOLUTE_LINK_PARTS = (
+    r"(https):\/\/([\p{L}\p{N}_-]+(?:(?:\.[\p{L}\p{N}_-]+)+))"
+    r"([\p{L}\p{N}_.,@?^=%&:\/~+#-]*[\p{L}\p{N}_@?^=%&\/~+#-])"
+)
 RELATIVE_LINK = r'(?d)href="(/.*?)"'
 ORIGIN_HTTPS = r"(?d)(https://.*?)/"
 ORIGIN_ANY = r"(?d)(https?://.*?)/"

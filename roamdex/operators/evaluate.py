@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamdex.operators.ordered import RANGES, running_totals
+from roamdex.session import cut_lineage
 
 
 def paired(truth: DataFrame, predicted: DataFrame, key: str = "keyword") -> DataFrame:
@@ -38,10 +39,10 @@ def average_precision(
 ) -> DataFrame:
     """Sum over falling distinct scores of (rise in recall) x precision; 0 without relevant rows.
 
-    Equal scores are one step. Rows are first folded to one per distinct score; the cumulative counts go
-    over value ranges, not through one task.
+    Equal scores are one step. Rows are first folded to one per distinct score and stored, as they are
+    read three times; the cumulative counts go over value ranges, not through one task.
     """
-    steps = (
+    steps = cut_lineage(
         rows.select(F.col(score).cast("double").alias("score"), relevant.cast("int").alias("tp"))
         .groupBy("score")
         .agg(F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("n"))

@@ -175,26 +175,29 @@ class Index:
             tuple(specs),
         )
 
-    def write(self, path: str, partitions: int | None = None) -> None:
+    def write(self, path: str, partitions: int | None = None, ordered: bool = True) -> None:
         """Write the three tables, postings in (field, term, doc_id) order.
 
         The order lets a search skip all row groups but those of its terms. Ranges break inside a frequent
-        term as well, as ``doc_id`` is part of the order.
+        term as well, as ``doc_id`` is part of the order. An unordered index is for batches that read most of
+        it anyway: it is written where it was counted, without a shuffle.
         """
         order = ["field", "term", "doc_id"]
-        ranges = (partitions, *order) if partitions else order
-        ranged = self.postings.repartitionByRange(*ranges).sortWithinPartitions(*order)
-        ranged.write.mode("overwrite").parquet(f"{path}/postings")
+        rows = self.postings
+        if ordered:
+            ranges = (partitions, *order) if partitions else order
+            rows = rows.repartitionByRange(*ranges).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").parquet(f"{path}/postings")
         spark = self.postings.sparkSession
-        # The stored postings are sorted, so a term's rows meet in few map tasks and fold before the shuffle.
         terms = term_stats(spark.read.parquet(f"{path}/postings"))
-        terms = terms.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
+        if ordered:
+            terms = terms.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.fields.write.mode("overwrite").parquet(f"{path}/fields")
 
-    def stored(self, path: str) -> Index:
+    def stored(self, path: str, ordered: bool = True) -> Index:
         """Write to ``path`` and read back."""
-        self.write(path)
+        self.write(path, ordered=ordered)
         return Index.read(self.postings.sparkSession, path, self.specs)
 
     def analyzer(self, field: str) -> str:

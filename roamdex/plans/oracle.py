@@ -141,7 +141,7 @@ HEADING_TEXT = f"select '(''' || heading || ''', ' || n || ')' as value from ({H
 
 # --- links -----------------------------------------------------------------------------------------
 
-_ABS = r"(https):\/\/([\p{L}\p{N}_-]+(?:(?:\.[\p{L}\p{N}_-]+)+))([\p{L}\p{N}_.,@?^=%&:\/~+#-]*[\p{L}\p{N}_@?^=%&\/~+#-])"
+_ABS = fixed.ABSOLUTE_LINK_PARTS
 ABSOLUTE_LINKS = f"""
 with l as (select page_id, regexp_extract_all(concat_ws(' ', url, url || '.png', url || '/a.b,', html), {_q(_ABS)}, 0) as ls
            from pages),

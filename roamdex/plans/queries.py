@@ -492,7 +492,7 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.lit("other").alias("field"),
         F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("term"), F.lit(False).alias("required"),
     )
-    index = text_index(spark, sf).stored(f"{shared_folder(spark)}/{uuid.uuid4()}")
+    index = text_index(spark, sf).stored(f"{shared_folder(spark)}/{uuid.uuid4()}", ordered=False)
     best = bs.search_batch(index, asked, HITS)
     return best.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 

@@ -100,7 +100,10 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def seed_urls(spark: SparkSession, path: str, base_url: str) -> DataFrame:
-    """``url, seq`` of a seed list: base URL and stripped line, numbered in file order."""
+    """``url, seq`` of a seed list: base URL and stripped line, numbered in file order.
+
+    A seed list is short; it is read as one file, which keeps its order.
+    """
     lines = spark.read.text(path, wholetext=True).select(
         F.posexplode(F.split(F.regexp_replace(text.newlines(F.col("value")), r"\n\z", ""), "\n")).alias("seq", "line")
     )
