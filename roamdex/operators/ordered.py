@@ -18,8 +18,16 @@ def range_of(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
         return F.lit(0)
     shares = [i / ranges for i in range(1, ranges)]
     bounds = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 4 * ranges)).first()[0]
-    cuts = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
-    return F.size(F.filter(cuts, lambda b: b < F.col(column)))
+    return _bounds_below(F.col(column), sorted(set(bounds or [])))
+
+
+def _bounds_below(value: Column, bounds: list[float], first: int = 0) -> Column:
+    """How many of the sorted bounds are below ``value``, by halving: eight comparisons for 255 bounds."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    above = _bounds_below(value, bounds[mid + 1 :], first + mid + 1)
+    return F.when(value > bounds[mid], above).otherwise(_bounds_below(value, bounds[:mid], first))
 
 
 def _before(sums: DataFrame, bucket: str, order: Column, names: list[str]) -> DataFrame:

@@ -64,8 +64,8 @@ def _analysed(index: Index, clauses: Sequence[Clause]) -> list[list[str]]:
     standard = [
         c.kind in (TERM, PHRASE) and index.analyzer(c.field) == "standard" for c in clauses
     ]
-    rows = spark.createDataFrame([(i, c.text) for i, c in enumerate(clauses)], "i int, t string")
-    found = {r.i: r.terms for r in rows.select("i", text.tokens(F.col("t")).alias("terms")).collect()}
+    # One row of literals, which the optimizer works out without a job.
+    found = spark.sql("select 1").select(*[text.tokens(F.lit(c.text)) for c in clauses]).first()
     return [found[i] if s else [c.text] for i, (c, s) in enumerate(zip(clauses, standard))]
 
 
