@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roamdex.llm import mixing, packing, token_counts
+from roamdex.llm import html_text, language, mixing, packing, quality, simhash, substring, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substring.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return cut.select("doc_id", "kept_text", spans.alias("removed"))
+
+
+@query
+def op2_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     sizes = mixing.document_sizes(table(spark, sf, "documents"))
@@ -34,12 +47,53 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(table(spark, sf, "documents"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op8_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(mixing.document_sizes(table(spark, sf, "documents")).select("doc_id", "size"))
 
 
 ORACLE = {
+    "op1_substring_dedup": r"""
+with split as (select doc_id, text, string_split(text, chr(10)) as parts from documents),
+lines as (
+  select doc_id, generate_subscripts(parts, 1) as k, unnest(parts) as line, length(text) as whole
+  from split where text is not null and text <> ''),
+normal as (
+  select *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\x20\x09-\x0D]+') as words,
+         (sum(length(line) + 1) over (partition by doc_id order by k) - length(line) - 1)::bigint as starts
+  from lines),
+marked as (
+  select *, len(words) >= 10
+            and row_number() over (partition by array_to_string(words, ' '), len(words) >= 10 order by doc_id, k) > 1 as gone
+  from normal),
+kept as (
+  select doc_id, string_agg(line, chr(10) order by k) filter (where not gone) as kept_text from marked group by doc_id),
+runs as (
+  select doc_id, starts, least(starts + length(line) + 1, whole) as ends,
+         k - row_number() over (partition by doc_id order by k) as run
+  from marked where gone),
+spans as (select doc_id, min(starts) as a, max(ends) as b from runs group by doc_id, run),
+removed as (select doc_id, string_agg(concat(a, '-', b), ',' order by a) as removed from spans group by doc_id)
+select d.doc_id, case when d.text is null or d.text = '' then d.text else coalesce(k.kept_text, '') end as kept_text,
+       coalesce(r.removed, '') as removed
+from documents d left join kept k using (doc_id) left join removed r using (doc_id)
+""",
     "op3_mix_sources": r"""
 with sizes as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
