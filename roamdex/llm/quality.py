@@ -38,13 +38,20 @@ MARKS = "#$%&*|<>{}[]\\^~=_@+"
 GOOD, BAD, NOTHING = 1, 0, 2
 
 
+#: Belief, before any vote, in how labellers vote on good documents: so many of a thousand are called bad, with the
+#: weight of this share of all documents.
+PRIOR_WRONG, PRIOR_SHARE = 1.0, 0.5
+
+
 class Stats(NamedTuple):
     """What labellers look at, each but ``words`` a share of words."""
 
     words: int
     marks: float
+    marked: float
     upper: float
     bangs: float
+    table: float
     stutter: float
     distinct: float
     top: float
@@ -55,8 +62,10 @@ class Stats(NamedTuple):
 # A labeller is (measure, good from, good to, bad below, bad above, fewest words); in between it says nothing.
 LABELLERS = {
     "marks": ("marks", 0.0, 0.03, -1.0, 0.15, 1),
+    "marked": ("marked", 0.0, 0.02, -1.0, 0.1, 5),
     "upper": ("upper", 0.0, 0.05, -1.0, 0.25, 5),
     "bangs": ("bangs", 0.0, 0.02, -1.0, 0.15, 5),
+    "table": ("table", 0.0, 0.02, -1.0, 0.15, 5),
     "stutter": ("stutter", 0.0, 0.05, -1.0, 0.2, 10),
     "variety": ("distinct", 0.4, 1.0, 0.2, 9.0, 50),
     "top_word": ("top", 0.0, 0.1, -1.0, 0.25, 30),
@@ -92,11 +101,12 @@ def read_text(text: str | None) -> tuple[Stats, Counter]:
     counts = Counter(words)
     n = len(words)
     if not n:
-        return Stats(0, 0, 0, 0, 0, 0, 0, 0, 0), counts
+        return Stats(0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0), counts
     upper = sum(k for w, k in counts.items() if len(w) > 2 and w.isupper())
     ends = sum(k for w, k in counts.items() if w[-1] in ".!?")
+    marked = sum(k for w, k in counts.items() if w[-1] in MARKS or w[0] in MARKS)
     stats = Stats(
-        n, sum(map(text.count, MARKS)) / n, upper / n, text.count("!!") / n,
+        n, sum(map(text.count, MARKS)) / n, marked / n, upper / n, text.count("!!") / n, text.count("|") / n,
         sum(map(eq, words, words[1:])) / n, len(counts) / n, max(counts.values()) / n, ends / n,
         sum(map(len, words)) / n,
     )
@@ -133,20 +143,24 @@ def features(stats: Stats, counts: Counter) -> dict[int, float]:
 def weigh_votes(patterns: dict[int, int], rounds: int = 100) -> dict[int, float]:
     """Probability of good for each pattern, by EM on the pattern counts.
 
-    Two classes; a labeller has its own shares of good, bad and nothing in each. It starts from the majority of votes.
+    Two classes; a labeller has its own accuracy on each, from the documents it votes on: saying nothing is no evidence.
+    A labeller sees one kind of fault, so it may call most bad documents good; of good ones it is assumed to be seldom
+    wrong, with the weight of ``PRIOR_SHARE`` of all documents. The start takes any bad vote for a bad document.
     """
     if not patterns:
         return {}
     codes = np.array(sorted(patterns))
     n = np.array([patterns[c] for c in codes], float)
     digit = np.stack([codes // 3**k % 3 for k in range(len(LABELLERS))], axis=1)
-    said = np.stack([digit == v for v in (BAD, GOOD, NOTHING)], axis=2).astype(float)
-    good, bad = said[:, :, GOOD].sum(1), said[:, :, BAD].sum(1)
-    p = (1.0 + good) / (2.0 + good + 3.0 * bad)
+    said = np.stack([digit == v for v in (BAD, GOOD)], axis=2).astype(float)
+    wrong = PRIOR_WRONG / 1000
+    on_good = PRIOR_SHARE * n.sum() + 1
+    prior_votes = np.array([[[1.0, 1.0]], [[wrong * on_good, (1 - wrong) * on_good]]])
+    p = np.where(said[:, :, BAD].any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
         mass = np.stack([n * (1 - p), n * p])
         prior = (mass.sum(1) + 1) / (n.sum() + 2)
-        shares = np.einsum("cp,plv->clv", mass, said) + 0.1
+        shares = np.einsum("cp,plv->clv", mass, said) + prior_votes
         shares /= shares.sum(axis=2, keepdims=True)
         score = np.log(prior)[:, None] + np.einsum("plv,clv->cp", said, np.log(shares))
         new = 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
@@ -167,7 +181,7 @@ class Scorer(NamedTuple):
 
 
 def fit_scorer(rows: list[tuple[list[int], list[float], float]], steps: int = 400, rate: float = 0.3, ridge: float = 1e-5) -> Scorer:
-    """Logistic regression on soft labels, by Adam over the whole sample, classes weighed alike."""
+    """Logistic regression on soft labels, by Adam over the whole sample."""
     w, b = np.zeros(BUCKETS), 3.0
     if not rows:
         return Scorer(w, b)
@@ -175,13 +189,10 @@ def fit_scorer(rows: list[tuple[list[int], list[float], float]], steps: int = 40
     col = np.array([i for r in rows for i in r[0]], dtype=np.int64)
     val = np.array([v for r in rows for v in r[1]])
     y = np.array([r[2] for r in rows])
-    share = np.clip(y.mean(), 0.01, 0.99)
-    weight = y / share + (1 - y) / (1 - share)
-    weight /= weight.sum()
     m, s = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for t in range(1, steps + 1):
         z = b + np.bincount(row, w[col] * val, len(rows))
-        slope = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
+        slope = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(rows)
         g = np.append(np.bincount(col, val * slope[row], BUCKETS) + ridge * w, slope.sum())
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-10)
