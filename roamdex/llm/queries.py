@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamdex.llm import html_text, language, mixing, packing, quality, simhash, substring, token_counts
+from roamdex.llm import ann, html_text, language, mixing, near_vectors, packing, quality, simhash, substring, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,11 @@ def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"))
 
 
+@query
+def op6_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
@@ -62,6 +67,11 @@ def op8_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
 
 
+@query
+def op9_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(mixing.document_sizes(table(spark, sf, "documents")).select("doc_id", "size"))
