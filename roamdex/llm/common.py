@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import roamdex
 from roamdex.session import cut_lineage
 
 # --- fixed value: a word is a run of anything but ASCII white space ---
@@ -19,8 +24,26 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver found it. Spark's file server hands out the archive."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(roamdex.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="roamdex-")) / "roamdex.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches small enough that a batch of very long texts fits beside the heap."""
+    """Arrow batches small enough that a batch of very long texts fits beside the heap; the package on the workers."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

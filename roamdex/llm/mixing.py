@@ -105,3 +105,18 @@ def mix(
 def document_sizes(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id, source, size`` (words of the text), stored, so the texts are read once."""
     return stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *more))
+
+
+def mix_documents(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MOST_EPOCHS, seed: str = "mix"
+) -> DataFrame:
+    """The mixed rows of ``docs``, columns as they are: a row for each time a document is taken.
+
+    Documents stay whole here: the one in which a source's budget ends is in if at least half of it was taken.
+    """
+    mixed = mix(document_sizes(docs), weights, most_epochs, seed)
+    times = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
+    taken = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0")
+    taken = taken.groupBy("_id").agg(F.max("_times").alias("_times"))
+    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return met.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,6 +10,11 @@ verified on all 64 bits. The search is exact: no pair within 3 bits is missed.
 Documents with one fingerprint are one class, linked by its smallest document; pairs are made between classes only.
 A fingerprint has at most 43,744 others within 3 bits, however large the input, so no class can have more partners.
 
+For whole corpora there are also wide fingerprints, of several words of 64 bits: ``similar_documents`` takes every half
+word as a band of its own, lets members of an anchor meet its first home and their neighbours in id order (so their
+number grows with the members, not with pairs), and verifies on all bits the angle that a similarity of shingle
+sets stands for.
+
 Defined cases: a null text counts as empty, and texts without words have fingerprint zero and link like any other;
 rows with a null ``doc_id`` get a fingerprint and, where their class has no other row, a null component; repeated
 rows fall into one class; an empty table gives no rows; other columns are kept out.
@@ -22,7 +27,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamdex.llm.common import bounded_batches, stored
@@ -53,37 +58,53 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out.reshape(64)
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """SimHash of a UTF-8 text: lower-case A-Z, words by ASCII white space, shingles hashed by XXH64 with seed 42."""
+def _streams(hashes: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """The hashes, then as many further 64-bit hashes made of them (splitmix) as are asked for."""
+    yield hashes
+    for k in range(1, words):
+        z = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        yield z ^ (z >> np.uint64(31))
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE, words: int = 1) -> list[int]:
+    """SimHash of a UTF-8 text, as ``words`` numbers of 64 bits.
+
+    A-Z to lower case, words by ASCII white space, shingles hashed by XXH64 with seed 42; the first number is their
+    plain SimHash, the others those of further hashes made of it.
+    """
     import xxhash
 
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    counts, total = np.zeros(64, np.int64), max(1, len(words) - shingle + 1)
+    tokens = (text or b"").lower().split()
+    if not tokens:
+        return [0] * words
+    counts, total = np.zeros((words, 64), np.int64), max(1, len(tokens) - shingle + 1)
     for at in range(0, total, _BLOCK):
-        some = words[at : at + _BLOCK + shingle - 1]
+        some = tokens[at : at + _BLOCK + shingle - 1]
         ends = np.cumsum([len(w) + 1 for w in some])
         joined = b" ".join(some)
         n = max(1, len(some) - shingle + 1)
         starts = [0, *ends[: n - 1].tolist()]
         stops = (ends[min(shingle, len(some)) - 1 :] - 1).tolist()
         parts = [joined[a:b] for a, b in zip(starts, stops)]
-        counts += _bit_counts(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n))
-    return int(np.packbits(counts * 2 > total, bitorder="little").view(np.uint64)[0])
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n)
+        for k, stream in enumerate(_streams(hashes, words)):
+            counts[k] += _bit_counts(stream)
+    return np.packbits(counts * 2 > total, axis=1, bitorder="little").view(np.int64).ravel().tolist()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, fp`` (the 64 bits as a bigint)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """``doc_id, text`` -> ``doc_id, fp`` (array of bigint, 64 bits each)."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            fps = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            fps = pa.array([fingerprint(t, shingle, words) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp array<bigint>")
 
 
 _CODE_BITS = 31
@@ -104,13 +125,19 @@ def _flip(x: Column, place: Column) -> Column:
 
 
 def _anchors(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Homes and visitors: ``half, anchor`` and the class, for both halves of every fingerprint."""
+    """Homes and visits: ``half, anchor, fp, rep``, for both halves of every word of a fingerprint.
+
+    A visit says whether it is one to the home.
+    """
     low = F.lit((1 << _CODE_BITS) - 1)
-    halves = F.array(
-        F.struct(F.lit(0).alias("half"), F.col("fp").bitwiseAND(low).alias("x")),
-        F.struct(F.lit(1).alias("half"), F.shiftrightunsigned("fp", 32).bitwiseAND(low).alias("x")),
+    words = F.transform(
+        "fp",
+        lambda w, i: F.array(
+            F.struct((2 * i).alias("half"), w.bitwiseAND(low).alias("x")),
+            F.struct((2 * i + 1).alias("half"), F.shiftrightunsigned(w, 32).bitwiseAND(low).alias("x")),
+        ),
     )
-    split = classes.select("fp", "rep", F.inline(halves)).withColumn("s", _syndrome(F.col("x")))
+    split = classes.select("fp", "rep", F.inline(F.flatten(words))).withColumn("s", _syndrome(F.col("x")))
     home = F.when(F.col("s") == 0, F.col("x")).otherwise(_flip(F.col("x"), F.col("s")))
     homes = split.select("half", home.alias("anchor"), F.col("fp").alias("home_fp"), F.col("rep").alias("home_rep"))
     # Two flips reach a code word where the numbers of their places make up the syndrome.
@@ -119,30 +146,102 @@ def _anchors(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         lambda i: (F.col("s") > 0) & (i < i.bitwiseXOR(F.col("s"))),
     )
     two = F.transform(pairs, lambda i: _flip(_flip(F.col("x"), i), i.bitwiseXOR(F.col("s"))))
-    visited = F.concat(F.array(home), two)
-    return homes, split.select("half", F.explode(visited).alias("anchor"), "fp", "rep")
+    visited = F.posexplode(F.concat(F.array(home), two)).alias("place", "anchor")
+    visits = split.select("half", visited, "fp", "rep")
+    return homes, visits.withColumn("at_home", F.col("place") == 0).drop("place")
+
+
+def _differing(a: str, b: str) -> Column:
+    """Bits in which two fingerprints differ."""
+    each = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda s, n: s + n)
 
 
 def class_links(classes: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """``fp, rep`` (one row per fingerprint) -> ``u, v``: the reps of any two classes within ``most_bits``, once each."""
+    """``fp, rep`` (one row per fingerprint of one word) -> ``u, v``: the reps of any two within ``most_bits``."""
     if not 0 <= most_bits <= 3:
         raise ValueError("two halves with threshold 1 cover up to 3 differing bits")
-    homes, visitors = _anchors(classes)
-    near = homes.join(visitors, ["half", "anchor"]).where(
+    one = F.col("fp")[0].alias("fp")
+    homes, visits = _anchors(classes)
+    homes = homes.select("half", "anchor", F.col("home_fp")[0].alias("home_fp"), "home_rep")
+    near = homes.join(visits.select("half", "anchor", one, "rep"), ["half", "anchor"]).where(
         (F.col("home_fp") != F.col("fp")) & (F.bit_count(F.col("home_fp").bitwiseXOR(F.col("fp"))) <= most_bits)
     )
     return near.select(F.least("home_rep", "rep").alias("u"), F.greatest("home_rep", "rep").alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, fingerprint`` (16 hex digits), ``component_id``."""
-    marked = stored(fingerprints(docs, shingle))
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    linked = components(class_links(classes.where("rep is not null"), most_bits))
+def _classes(marked: DataFrame) -> DataFrame:
+    return stored(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+
+
+def _of_rows(marked: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row, from the links of the classes."""
+    linked = components(links)
     of_class = stored(
         classes.join(linked, classes["rep"] == linked["node"], "left").select(
             "fp", F.coalesce("component", "rep").alias("component_id")
         )
     )
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(of_class, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
+    """``doc_id, text`` -> ``doc_id, fingerprint`` (16 hex digits), ``component_id``."""
+    marked = stored(fingerprints(docs, shingle))
+    classes = _classes(marked)
+    found = _of_rows(marked, classes, class_links(classes.where("rep is not null"), most_bits))
+    digits = F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+#: Words of 64 bits in a wide fingerprint.
+WIDE_WORDS = 6
+
+
+def most_differing(similarity: float, words: int = WIDE_WORDS) -> int:
+    """Bits in which the fingerprints of two equally long texts with that similarity of shingles are expected to differ."""
+    cosine = 2 * similarity / (1 + similarity)
+    return round(64 * words * float(np.arccos(cosine)) / np.pi)
+
+
+def similar_documents(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS
+) -> DataFrame:
+    """``doc_id, text`` -> ``doc_id, component_id``, for documents whose shingle sets have about that Jaccard similarity.
+
+    A pair is met if one of the 2 x ``words`` halves differs in at most one bit. What a similarity of 1, 0.95, 0.9,
+    0.85 has of that by the binomial law: 100, 99, 87 and 64 percent, more where a group has several copies.
+    """
+    marked = stored(fingerprints(docs, shingle, words))
+    classes = _classes(marked)
+    known = classes.where("rep is not null")
+    _, visits = _anchors(known)
+    at = Window.partitionBy("half", "anchor")
+    first_home = F.min(F.when(F.col("at_home"), F.col("rep"))).over(at)
+    met = visits.select(
+        "rep", first_home.alias("first"), F.lag("rep").over(at.orderBy("rep")).alias("before")
+    )
+    pairs = stored(
+        met.select("rep", F.explode(F.array("first", "before")).alias("other"))
+        .where("other is not null and other <> rep")
+        .select(F.least("rep", "other").alias("u"), F.greatest("rep", "other").alias("v"))
+        .distinct()
+    )
+    a = known.select(F.col("rep").alias("u"), F.col("fp").alias("a"))
+    b = known.select(F.col("rep").alias("v"), F.col("fp").alias("b"))
+    links = pairs.join(a, "u").join(b, "v").where(_differing("a", "b") <= most_differing(similarity, words))
+    return _of_rows(marked, classes, links.select("u", "v")).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id; columns as they are.
+
+    Of rows that share a ``doc_id`` the first in the order of all columns stays. Rows without an id all stay.
+    """
+    found = stored(similar_documents(docs, shingle, similarity))
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"], "doc_id")
+    first = left.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

@@ -127,3 +127,14 @@ def dedup_lines(
     cut = met.select("row", "lines").mapInArrow(run, kinds)
     kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (kept_column, spans_column)]
     return cut.select(*kept, F.col("kept").alias(kept_column), F.col("spans").alias(spans_column))
+
+
+def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with repeated lines cut out of ``text`` and ``n_chars`` brought up to date; columns as they are.
+
+    A document of which nothing is left has the empty text.
+    """
+    cut = dedup_lines(docs, min_words, "_kept", "_spans").withColumn("text", F.col("_kept"))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("_kept").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
