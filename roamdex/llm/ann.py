@@ -162,15 +162,16 @@ def nearest(
         if len(left) and len(right):
             x = np.stack(left["vector"].to_numpy()).astype(np.float64)
             ids = left["vec_id"].to_numpy()
+            kept = k + len(ids) - len(np.unique(ids))  # a repeated id takes one place of the k
             for a in range(0, len(right), 512):
                 some = right.iloc[a : a + 512]
                 q = np.stack(some["vector"].to_numpy()).astype(np.float64)
                 asking, least = some["vec_id"].to_numpy(), some["least"].to_numpy()
                 scores = q @ x.T
                 scores[asking[:, None] == ids[None, :]] = -np.inf
-                if scores.shape[1] > k:
+                if scores.shape[1] > kept:
                     # Ties with the k-th stay in, to be told apart by id.
-                    least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+                    least = np.maximum(least, np.partition(scores, -kept, axis=1)[:, -kept])
                 i, j = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
                 out.append(pd.DataFrame({"query_id": asking[i], "vec_id": ids[j], "score": scores[i, j]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})

@@ -51,3 +51,10 @@ def bounded_batches(spark: SparkSession) -> None:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: later plans read it and a lost executor costs a task, not a lineage."""
     return cut_lineage(df)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roamdex.llm.common import stored, word_count
+from roamdex.llm.common import fresh, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -115,8 +115,10 @@ def mix_documents(
     Documents stay whole here: the one in which a source's budget ends is in if at least half of it was taken.
     """
     mixed = mix(document_sizes(docs), weights, most_epochs, seed)
-    times = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
-    taken = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0")
-    taken = taken.groupBy("_id").agg(F.max("_times").alias("_times"))
-    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return met.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, times, time = fresh(docs, "taken_id"), fresh(docs, "times"), fresh(docs, "time")
+    whole = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
+    taken = mixed.where("taken > 0").select(F.col("doc_id").alias(key), whole.alias(times)).where(F.col(times) > 0)
+    taken = taken.groupBy(key).agg(F.max(times).alias(times))
+    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(key)))
+    each = met.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return each.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roamdex.llm.common import bounded_batches, stored
+from roamdex.llm.common import bounded_batches, fresh, stored
 from roamdex.llm.components import components
 
 SHINGLE = 3
@@ -243,5 +243,6 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Data
     repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"], "doc_id")
-    first = left.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    n = fresh(docs, "n")
+    first = left.join(repeated, "doc_id", "left_semi").withColumn(n, F.row_number().over(order)).where(F.col(n) == 1)
     return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

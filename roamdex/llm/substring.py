@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roamdex.llm.common import bounded_batches, stored
+from roamdex.llm.common import bounded_batches, fresh, stored
 
 MIN_WORDS = 10
 
@@ -134,7 +134,8 @@ def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A document of which nothing is left has the empty text.
     """
-    cut = dedup_lines(docs, min_words, "_kept", "_spans").withColumn("text", F.col("_kept"))
+    kept = fresh(docs, "kept")
+    cut = dedup_lines(docs, min_words, kept, fresh(docs, "spans")).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.char_length("_kept").cast(docs.schema["n_chars"].dataType))
+        cut = cut.withColumn("n_chars", F.char_length(kept).cast(docs.schema["n_chars"].dataType))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
