@@ -5,14 +5,15 @@ Every pattern is in the Java regex form Spark uses. ``(?d)`` makes ``.`` stop at
 """
 
 # --- fixed values: page layout -------------------------------------------------------------
-TITLE = r"(?d)<title>(.*)</title>"
+# Patterns that may find an opening without its end take the rest of the line in one go, so that a line of nothing but
+# openings is read once and not once for each of them.
+TITLE = r"(?d)<title>.*</title>|<title>[^\n]*+"
 CRUMB_LINE = r'(?d)<span class="ext-geocrumbs-breadcrumbs">.*'
 CRUMB_TITLE = r'(?d)title="(.*?)"'
-CRUMB_LEAF = r"(?d)<bdi>(.*?)</bdi>"
-TAG = r"(?d)<.*?>"
+CRUMB_LEAF = r"<bdi>(?:[^<\n]|<(?!/bdi>))*+</bdi>|<bdi>[^\n]*+"
+TAG = r"<[^>\n]*+>|(<[^>\n]*+)"
 HEADING = r'<span class="mw-headline"[^>]*>([^<]*)</span>'
 EDIT_MARK = "[edit]"
-TEXT_CAP = 32_000  # characters kept of a section and of the remainder
 
 # --- fixed values: section names, in the order they are taken out of a page -----------------
 SECTION_NAMES = (
@@ -49,11 +50,11 @@ SECTION_NAMES = (
 
 # --- fixed values: entity names --------------------------------------------------------------
 NAME_TAIL = r"(?d)( -.*)|( \(.*)|( \|.*)|( –.*)|( —.*)|(\n)"
-QUOTED_NAME = r"(?d)'(.*)'"
+QUOTED_NAME = r"""(?d)'.*'|".*\""""
 
 # --- fixed values: infobox lines ---------------------------------------------------------------
 INFOBOX_LINE = r"(?d)\n\|(.*?)=(.*)"
-INFOBOX_DROP = r"(?d)[\[\]\{\}\=]|<.*?>"
+INFOBOX_MARKS = r"[\[\]\{\}\=]"
 SPACES = r" +"
 STRIP = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
@@ -84,5 +85,5 @@ TOKEN = (
 BM25_K1 = 1.2
 BM25_B = 0.75
 FUZZY_EDITS = 2
-HIT_COUNT_CAP = 1_000_000  # largest hit count the evaluation reports for a keyword
+RESULT_TOTAL = r'(?d)data-mw-num-results-total="(.*?)"'
 COUNT_LINK_PREFIX = "https://en."  # links the evaluation counts

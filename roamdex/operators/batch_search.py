@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from roamdex import fixed
 from roamdex.functions import text
-from roamdex.operators.joins import spread_join
 from roamdex.operators.postings import Index
-from roamdex.session import BROADCAST_BYTES, BROADCAST_ROWS, cut_lineage, fits_broadcast
 from roamdex.operators.search import best_first, idf, tf_norm
+from roamdex.session import cut_lineage
+
+# Bounds are compared with this much room for the order in which parts are added up.
+SLACK = 1e-6
 
 
 def last_word_terms(keywords: DataFrame, keyword: str = "keyword") -> DataFrame:
     """``keyword, term``: the tokens of the last word that has any, the only required word of a keyword query."""
-    words = F.filter(
-        F.transform(F.split(text.strip(F.col(keyword)), r"\s+"), text.tokens), lambda t: F.size(t) > 0
-    )
-    return (
-        keywords.select(F.col(keyword).alias("keyword"))
-        .distinct()
-        .select("keyword", F.explode(F.coalesce(F.get(F.slice(words, -1, 1), F.lit(0)), F.array())).alias("term"))
-        .distinct()
-    )
+    words = keywords.select(F.col(keyword).alias("keyword")).distinct()
+    return words.select("keyword", F.explode(text.last_word_tokens(F.col("keyword"))).alias("term")).distinct()
 
 
 def hit_counts(
@@ -32,74 +27,111 @@ def hit_counts(
     prefix: str = fixed.COUNT_LINK_PREFIX,
     field: str = "title",
     prefix_field: str = "link",
-    cap: int = fixed.HIT_COUNT_CAP,
 ) -> DataFrame:
     """``keyword, hits``: documents with the keyword's last word in ``field`` and a link under ``prefix``.
 
-    Keywords without hits are kept with 0; a count is reported as no more than ``cap``.
+    Keywords without hits are kept with 0. Postings are cut to the asked terms first, and links are looked up for their
+    documents only.
     """
     wanted = cut_lineage(last_word_terms(keywords))  # read four times below, a row or two per keyword
-    terms = wanted.select("term").distinct()
     postings = index.postings.select("field", "term", "doc_id")
-    linked = (
-        postings.filter((F.col("field") == prefix_field) & F.startswith("term", F.lit(prefix)))
-        .select("doc_id")
-        .distinct()
-    )
-    found = spread_join(
-        postings.filter(F.col("field") == field).select("term", "doc_id"), terms, ["term"], ["doc_id"], "left_semi"
-    ).join(linked, "doc_id", "left_semi")
+    titles = postings.filter(F.col("field") == field).select("term", "doc_id")
+    linked = postings.filter((F.col("field") == prefix_field) & F.startswith("term", F.lit(prefix))).select("doc_id")
+    found = cut_lineage(titles.join(wanted, "term", "left_semi").join(linked, "doc_id", "left_semi").select("term", "doc_id"))
     # Almost every keyword asks for one term, whose count is the same for all keywords that ask for it, so
     # postings are counted per term and never multiplied by keywords. Only a last word of several tokens
     # needs its documents made distinct.
     sizes = wanted.groupBy("keyword").agg(F.count(F.lit(1)).alias("k"), F.min("term").alias("term"))
     per_term = found.groupBy("term").agg(F.count(F.lit(1)).alias("hits"))
-    counts = sizes.filter("k = 1").join(per_term, "term").select("keyword", "hits")
+    one = sizes.filter("k = 1").join(per_term, "term").select("keyword", "hits")
     several = sizes.filter("k > 1").select("keyword").join(wanted, "keyword")
-    if not several.isEmpty():
-        documents = several.join(found, "term").select("keyword", "doc_id").distinct()
-        counts = counts.unionByName(documents.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits")))
+    documents = several.join(found, "term").select("keyword", "doc_id").distinct()
+    counts = one.unionByName(documents.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits")))
     return (
         keywords.select(F.col("keyword"))
         .distinct()
         .join(counts, "keyword", "left")
-        .select("keyword", F.least(F.coalesce("hits", F.lit(0)), F.lit(cap)).cast("bigint").alias("hits"))
+        .select("keyword", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"))
     )
 
 
-def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> DataFrame:
-    """``query_id, doc_id, score, rank`` for ``queries(query_id, field, term, required)``.
+def asked_postings(index: Index, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries with their terms' weights, and the postings of the asked terms with their part of a score.
 
-    ``term`` is analysed. All required terms of a query must match, any other term adds to the score; with
-    none required any term will do. With ``n`` the best n hits of each query are kept; Spark cuts each
-    partition to its own best n before the shuffle by query.
+    Both are stored: ``query_id, field, term, boost, required, needed, df, most`` (``most`` is the largest part
+    that any document gets from the term) and ``field, term, doc_id, part``. The postings are read, or counted, once.
     """
     asked = queries.groupBy("query_id", "field", "term").agg(
         F.max(F.col("required").cast("int")).alias("required"), F.count(F.lit(1)).alias("boost")
     )
     needed = asked.groupBy("query_id").agg(F.sum("required").alias("needed"))
-    # The statistics of all asked terms, joined to the queries before they meet the postings.
-    statistics = index.terms.select("field", "term", "df").join(index.fields, "field")
-    weighted = (
-        asked.join(needed, "query_id")
-        .join(statistics, ["field", "term"])
-        .select(
-            "query_id", "field", "term", "required", "needed", "boost",
-            idf(F.col("n_docs"), F.col("df")).alias("_idf"),
-            (F.col("total_len") / F.col("n_docs")).alias("_avg"),
-        )
-    )
+    asked = cut_lineage(asked.join(needed, "query_id"))
     postings = index.postings.select("field", "term", "doc_id", "tf", "doc_len")
-    # ``weighted`` has at most one row per row of ``asked``, which is cheap to measure.
-    small = fits_broadcast(asked, max_rows=BROADCAST_ROWS // 4, max_bytes=BROADCAST_BYTES // 4)
-    matched = spread_join(postings, weighted, ["field", "term"], ["doc_id"], small_fits=small)
-    weight = F.col("boost") * F.col("_idf") * tf_norm(F.col("tf"), F.col("doc_len"), F.col("_avg"))
+    found = cut_lineage(postings.join(asked.select("field", "term"), ["field", "term"], "left_semi"))
+    # All postings of an asked term are here, so their number is its document count.
+    df = cut_lineage(found.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
+    weighed = found.join(df, ["field", "term"]).join(F.broadcast(index.fields), "field")  # one row per field
+    part = idf(F.col("n_docs"), F.col("df")) * tf_norm(F.col("tf"), F.col("doc_len"), F.col("total_len") / F.col("n_docs"))
+    parts = cut_lineage(weighed.select("field", "term", "doc_id", "df", part.alias("part")))
+    bounds = parts.groupBy("field", "term").agg(F.max("part").alias("most"), F.max("df").alias("df"))
+    return cut_lineage(asked.join(cut_lineage(bounds), ["field", "term"])), parts.drop("df")
+
+
+def _scores(asked: DataFrame, parts: DataFrame) -> DataFrame:
+    """``query_id, doc_id, score`` of all pairs that share a term of ``asked``."""
+    met = parts.join(asked.select("query_id", "field", "term", "boost"), ["field", "term"])
+    return met.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
+
+
+def candidates(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
+    """``query_id, doc_id`` of the documents that can be among a query's best ``n``.
+
+    The query's rarest terms, as many as it takes to have some times ``n`` postings, give scores that the best ``n`` at least
+    reach. Terms whose largest parts together stay under that score cannot lift a document to it by themselves:
+    only documents with one of the other terms are candidates. Required terms do it alone, the rarest of them.
+    """
+    rising = Window.partitionBy("query_id").orderBy("df", "field", "term")
+    before = F.coalesce(F.sum("df").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rare = asked.where("needed = 0").withColumn("_before", before).where(F.col("_before") < 4 * n)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    ranked = _scores(rare, parts).withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n)
+    floor = cut_lineage(
+        ranked.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == n, F.min("score")).alias("floor"))
+    )
+    by_part = Window.partitionBy("query_id").orderBy(F.col("boost") * F.col("most"), "field", "term")
+    together = F.sum(F.col("boost") * F.col("most")).over(by_part.rowsBetween(Window.unboundedPreceding, 0))
+    optional = asked.where("needed = 0").withColumn("_together", together).join(floor, "query_id", "left")
+    lifting = optional.where((F.col("_together") >= F.coalesce("floor", F.lit(0.0)) - SLACK))
+    required = asked.where("required = 1").withColumn("_turn", F.row_number().over(rising)).where("_turn = 1")
+    keys = ["query_id", "field", "term"]
+    searched = lifting.select(*keys).unionByName(required.select(*keys))
+    return parts.join(searched, ["field", "term"]).select("query_id", "doc_id").distinct()
+
+
+def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> DataFrame:
+    """``query_id, doc_id, score, rank`` for ``queries(query_id, field, term, required)``.
+
+    ``term`` is analysed. All required terms of a query must match, any other term adds to the score; with
+    none required any term will do. With ``n`` the best n hits of each query are kept, and only documents that can
+    be among them are scored. Without, ``rank`` is null: all hits, in no order.
+    """
+    asked, parts = asked_postings(index, queries)
+    keys = ["query_id", "field", "term"]
+    if n:
+        pairs = cut_lineage(candidates(asked, parts, n))
+        terms = pairs.join(asked.select(*keys, "boost", "required", "needed"), "query_id")
+        matched = terms.join(parts, ["field", "term", "doc_id"])
+    else:
+        matched = parts.join(asked.select(*keys, "boost", "required", "needed"), ["field", "term"])
     hits = (
         matched.groupBy("query_id", "doc_id")
-        .agg(F.sum(weight).alias("score"), F.sum("required").alias("got"), F.max("needed").alias("needed"))
+        .agg(
+            F.sum(F.col("boost") * F.col("part")).alias("score"), F.sum("required").alias("got"), F.max("needed").alias("needed")
+        )
         .filter(F.col("got") == F.col("needed"))
         .select("query_id", "doc_id", "score")
     )
+    if not n:
+        return hits.withColumn("rank", F.lit(None).cast("int"))
     order = Window.partitionBy("query_id").orderBy(*best_first())
-    ranked = hits.withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= n) if n else ranked
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamdex.operators.joins import sized_join, spread_join
 from roamdex.operators.phrase_join import title_phrase_join
 from roamdex.session import cut_lineage
 
@@ -46,10 +45,7 @@ def matches_of(documents: DataFrame, infoboxes: DataFrame) -> DataFrame:
 
 def matched_fields(infoboxes: DataFrame, matches: DataFrame, merge: bool = False) -> DataFrame:
     """``doc_id, kv`` per (infobox row, matching document), or per document with ``merge``."""
-    # A title may sit on a third of the infobox rows: they are spread by their content.
-    per_match = spread_join(
-        infoboxes.select("title", "kv"), matches, ["title"], [F.map_entries("kv")]
-    )
+    per_match = infoboxes.select("title", "kv").join(matches, "title")
     return _merged(per_match) if merge else per_match.select("doc_id", "kv")
 
 
@@ -58,7 +54,7 @@ def enrich(documents: DataFrame, fields: DataFrame) -> DataFrame:
 
     Fields whose name the document already has are left out.
     """
-    joined = sized_join(documents, fields, "doc_id")
+    joined = documents.join(fields, "doc_id")
     named = joined.withColumn("_names", field_names())
     added = named.withColumn(
         "extra",
@@ -80,4 +76,4 @@ def replace(documents: DataFrame, copies: DataFrame, replaced_ids: DataFrame) ->
 
 def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """Delete by exact id."""
-    return sized_join(documents, ids.select("doc_id").distinct(), "doc_id", "left_anti")
+    return documents.join(ids.select("doc_id"), "doc_id", "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamdex import fixed
 from roamdex.operators.ordered import RANGES, running_totals
 from roamdex.session import cut_lineage
 
@@ -55,6 +56,7 @@ def average_precision(
     )
 
 
-def percent(scores: DataFrame) -> DataFrame:
-    """All score columns times 100."""
-    return scores.select(*[(F.col(c) * 100).alias(c) for c in scores.columns])
+def result_counts(pages: DataFrame, keyword: str = "keyword", html: str = "html") -> DataFrame:
+    """``keyword, truth``: the total a saved result page states, null where it states none that is a number."""
+    total = F.regexp_extract(F.col(html), fixed.RESULT_TOTAL, 1)
+    return pages.select(F.col(keyword).alias("keyword"), F.regexp_replace(total, ",", "").try_cast("bigint").alias("truth"))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamdex.functions import urls
-from roamdex.operators.joins import sized_join, spread_join, without
+from roamdex.operators.joins import keyed_join, without
+from roamdex.operators.ordered import range_of
 from roamdex.session import cut_lineage
 
 COLUMNS = ("url", "queue_rank", "round", "seq")
@@ -34,14 +35,26 @@ def init_frontier(seeds: DataFrame, priority_host: str) -> DataFrame:
 
 
 def next_urls(frontier: DataFrame, n: int) -> DataFrame:
-    """The next ``n`` URLs: priority queue first, first in first out within a queue."""
-    return frontier.orderBy(*ORDER).limit(n)
+    """The next ``n`` URLs with their ``turn``: priority queue first, first in first out within a queue.
+
+    Rows are counted by queue, round and range of places. Of these counts, a few hundred a round, running totals tell
+    where each range begins; only ranges that begin before the n-th turn are ordered, each by itself, so no task
+    orders a round.
+    """
+    ranged = frontier.withColumn("_range", range_of(frontier, "seq"))
+    keys = ["queue_rank", "round", "_range"]
+    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < n)
+    within = Window.partitionBy(*keys).orderBy("seq", "url")
+    turn = (F.col("_before") + F.row_number().over(within)).cast("int").alias("turn")
+    met = ranged.join(begins, keys)
+    return met.select(*frontier.columns, turn).where(F.col("turn") <= n)
 
 
 def numbered(taken: DataFrame) -> DataFrame:
-    """``url, turn``: turns 1..n over the URLs of one round; the window holds no more than its n rows."""
-    order = Window.partitionBy(F.lit(0)).orderBy(*ORDER)
-    return taken.select("url", F.row_number().over(order).alias("turn"))
+    """``url, turn`` of the URLs of one round."""
+    return taken.select("url", "turn")
 
 
 def take(frontier: DataFrame, n: int) -> DataFrame:
@@ -50,9 +63,8 @@ def take(frontier: DataFrame, n: int) -> DataFrame:
 
 
 def fetched(pages: DataFrame, taken: DataFrame) -> DataFrame:
-    """The pages of the taken URLs. Pages stay where they are when the round's keys can be broadcast."""
-    keys = taken.select(urls.quote(F.col("url")).alias("link"))
-    return sized_join(pages, keys, "link", "left_semi")
+    """The pages of the taken URLs."""
+    return pages.join(taken.select(urls.quote(F.col("url")).alias("link")), "link", "left_semi")
 
 
 def found_links(taken: DataFrame, edges: DataFrame) -> DataFrame:
@@ -68,7 +80,7 @@ def found_links(taken: DataFrame, edges: DataFrame) -> DataFrame:
         + F.shiftleft(F.col("kind").cast("bigint"), 31)
         + F.col("pos")
     )
-    joined = spread_join(edges, src, ["src"], ["dst", "pos"])
+    joined = edges.join(src, "src")
     return joined.select(F.col("dst").alias("url"), place.alias("seq"))
 
 
@@ -78,10 +90,10 @@ def unseen(
     """Frontier rows for the ``(url, seq)`` candidates that were neither visited nor queued.
 
     Repeats are folded before any join, so a link found on a third of all pages is one row by then. The
-    folded rows are stored: they are measured, matched against the known URLs and given.
+    folded rows are unique in their URL, as are the known ones in theirs, so neither side has a hot key.
     """
     known = visited.select("url").unionByName(frontier.select("url"))
-    return _ranked(without(cut_lineage(first_seen(candidates)), known, "url"), priority_host, round_no)
+    return _ranked(without(first_seen(candidates), known, "url"), priority_host, round_no)
 
 
 def frontier_step(
@@ -90,7 +102,7 @@ def frontier_step(
     """One crawl round: mark the URLs of ``take()`` visited and queue what their pages link to."""
     new_visited = visited.select("url").unionByName(taken.select("url"))
     new = unseen(found_links(taken, edges), visited, frontier, priority_host, round_no)
-    left = sized_join(frontier, taken.select("url"), "url", "left_anti").select(*COLUMNS)
+    left = frontier.join(taken.select("url"), "url", "left_anti").select(*COLUMNS)
     return left.unionByName(new), new_visited
 
 
@@ -108,7 +120,18 @@ def reconcile(queue: DataFrame, visited: DataFrame, fetched_keys: DataFrame) ->
     quoted = queue.withColumn("url", urls.quote(F.col("url")))
     first = first_seen(quoted, "queue_rank", "url")
     keys = fetched_keys.select("url_key").distinct().withColumn("_fetched", F.lit(True))
-    marked = first.withColumn("url_key", urls.url_key(F.col("url"))).join(keys, "url_key", "left")
+    marked = keyed_join(first.withColumn("url_key", urls.url_key(F.col("url"))), keys, "url_key", "left")
     stay = marked.filter(F.col("_fetched").isNull()).select(*first.columns)
     done = marked.filter(F.col("_fetched").isNotNull()).select("url")
     return stay, visited.select("url").unionByName(done).distinct()
+
+
+def from_state(queue: DataFrame, visited: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Frontier of round 0 and visited set from a saved state with repeats: first places, without visited URLs.
+
+    A URL in both queues stays in the first.
+    """
+    first = dedup_frontier(queue).groupBy("url").agg(F.min(F.struct("queue_rank", "seq")).alias("at"))
+    rows = first.select("url", "at.queue_rank", F.lit(0).alias("round"), "at.seq")
+    seen = visited.select("url").distinct()
+    return without(rows, seen, "url").select(*COLUMNS), seen

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from roamdex import fixed
 from roamdex.functions import text
-from roamdex.session import fits_broadcast
 
 _MAX = 2**31 - 1
 
@@ -42,23 +41,21 @@ def gazetteer_infoboxes(
 ) -> DataFrame:
     """Infobox pairs of the dump pages the gazetteer names.
 
-    A gazetteer that measures under the broadcast bounds filters the pages before their text is touched.
-    A larger one needs a shuffle on titles, so the pairs are taken first and the page text never moves.
+    The pairs are taken first, so that page texts never move, whichever join Spark chooses for the names.
     """
-    names = gazetteer.select(F.col(name).alias(title)).filter(F.col(title) != "").distinct()
-    if fits_broadcast(names):
-        return infobox_pairs(dump.join(F.broadcast(names), title, "left_semi"), title, body)
-    return named_in(infobox_pairs(dump, title, body), names, "title", title)
+    names = gazetteer.select(F.col(name).alias("value")).filter(F.col("value") != "")
+    return named_in(infobox_pairs(dump, title, body), names)
 
 
 def with_map(rows: DataFrame) -> DataFrame:
     """Add ``kv``, the pairs as a map; the last of several equal keys wins.
 
     Sorting the pairs of a row by (key, position) brings equal keys together, so the winner is the one
-    whose successor has another key. Surplus keys or values of unequal lists are dropped.
+    whose successor has another key. A key without a value is an error; surplus values are not looked at.
     """
     # Three projections: each array is worked out once and then only looked up.
-    pairs = rows.withColumn("_n", F.least(F.size("mod_key"), F.size("mod_val")))
+    short = F.raise_error(F.concat(F.lit("fewer values than keys in the infobox of "), F.coalesce("title", F.lit("null"))))
+    pairs = rows.withColumn("_n", F.when(F.size("mod_val") < F.size("mod_key"), short.cast("int")).otherwise(F.size("mod_key")))
     pairs = pairs.withColumn(
         "_sorted",
         F.sort_array(

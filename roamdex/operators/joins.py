@@ -1,55 +1,22 @@
-"""Joins of a large side with a side of unknown size, safe against hot keys."""
+"""Joins of a large side with a side of unknown size, safe against hot keys.
 
-from __future__ import annotations
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from roamdex.session import fits_broadcast
+Both sides come as plain tables or stored ones, so each is a shuffle of its own: Spark sees their real sizes before it
+joins, broadcasts a side that is small and splits the partitions of a hot key. A side that was grouped just before
+would keep its grouping and could not be split; such a side is stored first.
+"""
 
-SALTS = 16
-
-
-def spread_join(
-    large: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    spread_by: list[str | Column],
-    how: str = "inner",
-    salts: int = SALTS,
-    small_fits: bool | None = None,
-) -> DataFrame:
-    """Equi-join that leaves ``large`` in place when ``small`` measures under the broadcast bounds.
+from __future__ import annotations
 
-    Beyond the bounds both sides are shuffled on (keys, salt): a row of ``large`` goes to one salt chosen
-    by ``spread_by``, every row of ``small`` goes to all of them, so a key that holds a third of ``large``
-    is worked on by ``salts`` tasks. Right for inner, left_semi, left_anti and left joins, as each row of
-    ``large`` still meets every matching row of ``small`` exactly once.
-    """
-    if small_fits is None:
-        small_fits = fits_broadcast(small)
-    if small_fits:
-        return large.join(F.broadcast(small), on, how)
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+from pyspark.sql import DataFrame
 
+from roamdex.session import cut_lineage
 
-def sized_join(large: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Broadcast ``small`` when it measures under the bounds, else shuffle both sides.
 
-    For keys that are unique in ``large``: only ``small`` can be hot then, and Spark's skew join splits it.
-    """
-    return large.join(F.broadcast(small) if fits_broadcast(small) else small, on, how)
+def keyed_join(large: DataFrame, grouped: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join with a side that was grouped by its keys; ``large`` may have hot ones."""
+    return large.join(cut_lineage(grouped), on, how)
 
 
 def without(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``known``, where ``known`` is the larger side.
-
-    A small ``new`` is first used to cut ``known`` down where it lies, so ``known`` is scanned but not
-    shuffled; a large ``new`` is anti-joined by shuffle.
-    """
-    keys = new.select(key)
-    if fits_broadcast(keys):
-        known = known.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
+    """Rows of ``new`` whose key is not in ``known``."""
     return new.join(known.select(key), key, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ def pages_from_table(
 
 
 def title(raw: Column) -> Column:
-    return F.regexp_extract(raw, fixed.TITLE, 1)
+    """The first title that ends on its line, up to the last end on that line; empty where there is none."""
+    found = text.between(F.regexp_extract_all(raw, F.lit(fixed.TITLE), F.lit(0)), "<title>", "</title>")
+    return F.when(raw.isNotNull(), F.coalesce(F.get(found, F.lit(0)), F.lit("")))
 
 
 def breadcrumbs(raw: Column) -> Column:
@@ -37,7 +40,7 @@ def breadcrumbs(raw: Column) -> Column:
 
 
 def crumbs_of(line: Column) -> Column:
-    leaves = F.regexp_extract_all(line, F.lit(fixed.CRUMB_LEAF), F.lit(1))
+    leaves = text.between(F.regexp_extract_all(line, F.lit(fixed.CRUMB_LEAF), F.lit(0)), "<bdi>", "</bdi>")
     titles = F.regexp_extract_all(line, F.lit(fixed.CRUMB_TITLE), F.lit(1))
     return F.concat(titles, F.slice(leaves, -1, 1))
 
@@ -63,9 +66,7 @@ def _ends_with(name: str) -> Callable[[Column], Column]:
     return lambda piece: F.endswith(piece, F.lit(name))
 
 
-def with_sections(
-    pages: DataFrame, clean: str, names: Sequence[str], cap: int = fixed.TEXT_CAP
-) -> DataFrame:
+def with_sections(pages: DataFrame, clean: str, names: Sequence[str]) -> DataFrame:
     """Add ``paragraphs``: a map of section name to the text of its first section, for the names a page has.
 
     The text is cut at its edit marks once and all names are looked up in the pieces. A section runs from the
@@ -108,39 +109,23 @@ def with_sections(
     def entry(s: Column) -> Column:
         whole = F.slice("_pieces", s["at"] + 1, s["stop"] - 1 - s["at"])
         body = F.array_join(F.concat(whole, F.array(F.get("_bodies", s["stop"] - 1))), mark)
-        return F.struct(s["name"], F.substring(text.squeeze_newlines(F.concat(s["name"], F.lit(mark), body)), 1, cap))
+        return F.struct(s["name"], text.squeeze_newlines(F.concat(s["name"], F.lit(mark), body)))
 
     found = F.map_from_entries(F.transform(F.filter(spans, lambda s: s["stop"].isNotNull()), entry))
     return cut.select(*pages.columns, found.alias("paragraphs"))
 
 
-def remainder(clean: Column, names: Sequence[str], cap: int = fixed.TEXT_CAP) -> Column:
+def remainder(clean: Column, names: Sequence[str]) -> Column:
     """The text left after taking out every section of each name, one name after the other.
 
-    A name the text does not hold costs a byte search, not a pattern search.
+    The patterns are literals, so each is compiled once per task.
     """
-    steps = F.array(
-        *[
-            F.struct(
-                F.lit(n + fixed.EDIT_MARK).alias("heading"), F.lit(section_pattern(n)).alias("pattern")
-            )
-            for n in names
-        ]
-    )
-    rest = F.aggregate(
-        steps,
-        clean,
-        lambda left, s: F.when(
-            F.contains(left, s["heading"]), F.regexp_replace(left, s["pattern"], F.lit(""))
-        ).otherwise(left),
-    ) if names else clean
-    return F.substring(text.squeeze_newlines(rest), 1, cap)
+    return text.squeeze_newlines(reduce(lambda left, n: F.regexp_replace(left, section_pattern(n), ""), names, clean))
 
 
 def extract_documents(
     pages: DataFrame,
     names: Sequence[str] = fixed.SECTION_NAMES,
-    cap: int = fixed.TEXT_CAP,
 ) -> DataFrame:
     """One document per page. Input ``raw`` (URL line, then HTML); a narrow, shuffle-free projection."""
     # Kept as a projection of its own: both columns are used many times below and worked out once here.
@@ -149,12 +134,12 @@ def extract_documents(
         text.strip_tags(F.col("raw")).alias("_clean"),
         F.regexp_extract("raw", fixed.CRUMB_LINE, 0).alias("_crumbs"),
     )
-    base = with_sections(clean, "_clean", names, cap).select(
+    base = with_sections(clean, "_clean", names).select(
         text.first_line(F.col("raw")).alias("link"),
         title(F.col("raw")).alias("title"),
         crumbs_of(F.col("_crumbs")).alias("categories"),
         "paragraphs",
-        remainder(F.col("_clean"), names, cap).alias("other"),
+        remainder(F.col("_clean"), names).alias("other"),
     )
     return base.select(
         F.md5("link").alias("doc_id"),

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamdex.functions import text
-from roamdex.operators.joins import spread_join
-from roamdex.session import cut_lineage, fits_broadcast
+from roamdex.session import cut_lineage
 
 
 def phrase_of(title: Column) -> Column:
@@ -37,29 +36,22 @@ def title_phrase_join(
     """Pairs ``(phrase_title, doc_id)``; phrases without tokens match nothing.
 
     Each document title is cut into its spans of the lengths phrases have, which turns containment into an
-    equi-join: every candidate is a match, and nothing is compared pairwise. Phrases are folded to one row
-    each before the join and fanned out to their titles after it; a span shared by a third of all titles is
-    spread by document id.
+    equi-join: every candidate is a match, and nothing is compared pairwise. The phrases are stored, so a span shared
+    by a third of all titles is a hot key of the spans alone, which the skew join splits.
     """
-    # Titles and their phrases are read four times below, so they are stored; they are short and few beside
+    # Titles and their phrases are read twice below, so they are stored; they are short and few beside
     # the rows they come from.
     named = cut_lineage(
         phrases.select(F.col(phrase_title).alias("title"))
         .distinct()
         .select("title", phrase_of(F.col("title")).alias("phrase"))
     ).filter(F.col("phrase") != "")
-    small = fits_broadcast(named)
-    distinct = named.select("phrase").distinct()
     # One array of the distinct phrase lengths (in tokens): a short list, whatever the number of phrases.
-    lengths = distinct.agg(
-        F.sort_array(F.collect_set(F.size(F.split("phrase", " ")))).alias("lengths")
-    ).scalar()
+    lengths = named.agg(F.sort_array(F.collect_set(F.size(F.split("phrase", " ")))).alias("lengths")).scalar()
     tokenised = documents.select(
         F.col(doc_id).alias("doc_id"), text.tokens(F.col(doc_title)).alias("_tokens"), lengths.alias("_lengths")
     )
     spans = tokenised.select(
         "doc_id", F.explode(token_spans(F.col("_tokens"), F.col("_lengths"))).alias("phrase")
     )
-    matched = spread_join(spans, distinct, ["phrase"], ["doc_id"], small_fits=small)
-    named = F.broadcast(named) if small else named
-    return matched.join(named, "phrase").select("title", "doc_id", "phrase")
+    return spans.join(named, "phrase").select("title", "doc_id", "phrase")

@@ -215,6 +215,20 @@ class Index:
             rows = rows.filter(F.col("term").isin(list(terms)))
         return rows.filter(test(F.col("field"), F.col("term")))
 
+    def matching_where(
+        self, test: Test, fields: Sequence[str], exact: tuple[Test, Sequence[str], Sequence[str]], needed: tuple[str, Sequence[str]]
+    ) -> DataFrame:
+        """Postings that pass the test, of the documents that have one of the needed terms in its field.
+
+        The exact postings (their own test, fields and terms) are few and found by the reader's filters; those of
+        prefixes and the like, which may be nearly all documents', are cut down to the documents that can match.
+        """
+        found = self.matching(*exact)
+        field, terms = needed
+        documents = self.matching(lambda f, t: (f == field) & t.isin(list(terms)), [field], terms).select("doc_id")
+        loose = self.matching(lambda f, t: test(f, t) & ~exact[0](f, t), fields)
+        return found.unionByName(loose.join(documents, "doc_id", "left_semi").select(*found.columns))
+
     def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
         """``field, term, df, n_docs, total_len`` of the given terms, at most one row per field and term."""
         wanted = F.col("field").isin(list(fields))
@@ -234,13 +248,23 @@ class LiveIndex(Index):
     doc_id: str = "doc_id"
 
     def _specs_of(self, fields: Sequence[str]) -> list[FieldSpec]:
-        """The columns that can hold the fields: their own, and the maps when a name is no column."""
-        own = [s for s in self.specs if s.shape != MAP and s.name in fields]
-        maps = [s for s in self.specs if s.shape == MAP]
-        return own if {s.name for s in own} == set(fields) else own + maps
+        """The columns that can hold the fields: their own, and the maps, which may have a key of any name."""
+        return [s for s in self.specs if s.shape == MAP or s.name in fields]
 
     def matching(self, test: Test, fields: Sequence[str], terms: Sequence[str] | None = None) -> DataFrame:
-        return build_postings(self.documents, self._specs_of(fields), self.doc_id, keep=test)
+        return build_postings(self.documents, self._specs_of(fields), self.doc_id, keep=lambda f, t: f.isin(list(fields)) & test(f, t))
+
+    def matching_where(
+        self, test: Test, fields: Sequence[str], exact: tuple[Test, Sequence[str], Sequence[str]], needed: tuple[str, Sequence[str]]
+    ) -> DataFrame:
+        """As in a stored index; here a document is looked at by itself, and one that lacks the terms gives nothing."""
+        field, terms = needed
+        has = F.exists(
+            F.concat(*[s.entries() for s in self._specs_of([field])]),
+            lambda e: (e["field"] == field) & F.arrays_overlap(e["terms"], F.array(*[F.lit(t) for t in terms])),
+        )
+        some = LiveIndex(self.postings, self.terms, self.fields, self.specs, self.documents.where(has), self.doc_id)
+        return some.matching(test, fields)
 
     def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
         """One pass: each document gives a row per field without a term, for the totals, and one per term."""

@@ -6,9 +6,9 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamdex import fixed
@@ -24,28 +24,50 @@ class Clause:
     """One part of a query. ``text`` is analysed as its field is; ``high`` closes a range.
 
     A term clause whose text gives several tokens matches any of them. Term and phrase clauses score by
-    BM25, all other kinds by their boost.
+    BM25, all other kinds by their boost. A range without ``text`` or ``high`` is open at that end; ``inclusive`` holds
+    for both ends unless ``high_inclusive`` says otherwise. A fuzzy clause allows ``edits`` insertions, deletions,
+    changes and, with ``transpositions``, swaps of neighbours.
     """
 
-    text: str
+    text: str | None
     field: str = "title"
     kind: str = TERM
     occur: str = SHOULD
     boost: float = 1.0
     high: str | None = None
     inclusive: bool = True
+    high_inclusive: bool | None = None
+    edits: int = fixed.FUZZY_EDITS
+    transpositions: bool = True
 
 
-def all_of(*clauses: Clause) -> list[Clause]:
+@dataclass(frozen=True)
+class Group:
+    """Clauses and groups that count as one clause: ``(a OR b) AND c`` is ``[Group((a, b), MUST), c with MUST]``.
+
+    The same rules hold inside as for a whole query. A group scores what its parts do, times its boost.
+    """
+
+    clauses: tuple[Clause | Group, ...]
+    occur: str = SHOULD
+    boost: float = 1.0
+
+
+def all_of(*clauses: Clause | Group) -> list[Clause | Group]:
     """AND of clauses."""
     return [replace(c, occur=MUST) if c.occur == SHOULD else c for c in clauses]
 
 
 def keyword_clauses(keyword: str, prefix: str, field: str = "title", prefix_field: str = "link") -> list[Clause]:
     """The clauses of ``field:w1 w2 ... wn AND prefix``: AND makes its two neighbours required, so of the
-    words only the last is; the others raise the score."""
+    words only the last is; the others raise the score. The last word is the last one that has a token; a keyword
+    without any has no hits."""
     words = keyword.split()
-    terms = [Clause(w, field, occur=MUST if i == len(words) - 1 else SHOULD) for i, w in enumerate(words)]
+    row = SparkSession.active().sql("select 1").select(F.array(*[F.size(text.tokens(F.lit(w))) for w in words]).alias("n"))
+    last = max((i for i, n in enumerate(row.first()["n"] or []) if n), default=None)
+    terms = [Clause(w, field, occur=MUST if i == last else SHOULD) for i, w in enumerate(words)]
+    if last is None:
+        terms = [Clause("", field, WILDCARD, MUST)]
     return [*terms, Clause(prefix, prefix_field, PREFIX, MUST)]
 
 
@@ -65,7 +87,7 @@ def _analysed(index: Index, clauses: Sequence[Clause]) -> list[list[str]]:
         c.kind in (TERM, PHRASE) and index.analyzer(c.field) == "standard" for c in clauses
     ]
     # One row of literals, which the optimizer works out without a job.
-    found = spark.sql("select 1").select(*[text.tokens(F.lit(c.text)) for c in clauses]).first()
+    found = spark.sql("select 1").select(*[text.tokens(F.lit(c.text).cast("string")) for c in clauses]).first()
     return [found[i] if s else [c.text] for i, (c, s) in enumerate(zip(clauses, standard))]
 
 
@@ -75,11 +97,47 @@ def _glob(pattern: str) -> str:
     return r"(?s)\A" + "".join(parts.get(ch, re.sub(r"([^\w])", r"\\\1", ch)) for ch in pattern) + r"\z"
 
 
+def within_edits(term: Column, word: str, edits: int) -> Column:
+    """Whether ``term`` is at most ``edits`` edits or swaps of neighbours (each part edited once) from ``word``.
+
+    A swap is two plain edits, so the built-in distance lets few terms through to the exact table, which is filled
+    by the characters of the term: the last two rows and the last character are carried along.
+    """
+    letters = F.transform(F.sequence(F.lit(1), F.length(term)), lambda i: F.substring(term, i, 1))
+    first = F.array(*[F.lit(j) for j in range(len(word) + 1)])
+    start = F.struct(first.alias("two"), first.alias("one"), F.lit("").alias("last"), F.lit(0).alias("n"))
+
+    def row(state: Column, letter: Column) -> Column:
+        cells = [F.get(state["one"], F.lit(0)) + 1]
+        for j, w in enumerate(word, 1):
+            change = F.get(state["one"], F.lit(j - 1)) + F.when(letter == w, 0).otherwise(1)
+            best = [F.get(state["one"], F.lit(j)) + 1, cells[-1] + 1, change]
+            if j > 1:
+                swap = (state["n"] > 0) & (letter == word[j - 2]) & (state["last"] == w)
+                best.append(F.when(swap, F.get(state["two"], F.lit(j - 2)) + 1))
+            cells.append(F.least(*best))
+        return F.struct(state["one"].alias("two"), F.array(*cells).alias("one"), letter.alias("last"), (state["n"] + 1).alias("n"))
+
+    table = F.aggregate(letters, start, row)
+    exact = F.get(table["one"], F.lit(len(word))) <= edits
+    near = F.levenshtein(term, F.lit(word), 2 * edits) >= 0
+    return near & (term != "") & F.when(near & (term != ""), exact).otherwise(False)
+
+
 def _test(clause: Clause, terms: list[str], standard: bool) -> Test:
     """What a posting must be to count for a clause."""
     low, high = clause.text, clause.high
     if standard:
-        low, high = low.lower(), high.lower() if high else high
+        low, high = low.lower() if low is not None else low, high.lower() if high is not None else high
+
+    def in_range(term: Column) -> Column:
+        tests = [F.lit(True)]
+        if low is not None:
+            tests.append(term >= low if clause.inclusive else term > low)
+        if high is not None:
+            closed = clause.inclusive if clause.high_inclusive is None else clause.high_inclusive
+            tests.append(term <= high if closed else term < high)
+        return reduce(and_, tests)
 
     def holds(term: Column) -> Column:
         if clause.kind in (TERM, PHRASE):
@@ -89,37 +147,73 @@ def _test(clause: Clause, terms: list[str], standard: bool) -> Test:
         if clause.kind == WILDCARD:
             return F.startswith(term, F.lit(re.split(r"[*?]", low)[0])) & term.rlike(_glob(low))
         if clause.kind == FUZZY:
-            return F.levenshtein(term, F.lit(low), fixed.FUZZY_EDITS) >= 0
+            if clause.transpositions:
+                return within_edits(term, low, clause.edits)
+            return F.levenshtein(term, F.lit(low), clause.edits) >= 0
         if clause.kind == RANGE:
-            return (term >= low) & (term <= high) if clause.inclusive else (term > low) & (term < high)
+            return in_range(term)
         raise ValueError(f"unknown clause kind {clause.kind}")
 
     return lambda field, term: (field == clause.field) & holds(term)
 
 
-def search(index: Index, clauses: Sequence[Clause]) -> DataFrame:
+def _leaves(clauses: Sequence[Clause | Group]) -> list[Clause]:
+    return [leaf for c in clauses for leaf in (_leaves(c.clauses) if isinstance(c, Group) else [c])]
+
+
+def _pruned(clauses: Sequence[Clause | Group], terms: dict[int, list[str]]) -> list[Clause | Group]:
+    """The query without clauses that have no terms, and without groups left empty by that."""
+    out = []
+    for c in clauses:
+        if isinstance(c, Group):
+            inner = _pruned(c.clauses, terms)
+            if inner:
+                out.append(replace(c, clauses=tuple(inner)))
+        elif terms[id(c)]:
+            out.append(c)
+    return out
+
+
+def _check(clauses: Sequence[Clause | Group]) -> None:
+    if all(c.occur == MUST_NOT for c in clauses):
+        raise ValueError("a query needs a clause with terms that is not must_not")
+    for c in clauses:
+        if isinstance(c, Group):
+            _check(c.clauses)
+
+
+def search(index: Index, clauses: Sequence[Clause | Group]) -> DataFrame:
     """``doc_id, score`` of every matching document.
 
     One pass over the postings the clauses can match (field and term tests reach the parquet reader of a
-    stored index), one shuffle by document. Term statistics join in for the query's own terms only, at most
+    stored index), one shuffle by document. Where an exact clause is required, prefixes and the like are tested on
+    the documents that have it only. Term statistics join in for the query's own terms only, at most
     one row per term asked for, which bounds their broadcast.
     """
-    kept = [(c, t) for c, t in zip(clauses, _analysed(index, clauses)) if t]
-    if all(c.occur == MUST_NOT for c, _ in kept):
-        raise ValueError("a query needs a clause with terms that is not must_not")
+    leaves = _leaves(clauses)
+    analysed = {id(c): ts or ([""] if c.kind not in (TERM, PHRASE) else []) for c, ts in zip(leaves, _analysed(index, leaves))}
+    query = _pruned(clauses, analysed)
+    _check(query)
+    kept = [(c, analysed[id(c)]) for c in _leaves(query)]
     for c, ts in kept:
         if c.kind == PHRASE and len(ts) > 1 and not index.has_positions(c.field):
             raise ValueError(f"field {c.field} is indexed without positions")
     tests = [_test(c, ts, index.analyzer(c.field) == "standard") for c, ts in kept]
 
-    def any_test(field: Column, term: Column) -> Column:
-        return reduce(or_, [t(field, term) for t in tests])
+    def any_of(some: Sequence[Test]) -> Test:
+        return lambda field, term: reduce(or_, [t(field, term) for t in some])
 
     fields = sorted({c.field for c, _ in kept})
     exact = [(c.field, t) for c, ts in kept if c.kind in (TERM, PHRASE) for t in ts]
     scored_fields, terms = sorted({f for f, _ in exact}), sorted({t for _, t in exact})
-    only_exact = all(c.kind in (TERM, PHRASE) for c, _ in kept)
-    rows = index.matching(any_test, fields, terms if only_exact else None)
+    exact_tests = [t for t, (c, _) in zip(tests, kept) if c.kind in (TERM, PHRASE)]
+    needed = [(c.field, analysed[id(c)]) for c in query if isinstance(c, Clause) and c.occur == MUST and c.kind in (TERM, PHRASE)]
+    if len(exact_tests) == len(kept):
+        rows = index.matching(any_of(tests), fields, terms)
+    elif needed:
+        rows = index.matching_where(any_of(tests), fields, (any_of(exact_tests), scored_fields, terms), needed[0])
+    else:
+        rows = index.matching(any_of(tests), fields)
     if exact:
         rows = _weighted(rows, index.statistics(scored_fields, terms))
     else:
@@ -144,7 +238,7 @@ def search(index: Index, clauses: Sequence[Clause]) -> DataFrame:
             aggs.append(F.sum(F.when(here, F.col("_weight"))).alias(f"s{i}"))
         else:
             aggs.append(F.max(F.when(here, F.lit(1.0))).alias(f"s{i}"))
-    return _combined(rows.groupBy("doc_id").agg(*aggs), kept)
+    return _combined(rows.groupBy("doc_id").agg(*aggs), kept, query)
 
 
 def _weighted(rows: DataFrame, statistics: DataFrame) -> DataFrame:
@@ -163,7 +257,7 @@ def _shifted(positions: Column, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
 
-def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]]) -> DataFrame:
+def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]], query: Sequence[Clause | Group]) -> DataFrame:
     """Clause scores to document scores, by occurrence rules."""
     scored = per_doc
     for i, (c, ts) in enumerate(kept):
@@ -173,21 +267,20 @@ def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]]) -> DataF
             weights = reduce(lambda a, b: a + b, [F.col(f"w{i}_{j}") for j in range(len(ts))])
             value = weights * tf_norm(F.col(f"f{i}"), F.col(f"l{i}"), F.col(f"a{i}"))
             scored = scored.withColumn(f"s{i}", F.when(F.col(f"f{i}") > 0, value))
-    hit = {i: F.col(f"s{i}").isNotNull() for i in range(len(kept))}
-    by = lambda occur: [i for i, (c, _) in enumerate(kept) if c.occur == occur]
-    for i in by(MUST):
-        scored = scored.filter(hit[i])
-    for i in by(MUST_NOT):
-        scored = scored.filter(~hit[i])
-    if not by(MUST):
-        scored = scored.filter(reduce(or_, [hit[i] for i in by(SHOULD)], F.lit(False)))
-    parts = [
-        F.coalesce(F.col(f"s{i}"), F.lit(0.0)) * c.boost
-        for i, (c, _) in enumerate(kept)
-        if c.occur != MUST_NOT
-    ]
-    total = reduce(lambda a, b: a + b, parts, F.lit(0.0))
-    return scored.select("doc_id", total.alias("score"))
+    numbers = iter(range(len(kept)))
+
+    def score_of(parts: Sequence[Clause | Group]) -> Column:
+        """Score of a list of parts; null where it does not match."""
+        values = [
+            ((score_of(c.clauses) if isinstance(c, Group) else F.col(f"s{next(numbers)}")) * c.boost, c.occur) for c in parts
+        ]
+        must = [v.isNotNull() for v, o in values if o == MUST] + [v.isNull() for v, o in values if o == MUST_NOT]
+        if not any(o == MUST for _, o in values):
+            must.append(reduce(or_, [v.isNotNull() for v, o in values if o == SHOULD], F.lit(False)))
+        total = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v, o in values if o != MUST_NOT], F.lit(0.0))
+        return F.when(reduce(and_, must), total)
+
+    return scored.select("doc_id", score_of(query).alias("score")).where("score is not null")
 
 
 def best_first() -> list[Column]:

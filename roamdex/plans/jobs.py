@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from roamdex import fixed
 from roamdex.operators import enrich as en
 from roamdex.operators import evaluate as ev
+from roamdex.operators import frontier as fr
 from roamdex.operators import infobox as ib
 from roamdex.operators import links as li
 from roamdex.operators import pages as pg
 from roamdex.operators.batch_search import hit_counts
 from roamdex.operators.postings import DOCUMENT_FIELDS, FieldSpec, Index
-from roamdex.session import cut_lineage, spread_small
+from roamdex.session import cut_lineage
 from roamdex.sources import readers, writers
 
 
@@ -31,7 +32,6 @@ def build_collection(
     from a table that survives lost executors.
     """
     spark = pages.sparkSession
-    pages = spread_small(pages, "url_key")
     writers.write_documents(pg.extract_documents(pages, names), f"{out}/documents", mode="overwrite")
     documents = spark.read.parquet(f"{out}/documents")
     writers.write_gazetteer(pg.gazetteer(documents), f"{out}/gazetteer")
@@ -66,6 +66,22 @@ def link_table(pages: DataFrame, out: str, origin_pattern: str = fixed.ORIGIN_HT
     ).parquet(out)
 
 
+def dedup_state(spark: SparkSession, state: str, out: str, keys: tuple[str, str] = ("priority", "other")) -> None:
+    """A saved crawl state with repeats to one without, as tables under ``out``, which is another folder."""
+    frontier, visited = fr.from_state(*readers.read_state_json(spark, state, *keys))
+    writers.write_state(frontier, visited, out)
+
+
+def reconcile_state(
+    spark: SparkSession, state: str, pages: str, out: str, keys: tuple[str, str] = ("priority", "other")
+) -> None:
+    """A saved crawl state against a folder of crawled files: fetched URLs become visited, the others stay queued."""
+    queue, visited = readers.read_state_json(spark, state, *keys)
+    stay, seen = fr.reconcile(queue, visited, readers.listed_keys(spark, pages))
+    frontier, seen = fr.from_state(stay, seen)
+    writers.write_state(frontier, seen, out)
+
+
 def evaluate_counts(
     index: Index, keywords: DataFrame, truth: DataFrame, prefix: str = fixed.COUNT_LINK_PREFIX
 ) -> DataFrame:
@@ -74,7 +90,7 @@ def evaluate_counts(
     A missing truth counts as 0. Precision takes a keyword as relevant when it has true hits at all.
     """
     predicted = hit_counts(index, keywords, prefix).withColumnRenamed("hits", "predicted")
-    known = truth.select("keyword", F.coalesce(F.col("truth").try_cast("int"), F.lit(0)).alias("truth"))
+    known = truth.select("keyword", F.coalesce(F.col("truth").try_cast("bigint"), F.lit(0)).alias("truth"))
     # Read three times below; a row per keyword, stored once.
     rows = cut_lineage(ev.paired(known, predicted))
     precision = ev.average_precision(rows, F.col("truth") > 0, "predicted")

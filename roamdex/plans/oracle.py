@@ -51,7 +51,7 @@ _RAW = f"replace(replace(concat(url, {NL}, html), chr(13) || {NL}, {NL}), chr(13
 PAGE_DOCUMENTS = rf"""
 with raw as (select {_RAW} as raw from pages),
      body as (select split_part(raw, {NL}, 1) as link, regexp_extract(raw, '<title>(.*)</title>', 1) as title,
-                     substring(regexp_replace(regexp_replace(raw, '<.*?>', '', 'g'), '\n+', {NL}, 'g'), 1, {fixed.TEXT_CAP}) as other
+                     regexp_replace(regexp_replace(raw, '<.*?>', '', 'g'), '\n+', {NL}, 'g') as other
               from raw)
 select md5(link) as doc_id, link, title, cast(0 as bigint) as num_cat, md5(other) as other_md5,
        cast(length(other) as bigint) as other_chars
@@ -76,7 +76,7 @@ WRAPPED = (
 
 def _section(name: str) -> str:
     body = rf"regexp_extract(clean, '(?s)({name}\[edit\].*?){WORD}+\[edit\]', 1)"
-    cut = rf"substring(regexp_replace({body}, '\n+', {NL}, 'g'), 1, {fixed.TEXT_CAP})"
+    cut = rf"regexp_replace({body}, '\n+', {NL}, 'g')"
     return f"select doc_id, {_q(name)} as name, {cut} as body from wrapped"
 
 
@@ -98,7 +98,7 @@ def _remainder() -> str:
         rest = rf"regexp_replace({rest}, '(?s){name}\[edit\].*?({WORD}+\[edit\])', '\1', 'g')"
     return rf"""
 with {WRAPPED},
-     rest as (select doc_id, substring(regexp_replace({rest}, '\n+', {NL}, 'g'), 1, {fixed.TEXT_CAP}) as rest from wrapped)
+     rest as (select doc_id, regexp_replace({rest}, '\n+', {NL}, 'g') as rest from wrapped)
 select doc_id, md5(rest) as rest_md5, cast(length(rest) as bigint) as rest_chars from rest
 """
 
@@ -136,8 +136,11 @@ select value, count(*) as n_docs from names group by value
 
 _HEADINGS = f"select unnest(regexp_extract_all(html, {_q(ANCHOR)}, 1)) as heading from pages"
 HEADING_COUNTS = f"select heading, count(*) as n from ({_HEADINGS}) group by heading"
-TOP_HEADINGS = f"{HEADING_COUNTS} order by n desc, heading limit 100"
-HEADING_TEXT = f"select '(''' || heading || ''', ' || n || ')' as value from ({HEADING_COUNTS})"
+TOP_HEADINGS = f"{HEADING_COUNTS} order by n desc, heading"
+_ESCAPED = r"replace(replace(replace(replace(heading, '\', '\\'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')"
+_QUOTED = rf"""case when contains(heading, chr(39)) and not contains(heading, '"') then '"' || {_ESCAPED} || '"'
+ else chr(39) || replace({_ESCAPED}, chr(39), '\' || chr(39)) || chr(39) end"""
+HEADING_TEXT = f"select '(' || {_QUOTED} || ', ' || n || ')' as value from ({HEADING_COUNTS})"
 
 # --- links -----------------------------------------------------------------------------------------
 
@@ -148,15 +151,28 @@ with l as (select page_id, regexp_extract_all(concat_ws(' ', url, url || '.png',
      e as (select page_id, cast(unnest(range(len(ls))) as bigint) as pos, unnest(ls) as link from l)
 select page_id, pos, link from e where not {EXCLUDED.format(u='link')}
 """
-EDGES = f"""edges as (
+_HOST = "split_part(url, '/', 3)"
+_LINKED = f"""concat(html, chr(13), {NL}, 'see https://www.example.org/wiki/', page_id % 7, '. https://', {_HOST}, '/top, https://', {_HOST},
+ '/a.png https://guide.example.org/p/', page_id % 40)"""
+
+
+def _edges(origin: str) -> str:
+    return f"""edges as (
   select src, dst, kind, pos from (
     select url as src, root || unnest(rel) as dst, cast(0 as bigint) as kind, cast(unnest(range(len(rel))) as bigint) as pos
-    from (select url, {ORIGIN.format(u='url')} as root, regexp_extract_all(html, 'href="(/.*?)"', 1) as rel from pages)
+    from (select url, {origin} as root, regexp_extract_all({_LINKED}, 'href="(/.*?)"', 1) as rel from pages)
     where root <> ''
     union all
     select url, unnest(found), cast(1 as bigint), cast(unnest(range(len(found))) as bigint)
-    from (select url, regexp_extract_all(concat(url, {NL}, html), {_q(_ABS)}, 0) as found from pages))
+    from (select url, regexp_extract_all({_LINKED}, {_q(_ABS)}, 0) as found from pages))
   where not {EXCLUDED.format(u='dst')})"""
+
+
+EDGES = _edges(ORIGIN.format(u="url"))
+LINK_GRAPH_HTTPS = f"""
+with {_edges("regexp_extract(url, '(https://.*?)/', 1)")}
+select src, cast(count(*) filter (where kind = 0) as bigint) as n_relative, count(*) as n_links from edges group by src
+"""
 LINK_GRAPH = f"with {EDGES} select src, dst, kind, pos from edges"
 QUEUE_CLASSES = f"""
 with {EDGES}
@@ -199,6 +215,16 @@ with {EDGES},
      q as (select distinct {_quoted('url')} as url from (select dst as url from edges union all select url from pages)),
      keys as (select distinct md5({_quoted('url')}) || '.txt' as url_key from pages)
 select url, case when md5(url) || '.txt' in (select url_key from keys) then 'visited' else 'queued' end as state from q
+union all
+select url, 'visited' from (select {_q(SEED_BASE)} || trim(c_name) as url from customer) where url not in (select url from q)
+"""
+FRONTIER_RESUME = f"""
+with {EDGES},
+     seen as (select url from pages where page_id % 5 = 0 union select dst from edges where ends_with(dst, '/top')),
+     first as (select dst as url, {RANK.format(u='dst')} as queue_rank, min(pos) as seq from edges group by dst),
+     turns as (select url, row_number() over (order by queue_rank, seq, url) as turn from first
+               where url not in (select url from seen))
+select url, turn from turns where turn <= {3 * ROUND_SIZE} union all select url, -1 from seen
 """
 FRONTIER_DEDUP = f"""
 with {EDGES}
@@ -227,6 +253,7 @@ INFOBOX_PAIRS = f"with {_PAIRS} select title, pos, mod_key, mod_val from pairs"
 INFOBOX_MAP = f"""
 with {_PAIRS} select title, mod_key as key, arg_max(mod_val, pos) as value from pairs group by title, mod_key
 """
+INFOBOX_MISSING = f"with {_PAIRS} select title, count(*) as n_pairs from pairs group by title"
 SEMI_GAZETTEER = f"""
 with {_PAIRS}
 select p_name as title, count(distinct title) as n_rows, count(*) as n_pairs from pairs
@@ -436,6 +463,71 @@ def _keyword_search() -> str:
     return _sum_query(TITLE_TOKENS, [("is", 1.0), ("on", 1.0), ("the", 1.0)], where, "1.0")
 
 
+SEARCH_GROUP = f"""
+with {TEXT_TOKENS}, {BM25},
+     hit as (select doc_id, sum(case when term in ('the', 'la') then 2 * s else s end) as score from bm
+             where term in ('the', 'la', 'und') group by doc_id)
+select doc_id, round(score, 6) as score from hit
+where ({_has('the')} or {_has('la')}) and not ({_has('and')} and {_has('in')})
+"""
+SEARCH_RANGE_OPEN = f"""
+with {TEXT_TOKENS}
+select doc_id, cast(cast(bool_or(term > 'ton') as int) + cast(bool_or(term <= 'aa') as int) as double) as score
+from post where term > 'ton' or term <= 'aa' group by doc_id
+"""
+SEARCH_LATE_WORD = """
+select url as link, cast(length(url) + 1 + 7 * 5000 + 9 as bigint) as n_chars from pages where page_id % 9 = 3
+"""
+SEARCH_LIVE_VS_STORED = f"""
+with {_CRUMBED}
+select link, way from crumbs, (values ('live'), ('stored')) w(way)
+"""
+_FULL_RAW = f"""replace(replace(concat(link, {NL}, line, {NL}, 'title="no"', {NL}, html, chr(13), {NL}, replace(clean, {NL}, chr(13) || {NL}),
+ 'https://www.example.org/x', chr(13)), chr(13) || {NL}, {NL}), chr(13), {NL})"""
+
+
+def _full_documents() -> str:
+    rest = "clean"
+    for name in fixed.SECTION_NAMES:
+        rest = rf"regexp_replace({rest}, '(?s){name}\[edit\].*?({WORD}+\[edit\])', '\1', 'g')"
+    names = " union all ".join(
+        rf"select link, {_q(n)} as name from tags where regexp_matches(clean, '(?s){n}\[edit\].*?{WORD}+\[edit\]')"
+        for n in fixed.SECTION_NAMES
+    )
+    return rf"""
+with {_CRUMBED}, {WRAPPED},
+     raws as (select c.link, {TITLE.replace('html', 'c.html')} as title, categories, {_FULL_RAW} as raw
+              from crumbs c join crumbed using (page_id, link, html) join wrapped on wrapped.doc_id = page_id),
+     tags as (select link, title, categories, regexp_replace(raw, '<[^
+>]*>', '', 'g') as clean from raws),
+     named as ({names}),
+     n as (select link, count(*) as num_cat, md5(string_agg(name, ',' order by name)) as names_md5 from named group by link)
+select tags.link, title, coalesce(num_cat, 0) as num_cat, array_to_string(categories, '|') as categories,
+       coalesce(names_md5, md5('')) as names_md5,
+       md5(regexp_replace(regexp_extract(clean, '(?s)(See\[edit\].*?){WORD}+\[edit\]', 1), '
++', {NL}, 'g')) as see_md5,
+       md5(regexp_replace({rest}, '
++', {NL}, 'g')) as other_md5
+from tags left join n on n.link = tags.link
+"""
+
+
+GAZETTEER_ROUND_TRIP = f"""
+with {_CRUMBED},
+     names as (select distinct {_clean_name('name')} as value from (select unnest(list_prepend({TITLE}, categories)) as name from crumbs))
+select trim(value, {_SPACE}) as value, count(*) as n from names where value <> '' group by 1
+"""
+KEYWORDS_ROUND_TRIP = f"""
+select distinct trim(line, {_SPACE}) as keyword from (select unnest(string_split(text, {NL})) as line from benchmark)
+"""
+PAGE_FILES_ROUND_TRIP = f"select url as link, {TITLE} as title, 2 * count(*) as n from pages group by 1, 2"
+STATE_ROUND_TRIP = f"""
+with {_SPLIT}
+select url, queue_rank, seq from waiting union all select url, null, null from visited
+"""
+RESULT_COUNTS = "select url, case when page_id % 4 > 0 then page_id * 37 end as truth from pages"
+
+
 ORACLE: dict[str, str] = {
     "page_documents": PAGE_DOCUMENTS,
     "page_sections": PAGE_SECTIONS,
@@ -449,6 +541,22 @@ ORACLE: dict[str, str] = {
     "heading_text": HEADING_TEXT,
     "absolute_links": ABSOLUTE_LINKS,
     "link_graph": LINK_GRAPH,
+    "link_graph_https": LINK_GRAPH_HTTPS,
+    "frontier_resume": FRONTIER_RESUME,
+    "infobox_missing": INFOBOX_MISSING,
+    "search_range_open": SEARCH_RANGE_OPEN,
+    "search_fuzzy_one": _constant(r"damerau_levenshtein(regexp_replace(term, '[^\x00-\x7F]', '#', 'g'), 'thier') <= 1"),
+    "search_group": SEARCH_GROUP,
+    "search_keyword_tail": _keyword_search(),
+    "search_late_word": SEARCH_LATE_WORD,
+    "search_live_vs_stored": SEARCH_LIVE_VS_STORED,
+    "full_documents": _full_documents(),
+    "dump_round_trip": INFOBOX_MAP,
+    "gazetteer_round_trip": GAZETTEER_ROUND_TRIP,
+    "keywords_round_trip": KEYWORDS_ROUND_TRIP,
+    "page_files_round_trip": PAGE_FILES_ROUND_TRIP,
+    "state_round_trip": STATE_ROUND_TRIP,
+    "result_counts": RESULT_COUNTS,
     "queue_classes": QUEUE_CLASSES,
     "url_keys": URL_KEYS,
     "seed_frontier": SEED_FRONTIER,
@@ -473,7 +581,7 @@ ORACLE: dict[str, str] = {
     "search_topk": _sum_query(TEXT_TOKENS, [("the", 1.0), ("la", 1.0), ("und", 1.0)])
     + f" order by round(hit.score, 9) desc, doc_id limit {HITS}",
     "search_wildcard": _constant(r"regexp_full_match(term, '(?s)t.e.*n')"),
-    "search_fuzzy": _constant(r"levenshtein(regexp_replace(term, '[^\x00-\x7F]', '#', 'g'), 'thier') <= 2"),
+    "search_fuzzy": _constant(r"damerau_levenshtein(regexp_replace(term, '[^\x00-\x7F]', '#', 'g'), 'thier') <= 2"),
     "search_range": _constant("term >= 'la' and term <= 'le'"),
     "search_prefix": _sum_query(
         TITLE_TOKENS,

@@ -34,7 +34,8 @@ from roamdex.operators.postings import (
     term_stats,
 )
 from roamdex.plans.jobs import evaluate_counts
-from roamdex.session import shared_folder, spread_small
+from roamdex.session import cut_lineage, shared_folder
+from roamdex.sources import readers, writers
 from roamdex.sources.writers import heading_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,25 +58,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents for work on their whole text, over all cores also when they are a few row groups."""
-    return spread_small(table(spark, sf, "documents"), "doc_id")
-
-
-def bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages for work on their whole body."""
-    return spread_small(table(spark, sf, "pages"), "page_id")
+def linked_html(html: Column) -> Column:
+    """A page's body with absolute links after it: some that many pages share, one to its host, one to an image."""
+    host = F.split_part(F.col("url"), F.lit("/"), F.lit(3))
+    return F.concat(
+        html, F.lit("\r\nsee https://www.example.org/wiki/"), (F.col("page_id") % 7).cast("string"), F.lit(". https://"), host,
+        F.lit("/top, https://"), host, F.lit("/a.png https://guide.example.org/p/"), (F.col("page_id") % 40).cast("string"),
+    )
 
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """``page_id, url_key, link, raw``."""
-    pages = bodies(spark, sf)
+    pages = table(spark, sf, "pages")
     link = F.col("url")
     return pages.select(
         "page_id",
         urls.url_key(urls.quote(link)).alias("url_key"),
         link.alias("link"),
-        text.newlines(F.concat(link, F.lit("\n"), F.col("html"))).alias("raw"),
+        text.newlines(F.concat(link, F.lit("\n"), linked_html(F.col("html")))).alias("raw"),
     )
 
 
@@ -94,7 +94,7 @@ def titled(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def page_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = pg.extract_documents(pg.pages_from_table(bodies(spark, sf)))
+    docs = pg.extract_documents(pg.pages_from_table(table(spark, sf, "pages")))
     return docs.select(
         "doc_id",
         "link",
@@ -107,7 +107,7 @@ def page_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def wrapped_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Document lines put under the section headings: one line each, all further lines under the last."""
-    lines = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines"))
+    lines = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
     names = fixed.SECTION_NAMES
     parts: list[Column] = [F.lit("Intro\n")]
     for i, name in enumerate(names, 1):
@@ -144,7 +144,7 @@ def page_remainder(spark: SparkSession, sf: str) -> DataFrame:
 
 def crumbed_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages with a breadcrumb line made of their URL parts, with a leaf on every https page."""
-    pages = bodies(spark, sf)
+    pages = table(spark, sf, "pages")
     part = lambda n: F.split_part(F.col("url"), F.lit("/"), F.lit(n))
     leaf = F.when(
         F.startswith("url", F.lit("https://")),
@@ -191,7 +191,7 @@ def heading_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def top_headings(spark: SparkSession, sf: str) -> DataFrame:
-    return pg.ranked(heading_counts(spark, sf)).limit(100)
+    return pg.ranked(heading_counts(spark, sf))
 
 
 @query
@@ -212,8 +212,8 @@ def absolute_links(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def edges(spark: SparkSession, sf: str) -> DataFrame:
-    return li.page_links(raw_pages(spark, sf), fixed.ORIGIN_ANY)
+def edges(spark: SparkSession, sf: str, origin_pattern: str = fixed.ORIGIN_ANY) -> DataFrame:
+    return li.page_links(raw_pages(spark, sf), origin_pattern)
 
 
 @query
@@ -223,6 +223,14 @@ def link_graph(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def link_graph_https(spark: SparkSession, sf: str) -> DataFrame:
+    """Links by the https-only rule: relative links of http pages have no origin and are dropped."""
+    return edges(spark, sf, fixed.ORIGIN_HTTPS).groupBy("src").agg(
+        F.sum(F.when(F.col("kind") == li.RELATIVE, 1).otherwise(0)).alias("n_relative"), F.count(F.lit(1)).alias("n_links")
+    )
+
+
 @query
 def queue_classes(spark: SparkSession, sf: str) -> DataFrame:
     rank = urls.queue_rank(F.col("dst"), PRIORITY_HOST).cast("bigint")
@@ -294,18 +302,29 @@ def frontier_round(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def frontier_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Link targets and page URLs queued, pages fetched: fetched URLs move to visited."""
+    """Link targets and page URLs queued, pages fetched: fetched URLs move to visited, where customers' are already."""
     targets = edges(spark, sf).select(F.col("dst").alias("url"), F.col("pos").cast("bigint").alias("seq"))
     own = table(spark, sf, "pages").select("url", F.col("page_id").alias("seq"))
     queue = targets.unionByName(own).withColumn("queue_rank", urls.queue_rank(F.col("url"), PRIORITY_HOST))
-    stay, seen = fr.reconcile(
-        queue, spark.createDataFrame([], "url string"), raw_pages(spark, sf).select("url_key")
-    )
+    before = table(spark, sf, "customer").select(F.concat(F.lit(SEED_BASE), text.strip(F.col("c_name"))).alias("url"))
+    stay, seen = fr.reconcile(queue, before, raw_pages(spark, sf).select("url_key"))
     return stay.select("url", F.lit("queued").alias("state")).unionByName(
         seen.select("url", F.lit("visited").alias("state"))
     )
 
 
+@query
+def frontier_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved state taken up: all link targets queued twice over, every fifth page visited; then the next URLs."""
+    targets = edges(spark, sf).select(F.col("dst").alias("url"), F.col("pos").cast("bigint").alias("seq"))
+    queue = targets.unionByName(targets).withColumn("queue_rank", urls.queue_rank(F.col("url"), PRIORITY_HOST))
+    visited = table(spark, sf, "pages").where("page_id % 5 = 0").select("url")
+    visited = visited.unionByName(targets.where(F.endswith("url", F.lit("/top"))).select("url"))
+    frontier, seen = fr.from_state(queue, visited)
+    waiting = fr.numbered(fr.next_urls(frontier, 3 * ROUND_SIZE)).select("url", F.col("turn").cast("bigint").alias("turn"))
+    return waiting.unionByName(seen.select("url", F.lit(-1).cast("bigint").alias("turn")))
+
+
 @query
 def frontier_dedup(spark: SparkSession, sf: str) -> DataFrame:
     targets = edges(spark, sf).select(
@@ -348,6 +367,15 @@ def infobox_map(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("title", F.inline(F.map_entries("kv")))
 
 
+@query
+def infobox_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs counted over texts of which half have no infobox line: those give no row."""
+    dump = keyed_dump(spark, sf)
+    bare = table(spark, sf, "part").select(F.concat(F.lit("x"), "p_partkey").alias("title"), F.concat(F.lit("|a=b\n| c "), "p_name").alias("body"))
+    rows = ib.infobox_pairs(dump.unionByName(bare))
+    return rows.select("title", F.size("mod_key").cast("bigint").alias("n_pairs"))
+
+
 @query
 def semi_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     """Infobox pairs of the parts whose name is the name of an ECONOMY part."""
@@ -366,7 +394,7 @@ PAGE_FIELDS = (FieldSpec("title", positions=True), FieldSpec("link", analyzer="k
 
 
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return texts(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    return table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
 
 
 def text_index(spark: SparkSession, sf: str) -> Index:
@@ -437,16 +465,51 @@ _text_search("search_topk", C("the", "other"), C("la", "other"), C("und", "other
 _text_search("search_wildcard", C("t?e*n", "other", se.WILDCARD))
 _text_search("search_fuzzy", C("thier", "other", se.FUZZY))
 _text_search("search_range", C("la", "other", se.RANGE, high="le", inclusive=True))
+_text_search("search_range_open", C("ton", "other", se.RANGE, inclusive=False), C(None, "other", se.RANGE, high="aa"))
+_text_search("search_fuzzy_one", C("thier", "other", se.FUZZY, edits=1))
+_text_search(
+    "search_group",
+    se.Group((C("the", "other"), C("la", "other")), se.MUST, 2.0), C("und", "other"),
+    se.Group((C("and", "other", occur=se.MUST), C("in", "other", occur=se.MUST)), se.MUST_NOT),
+)
 _page_search("search_prefix", *se.all_of(C("the"), C("https://", "link", se.PREFIX)))
 _page_search("search_phrase", C("the and", kind=se.PHRASE))
 _page_search("search_phrase_or_term", C("and attion to", kind=se.PHRASE, boost=1.5), C("is"))
-_page_search("search_keyword", *se.keyword_clauses("is on the", LINK_PREFIX))
+QUERIES["search_keyword"] = lambda spark, sf: scored(
+    se.search(page_index(spark, sf), se.keyword_clauses("is on the", LINK_PREFIX))
+)
+QUERIES["search_keyword_tail"] = lambda spark, sf: scored(
+    se.search(page_index(spark, sf), se.keyword_clauses("is on the –", LINK_PREFIX))
+)
+
+
+@query
+def search_late_word(spark: SparkSession, sf: str) -> DataFrame:
+    """A word behind character 32,000 of a page's remainder is found like any other."""
+    pages = table(spark, sf, "pages")
+    body = F.concat(F.col("url"), F.lit("\n"), F.repeat(F.lit("filler "), 5000), F.lit("lateword"), (F.col("page_id") % 9).cast("string"))
+    docs = pg.extract_documents(pages.select(body.alias("raw")), ())
+    hits = se.search(Index.build(docs.select("doc_id", "other"), (FieldSpec("other"),)), [C("lateword3", "other")])
+    return hits.join(docs.select("doc_id", "link", F.length("other").cast("bigint").alias("n_chars")), "doc_id").select("link", "n_chars")
+
+
+@query
+def search_live_vs_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A name that is a column and a map key at once, searched live and stored: both find both."""
+    docs = page_collection(spark, sf).withColumn(
+        "extra", F.create_map(F.lit("categories"), F.concat(F.lit("key "), F.split_part(F.col("link"), F.lit("/"), F.lit(4))))
+    )
+    live = Index.build(docs.select("doc_id", "categories", "extra"), (FieldSpec("categories", "keyword", ARRAY), FieldSpec("extra", shape="map")))
+    stored = Index(cut_lineage(live.postings), cut_lineage(live.terms), cut_lineage(live.fields), live.specs)
+    asked = [C("key", "categories", se.WILDCARD), C("en", "categories")]
+    one, two = (scored(se.search(i, asked)) for i in (live, stored))
+    ids = docs.select("doc_id", "link")
+    return one.withColumn("way", F.lit("live")).unionByName(two.withColumn("way", F.lit("stored"))).join(ids, "doc_id").select("link", "way")
 
 
 def page_collection(spark: SparkSession, sf: str) -> DataFrame:
     """Page documents in the full document layout, with breadcrumb categories."""
-    docs = pg.extract_documents(crumbed_pages(spark, sf), ("See", "Do"))
-    return docs
+    return pg.extract_documents(crumbed_pages(spark, sf))
 
 
 @query
@@ -492,15 +555,14 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.lit("other").alias("field"),
         F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("term"), F.lit(False).alias("required"),
     )
-    index = text_index(spark, sf).stored(f"{shared_folder(spark)}/{uuid.uuid4()}", ordered=False)
-    best = bs.search_batch(index, asked, HITS)
+    best = bs.search_batch(text_index(spark, sf), asked, HITS)
     return best.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query
 def keyword_list(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct stripped lines of all documents."""
-    lines = texts(spark, sf).select(F.explode(F.split("text", "\n")).alias("line"))
+    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
     return lines.select(text.strip(F.col("line")).alias("keyword")).distinct().select(F.md5("keyword").alias("keyword_md5"))
 
 
@@ -590,3 +652,94 @@ def evaluate_keywords(spark: SparkSession, sf: str) -> DataFrame:
     words = keywords(spark, sf)
     truth = bs.hit_counts(index, words, "http").select("keyword", F.col("hits").cast("string").alias("truth"))
     return evaluate_counts(index, words, truth, LINK_PREFIX).select("metric", F.round("percent", 6).alias("percent"))
+
+
+@query
+def result_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals read from saved result pages, of which some state none."""
+    pages = table(spark, sf, "pages")
+    total = F.concat(F.lit('<div data-mw-num-results-total="'), F.format_number(F.col("page_id") * 37, 0), F.lit('" data-x="1">'))
+    saved = pages.select("url", F.concat(F.col("html"), F.when(F.col("page_id") % 4 > 0, total).otherwise("")).alias("html"))
+    return ev.result_counts(saved, "url").withColumnRenamed("keyword", "url")
+
+
+# --- pages with all sections, and sources and sinks there and back --------------------------------------
+
+
+def full_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """``raw`` of page files with a title, breadcrumbs, all section names (with a document's lines under them), absolute
+    links, and line ends of both kinds."""
+    wrapped = wrapped_documents(spark, sf).select((F.col("doc_id")).alias("page_id"), "clean")
+    met = crumbed_pages(spark, sf).join(wrapped, "page_id")
+    raw = F.concat("raw", F.lit("\r\n"), F.replace(F.col("clean"), F.lit("\n"), F.lit("\r\n")), F.lit("https://www.example.org/x\r"))
+    return met.select("link", text.newlines(raw).alias("raw"))
+
+
+@query
+def full_documents(spark: SparkSession, sf: str) -> DataFrame:
+    docs = pg.extract_documents(full_pages(spark, sf))
+    named = F.array_join(F.array_sort(F.map_keys("paragraphs")), ",")
+    see = F.coalesce(F.try_element_at("paragraphs", F.lit("See")), F.lit(""))
+    return docs.select(
+        "link", "title", F.col("num_cat").cast("bigint").alias("num_cat"), F.array_join("categories", "|").alias("categories"),
+        F.md5(named).alias("names_md5"), F.md5(see).alias("see_md5"), F.md5("other").alias("other_md5"),
+    )
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder among those that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def dump_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts written as dump XML, read back, and their infoboxes written as JSON lines and read back."""
+    dump, boxes = _folder(spark, "dump"), _folder(spark, "boxes")
+    pages = keyed_dump(spark, sf).select("title", F.struct(F.struct(F.lit("1").alias("_bytes"), F.col("body").alias("_VALUE")).alias("text")).alias("revision"))
+    pages.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").save(dump)
+    writers.write_infoboxes(ib.infobox_pairs(readers.read_dump(spark, dump)), boxes)
+    rows = ib.with_map(readers.read_infoboxes(spark, boxes))
+    return rows.select("title", F.inline(F.map_entries("kv")))
+
+
+@query
+def gazetteer_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Gazetteer names written as text lines and read back."""
+    path = _folder(spark, "names")
+    writers.write_gazetteer(gazetteer(spark, sf).where("value <> ''"), path)
+    return readers.read_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def keywords_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark lines written with repeats, read as a keyword list."""
+    path = _folder(spark, "keywords")
+    lines = table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("value"))
+    lines.unionByName(lines).write.text(path)
+    return readers.read_keywords(spark, path)
+
+
+@query
+def page_files_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written one file each, read whole, documents appended twice and read back."""
+    path, out = _folder(spark, "pages"), _folder(spark, "documents")
+    one = raw_pages(spark, sf).select("url_key", "raw")
+    # One file per page, as a crawl leaves them: a folder per key, whose files are read whole.
+    one.write.option("lineSep", "\n").partitionBy("url_key").text(path)
+    pages = spark.read.text(path, wholetext=True).select("url_key", F.regexp_replace("value", r"\n\z", "").alias("raw"))
+    docs = pg.extract_documents(pages, ())
+    writers.write_documents(docs, out)
+    writers.write_documents(docs, out)
+    return spark.read.parquet(out).groupBy("link", "title").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def state_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A crawl state written as tables and read back."""
+    path = _folder(spark, "state")
+    queue, visited = split_queue(spark, sf)
+    writers.write_state(queue, visited, path)
+    frontier, seen = readers.read_state(spark, path)
+    rows = frontier.select("url", F.col("queue_rank").cast("bigint").alias("queue_rank"), "seq")
+    none = F.lit(None).cast("bigint")
+    return rows.unionByName(seen.select("url", none.alias("queue_rank"), none.alias("seq")))

@@ -1,14 +1,10 @@
-"""Session settings and the two guards every plan here leans on: lineage cuts and broadcast size checks."""
+"""Session settings, and lineage cuts in a folder that all executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(master: str | None = None, app: str = "roamdex", **conf: str) -> SparkSession:
@@ -19,6 +15,7 @@ def build_session(master: str | None = None, app: str = "roamdex", **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **conf,
@@ -48,27 +45,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer partitions than there are cores over all of them, by ``keys``.
-
-    Such a scan is small (its partitions are no larger than ``spark.sql.files.maxPartitionBytes``), and text
-    work on it would leave cores idle. A larger scan is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (rows and string bytes, one map-side combined aggregate) against the broadcast bounds."""
-    width = F.lit(0).cast("bigint")
-    for name, kind in df.dtypes:
-        if kind == "string":
-            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-        elif kind.startswith(("array", "map", "struct")):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
-        else:
-            width = width + 8
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes

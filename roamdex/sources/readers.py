@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,15 +90,16 @@ def read_keywords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_names(spark: SparkSession, path: str) -> list[str]:
-    """Quoted names of a heading list, in file order.
+    """Quoted names of a heading list, in file order. Either quote is taken, and escapes are undone.
 
     The list steers how the page plan is put together, so it is read to the driver; it is written by hand
     and a few dozen lines long. It is read as one file, which keeps its order.
     """
     whole = spark.read.text(path, wholetext=True).select(
-        F.explode(F.regexp_extract_all("value", F.lit(fixed.QUOTED_NAME), F.lit(1))).alias("name")
+        F.explode(F.regexp_extract_all("value", F.lit(fixed.QUOTED_NAME), F.lit(0))).alias("name")
     )
-    return [r["name"] for r in whole.collect()]
+    signs = {"n": "\n", "r": "\r", "t": "\t"}
+    return [re.sub(r"\\(.)", lambda m: signs.get(m[1], m[1]), r["name"][1:-1]) for r in whole.collect()]
 
 
 def seed_urls(spark: SparkSession, path: str, base_url: str) -> DataFrame:
@@ -145,18 +148,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it does not exist."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()] if fs.exists(jpath) else []
+
+
 def read_state(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Frontier and visited tables written by ``writers.write_state``."""
     return spark.read.parquet(f"{path}/frontier"), spark.read.parquet(f"{path}/visited")
 
 
 def state_or_seeds(
-    spark: SparkSession, state_path: str, seeds_path: str, base_url: str, priority_host: str
+    spark: SparkSession,
+    state_path: str,
+    seeds_path: str,
+    base_url: str,
+    priority_host: str,
+    state_keys: tuple[str, str] = ("priority", "other"),
 ) -> tuple[DataFrame, DataFrame]:
-    """Saved state where there is one, else a fresh frontier from the seeds."""
-    from roamdex.operators.frontier import init_frontier
+    """Saved state where there is one, as tables or as a JSON file, else a fresh frontier from the seeds."""
+    from roamdex.operators.frontier import from_state, init_frontier
 
     if path_exists(spark, f"{state_path}/frontier"):
         return read_state(spark, state_path)
+    if path_exists(spark, state_path):
+        return from_state(*read_state_json(spark, state_path, *state_keys))
     seeds = seed_urls(spark, seeds_path, base_url)
     return init_frontier(seeds, priority_host), spark.createDataFrame([], "url string")

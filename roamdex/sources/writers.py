@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamdex.operators.pages import ranked
@@ -27,9 +27,19 @@ def write_gazetteer(gazetteer: DataFrame, path: str) -> None:
     gazetteer.select("value").write.mode("overwrite").text(path)
 
 
+def quoted(c: Column) -> Column:
+    """A text between single quotes, or double ones where only single ones are in it; one line, with escapes."""
+    plain = c
+    for sign, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(sign), F.lit(escape))
+    double = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
+
+
 def heading_lines(counts: DataFrame) -> DataFrame:
     """Ranked headings as text lines: ('name', count)."""
-    return ranked(counts).select(F.format_string("('%s', %d)", "heading", "n").alias("value"))
+    return ranked(counts).select(F.format_string("(%s, %d)", quoted(F.col("heading")), "n").alias("value"))
 
 
 def write_headings(counts: DataFrame, path: str) -> None:

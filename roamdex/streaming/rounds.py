@@ -10,9 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roamdex.operators import frontier as fr
-from roamdex.sources.readers import path_exists
+from roamdex.sources.readers import folder_names, path_exists
 
 _SCHEMAS = {"queued": "url string, queue_rank int, seq bigint", "visited": "url string, turn int"}
 
@@ -32,10 +33,9 @@ class CrawlState:
 
     def last_round(self) -> int:
         """Number of the last whole round, -1 before the seeds are in."""
-        k = -1
-        while self._whole("queued", k + 1):
-            k += 1
-        return k
+        # The queue of a round is written after all others, so the last whole one is looked for from the end.
+        rounds = sorted(int(n.removeprefix("round=")) for n in folder_names(self.spark, f"{self.path}/queued"))
+        return next((k for k in reversed(rounds) if self._whole("queued", k)), -1)
 
     def _table(self, table: str, last: int) -> DataFrame:
         schema = f"{_SCHEMAS[table]}, round int"
@@ -62,6 +62,16 @@ class CrawlState:
         if self.last_round() < 0:
             self._write(fr.init_frontier(seeds, priority_host).drop("round"), "queued", 0)
 
+    def resume(self, frontier: DataFrame, visited: DataFrame) -> None:
+        """Take over a saved state as round 0, unless this crawl has begun: ``readers.state_or_seeds`` gives both tables.
+
+        The saved rounds become places of round 0, in their order.
+        """
+        if self.last_round() < 0:
+            self._write(visited.select("url", F.lit(0).alias("turn")), "visited", 0)
+            place = F.shiftleft(F.col("round").cast("bigint"), 40) + F.col("seq")
+            self._write(frontier.select("url", "queue_rank", place.alias("seq")), "queued", 0)
+
     def run_round(self, edges: DataFrame, n: int, priority_host: str) -> int:
         """Take the next ``n`` URLs and queue what their pages link to. Gives the number taken."""
         last = self.last_round()
@@ -71,10 +81,10 @@ class CrawlState:
         self._write(taken, "visited", k)
         stored = self.spark.read.schema(_SCHEMAS["visited"]).parquet(self._folder("visited", k))
         count = stored.count()
-        # Taken URLs are among those ever queued, so the queue alone tells what is known.
+        # Taken URLs are among those ever queued, but for those that a saved state had visited before.
         candidates = fr.found_links(stored, edges)
         known = self.queued_ever(last)
-        new = fr.unseen(candidates, self.visited(-1), known, priority_host, k)
+        new = fr.unseen(candidates, self.visited(0), known, priority_host, k)
         self._write(new.drop("round"), "queued", k)
         return count
 

@@ -1,3 +1,4 @@
+import json
 import random
 from collections import deque
 from urllib.parse import quote
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from roamdex.functions import urls
 from roamdex.operators import frontier as fr
 from roamdex.operators import links as li
+from roamdex.plans import jobs
+from roamdex.sources import readers
 from roamdex.streaming.rounds import CrawlState, crawl
 
 HOST = "guide.org"
@@ -82,10 +85,51 @@ def test_rounds_are_durable(spark, tmp_path):
     assert sorted(r.url for r in state.visited(state.last_round()).collect()) == sorted(seen)
 
 
+def test_turns_over_many_rows(spark):
+    """More turns than any range holds, with equal places, two queues and several rounds."""
+    rng = random.Random(2)
+    rows = [(f"u{i}", rng.randrange(2), rng.randrange(3), rng.randrange(400)) for i in range(3000)]
+    frontier = spark.createDataFrame(rows, "url string, queue_rank int, round int, seq bigint")
+    order = [r[0] for r in sorted(rows, key=lambda r: (r[1], r[2], r[3], r[0]))]
+    for n in (1, 1700, 5000):
+        got = {r.turn: r.url for r in fr.numbered(fr.next_urls(frontier, n)).collect()}
+        assert got == {k + 1: u for k, u in enumerate(order[:n])}
+
+
+def test_a_saved_state_goes_on(spark, tmp_path):
+    pages, names = web(seed=7)
+    saved = {"priority": [u for u in names[:6] if HOST in u] * 2, "other": [u for u in names[:6] if HOST not in u], "visited": {names[0]: True, names[9]: True}}
+    (tmp_path / "state.json").write_text(json.dumps(saved))
+    frontier, seen = readers.state_or_seeds(spark, str(tmp_path / "state.json"), "none", "", HOST)
+    assert sorted(r.url for r in frontier.collect()) == sorted(set(names[1:6]))
+    state = CrawlState(spark, str(tmp_path / "crawl"))
+    state.resume(frontier, seen)
+    while state.run_round(edge_table(spark, pages), 7, HOST):
+        pass
+    last = state.last_round()
+    visited = [r.url for r in state.visited(last).collect()]
+    reach, todo = {names[0], names[9]}, list(names[1:6])
+    while todo:
+        u = todo.pop()
+        if u not in reach:
+            reach.add(u)
+            todo += pages.get(u, [])
+    assert sorted(visited) == sorted(reach)
+    jobs.dedup_state(spark, str(tmp_path / "state.json"), str(tmp_path / "clean"))
+    assert readers.read_state(spark, str(tmp_path / "clean"))[0].count() == 5
+    (tmp_path / "files").mkdir()
+    key = spark.range(1).select(urls.url_key(urls.quote(F.lit(names[2])))).first()[0]
+    (tmp_path / "files" / key).write_text("x")
+    jobs.reconcile_state(spark, str(tmp_path / "state.json"), str(tmp_path / "files"), str(tmp_path / "known"))
+    stay, known = readers.read_state(spark, str(tmp_path / "known"))
+    assert quote(names[2], "<>=/:!") in {r.url for r in known.collect()} and stay.where("url like '%p%202'").count() == 0
+
+
 def test_page_links(spark):
     rows = [
-        ("https://a.b/x", '<a href="/r1"> https://c.d/e <a href="/i.png"> https://c.d/f.pdf'),
-        ("http://a.b/x", '<a href="/r1"> https://c.d/e'),
+        ("https://a.b/x", 'https://a.b/x\n<a href="/r1"> https://c.d/e <a href="/i.png"> https://c.d/f.pdf'),
+        ("http://a.b/x", 'http://a.b/x\n<a href="/r1"> https://c.d/e'),
+        ("https://a.b/y", "https://a.b/y"),
     ]
     pages = spark.createDataFrame(rows, "link string, raw string")
     got = sorted(map(tuple, li.page_links(pages).collect()))

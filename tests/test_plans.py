@@ -24,6 +24,14 @@ def plan(df):
     return out.getvalue()
 
 
+def test_the_next_urls_are_not_ordered_in_one_task(spark):
+    text = plan(QUERIES["frontier_next"](spark, SF_DIR))
+    assert "TakeOrderedAndProject" not in text
+    # The one window over all rows is over the counts of ranges.
+    before_single = text[text.index("Exchange\nInput") if "Exchange\nInput" in text else 0 :]
+    assert before_single.count("SinglePartition") <= 1
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_python_workers_and_no_products(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
@@ -31,13 +39,11 @@ def test_no_python_workers_and_no_products(spark, name):
 
 
 @pytest.mark.parametrize("name", NARROW)
-def test_page_work_does_not_shuffle(spark, name, monkeypatch):
-    monkeypatch.setattr("roamdex.plans.queries.spread_small", lambda df, *keys: df)
+def test_page_work_does_not_shuffle(spark, name):
     assert "Exchange" not in plan(QUERIES[name](spark, SF_DIR))
 
 
-def test_postings_are_counted_without_a_shuffle(spark, monkeypatch):
-    monkeypatch.setattr("roamdex.plans.queries.spread_small", lambda df, *keys: df)
+def test_postings_are_counted_without_a_shuffle(spark):
     assert "Exchange" not in plan(QUERIES["postings"](spark, SF_DIR))
 
 

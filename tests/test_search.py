@@ -98,10 +98,46 @@ def test_many_term_kinds(index):
 
     assert set(run(index, Clause("?o*", kind=se.WILDCARD))) == having(lambda w: len(w) > 1 and w[1] == "o")
     assert set(run(index, Clause("bray", kind=se.FUZZY))) == having(lambda w: w in ("bay",))
+    assert set(run(index, Clause("prto", kind=se.FUZZY))) == having(lambda w: w in ("port",))
+    assert set(run(index, Clause("otwn", kind=se.FUZZY, edits=1))) == having(lambda w: w == "town")
+    assert run(index, Clause("otwn", kind=se.FUZZY, edits=1, transpositions=False)) == {}
+    assert set(run(index, Clause("port", kind=se.RANGE))) == having(lambda w: w >= "port")
+    assert set(run(index, Clause(None, kind=se.RANGE, high="new"))) == having(lambda w: w <= "new")
+    assert set(run(index, Clause("new", kind=se.RANGE, high="port", high_inclusive=False))) == having(lambda w: "new" <= w < "port")
     assert set(run(index, Clause("new", kind=se.RANGE, high="of"))) == having(lambda w: "new" <= w <= "of")
     assert set(run(index, Clause("new", kind=se.RANGE, high="port", inclusive=False))) == having(lambda w: "new" < w < "port")
 
 
+def test_groups(index):
+    old, bay, of = (bm25(DOCS, w) for w in ("old", "bay", "of"))
+    either = se.Group((Clause("old"), Clause("bay")), se.MUST, 2.0)
+    want = total({d: 2 * s for d, s in old.items()}, {d: 2 * s for d, s in bay.items()}, of, need=lambda d: d in of and (d in old or d in bay))
+    assert run(index, either, Clause("of", occur=se.MUST)) == want
+    both = se.Group(tuple(se.all_of(Clause("old"), Clause("bay"))), se.MUST_NOT)
+    assert run(index, Clause("of"), both) == total(of, need=lambda d: not (d in old and d in bay))
+    assert run(index, se.Group((se.Group((Clause("of"),)), Clause("--")))) == total(of)
+
+
+def test_edit_distance_with_swaps(spark):
+    def distance(a, b):
+        rows = [list(range(len(b) + 1))]
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y)))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                    row[-1] = min(row[-1], rows[-2][j - 2] + 1)
+            rows.append(row)
+        return rows[-1][-1]
+
+    rng = random.Random(6)
+    terms = sorted({"".join(rng.choices("abé", k=rng.randrange(1, 6))) for _ in range(200)})
+    df = spark.createDataFrame([(t,) for t in terms], "t string")
+    for word, edits in (("abca", 2), ("éa", 1), ("ba", 2)):
+        got = {r.t for r in df.where(se.within_edits(F.col("t"), word, edits)).collect()}
+        assert got == {t for t in terms if distance(t, word) <= edits}
+
+
 def test_bad_queries(index):
     with pytest.raises(ValueError, match="not must_not"):
         se.search(index, [Clause("old", occur=se.MUST_NOT)])
@@ -124,8 +160,8 @@ def test_hit_counts(index, spark):
         "Old Town": n("town"), "bay": n("bay"), "Bay": n("bay"), "port-bay": n("port", "bay"), "x St. !": n("st"),
         "nowhere": 0, "--": 0,
     }
-    capped = bs.hit_counts(index, spark.createDataFrame([("of",)], "keyword string"), prefix="https://", cap=3)
-    assert capped.first().hits == 3
+    for key in ("Old Town", "bay --", "--"):
+        assert se.search(index, se.keyword_clauses(key, "https://en.")).count() == got.get(key, got.get(key.split()[0], 0))
 
 
 def test_search_batch(index, spark):
@@ -140,6 +176,22 @@ def test_search_batch(index, spark):
     ]
 
 
+def test_batch_scores_few_documents(spark):
+    """With rare and common terms, only documents that can be among the best are scored, and the result is that of all."""
+    rng = random.Random(9)
+    docs = [(f"{i:04d}", " ".join(["the", "of"] * rng.randrange(1, 3) + rng.choices(["x", "y", "z"], k=2) + [f"r{rng.randrange(150)}"])) for i in range(1500)]
+    index = Index.build(spark.createDataFrame(docs, "doc_id string, title string"), SPECS[:1])
+    rows = [(q, "title", t, False) for q in range(20) for t in ("the", "of", f"r{q}", f"r{q + 40}")]
+    queries = spark.createDataFrame(rows, "query_id int, field string, term string, required boolean")
+    best = {(r.query_id, r.rank): r.doc_id for r in bs.search_batch(index, queries, 5).collect()}
+    every = {}
+    for r in bs.search_batch(index, queries).collect():
+        every.setdefault(r.query_id, []).append((-round(r.score, 9), r.doc_id))
+    assert best == {(q, k + 1): d for q, hits in every.items() for k, (_, d) in enumerate(sorted(hits)[:5])}
+    pairs = bs.candidates(*bs.asked_postings(index, queries), 5).count()
+    assert pairs < 0.05 * sum(map(len, every.values()))
+
+
 def test_stored_fields_of_hits(spark):
     rows = [("1", "u", "Old bay", 1, ["A", "B"], {"See": "x"}, "rest", {"capital": "C"})]
     docs = spark.createDataFrame(

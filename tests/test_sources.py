@@ -34,17 +34,13 @@ def test_dump_to_infobox_files(spark, tmp_path):
     assert rows[0].mod_val == ["x", "Bratislava", "49,035 ab", "", "z"]
 
 
-def test_large_gazetteer_takes_the_shuffled_way(spark, monkeypatch):
-    dump = spark.createDataFrame([("a", "\n|k=v"), ("b", "\n|k=v"), ("c", "none")], "title string, body string")
-    names = spark.createDataFrame([("a",), ("c",), ("a",)], "value string")
-    monkeypatch.setattr(ib, "fits_broadcast", lambda df: False)
-    assert [r.title for r in ib.gazetteer_infoboxes(dump, names).collect()] == ["a"]
-
-
 def test_map_keeps_the_last_of_equal_keys(spark):
-    rows = [("t", ["a", "b", "a", "c", "a"], ["1", "2", "3", "4"]), ("e", [], [])]
-    df = spark.createDataFrame(rows, "title string, mod_key array<string>, mod_val array<string>")
+    rows = [("t", ["a", "b", "a", "c"], ["1", "2", "3", "4", "5"]), ("e", [], [])]
+    kinds = "title string, mod_key array<string>, mod_val array<string>"
+    df = spark.createDataFrame(rows, kinds)
     assert {r.title: r.kv for r in ib.with_map(df).collect()} == {"t": {"a": "3", "b": "2", "c": "4"}, "e": {}}
+    with pytest.raises(Exception, match="fewer values than keys in the infobox of t"):
+        ib.with_map(spark.createDataFrame([("t", ["a", "b"], ["1"])], kinds)).collect()
 
 
 def test_missing_folder_is_an_error(spark, tmp_path):
@@ -58,6 +54,15 @@ def test_name_list(spark, tmp_path):
     assert readers.read_names(spark, str(path)) == ["Object1", "Object2", "Get in"]
     path.write_text("")
     assert readers.read_names(spark, str(path)) == []
+
+
+def test_heading_lines_there_and_back(spark, tmp_path):
+    names = ["plain", "a\nb", "it's", 'say "x"', """both ' and \"""", "back\\slash", "tab\there"]
+    counts = spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "heading string, n bigint")
+    lines = [r.value for r in writers.heading_lines(counts).collect()]
+    assert lines == [repr((n, i + 1)) for i, n in reversed(list(enumerate(names)))]
+    (tmp_path / "names.txt").write_text("\n".join(lines))
+    assert readers.read_names(spark, str(tmp_path / "names.txt")) == names[::-1]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_names(spark, str(tmp_path / "none.txt"))
 
