@@ -11,8 +11,8 @@ Documents with one fingerprint are one class, linked by its smallest document; p
 A fingerprint has at most 43,744 others within 3 bits, however large the input, so no class can have more partners.
 
 For whole corpora there are also wide fingerprints, of several words of 64 bits: ``similar_documents`` takes every half
-word as a band of its own, lets members of an anchor meet its first home and their neighbours in id order (so their
-number grows with the members, not with pairs), and verifies on all bits the angle that a similarity of shingle
+word as a band of its own, lets members of an anchor meet its first home (so their number grows with the members, not
+with pairs), and verifies on all bits the angle that a similarity of shingle
 sets stands for.
 
 Defined cases: a null text counts as empty, and texts without words have fingerprint zero and link like any other;
@@ -218,13 +218,10 @@ def similar_documents(
     _, visits = _anchors(known)
     at = Window.partitionBy("half", "anchor")
     first_home = F.min(F.when(F.col("at_home"), F.col("rep"))).over(at)
-    met = visits.select(
-        "rep", first_home.alias("first"), F.lag("rep").over(at.orderBy("rep")).alias("before")
-    )
     pairs = stored(
-        met.select("rep", F.explode(F.array("first", "before")).alias("other"))
-        .where("other is not null and other <> rep")
-        .select(F.least("rep", "other").alias("u"), F.greatest("rep", "other").alias("v"))
+        visits.select("rep", first_home.alias("first"))
+        .where("first <> rep")
+        .select(F.least("rep", "first").alias("u"), F.greatest("rep", "first").alias("v"))
         .distinct()
     )
     a = known.select(F.col("rep").alias("u"), F.col("fp").alias("a"))
