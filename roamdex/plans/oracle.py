@@ -136,6 +136,11 @@ select value, count(*) as n_docs from names group by value
 
 _HEADINGS = f"select unnest(regexp_extract_all(html, {_q(ANCHOR)}, 1)) as heading from pages"
 HEADING_COUNTS = f"select heading, count(*) as n from ({_HEADINGS}) group by heading"
+HEADLINE_COUNTS = """
+select heading, count(*) as n from (
+  select 'See' as heading from pages union all select split_part(url, '/', 3) from pages)
+group by heading
+"""
 TOP_HEADINGS = f"{HEADING_COUNTS} order by n desc, heading"
 _ESCAPED = r"replace(replace(replace(replace(heading, '\', '\\'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')"
 _QUOTED = rf"""case when contains(heading, chr(39)) and not contains(heading, '"') then '"' || {_ESCAPED} || '"'
@@ -420,6 +425,14 @@ padded as (select doc_id, title, ' ' || array_to_string(regexp_extract_all(lower
 matches as (select phrases.title, padded.doc_id, phrase, padded.title as doc_title
             from phrases join padded on phrase <> '' and contains(words, ' ' || phrase || ' '))"""
 TITLE_PHRASE_JOIN = f"with {_BOXES} select title, doc_id, phrase from matches"
+PHRASES_OF_ANY_LENGTH = rf"""
+with titled as ({TITLED}),
+boxes as (select distinct title from (
+  select array_to_string(list_slice(string_split(title, ' '), 1, 1 + cast(doc_id as int) % 6), ' ') as title from titled
+  union all select unnest(list_prepend(p_name, string_split(p_name, ' '))) from part) where title <> ''),
+{_BOXES[_BOXES.index("phrases as"):]}
+select title, doc_id, phrase from matches
+"""
 _COPIES = "select '_' || doc_id as doc_id, doc_title as title, 'cap' as extra_keys, 'about ' || title as cap from matches"
 _MERGED = """select '_' || doc_id as doc_id, any_value(doc_title) as title, 'cap' as extra_keys,
  arg_max('about ' || title, title) as cap from matches group by doc_id"""
@@ -538,6 +551,7 @@ ORACLE: dict[str, str] = {
     "gazetteer": GAZETTEER,
     "heading_counts": HEADING_COUNTS,
     "top_headings": TOP_HEADINGS,
+    "headline_counts": HEADLINE_COUNTS,
     "heading_text": HEADING_TEXT,
     "absolute_links": ABSOLUTE_LINKS,
     "link_graph": LINK_GRAPH,
@@ -599,6 +613,7 @@ ORACLE: dict[str, str] = {
     "search_batch": SEARCH_BATCH,
     "keyword_list": KEYWORD_LIST,
     "title_phrase_join": TITLE_PHRASE_JOIN,
+    "phrases_of_any_length": PHRASES_OF_ANY_LENGTH,
     "enrich": f"with {_BOXES} {_COPIES}",
     "enrich_replace": f"with {_BOXES} {_COPIES} union all {_KEPT}",
     "enrich_merge": f"with {_BOXES} {_MERGED} union all {_KEPT}",

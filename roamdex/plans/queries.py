@@ -189,6 +189,17 @@ def heading_counts(spark: SparkSession, sf: str) -> DataFrame:
     return pg.heading_counts(table(spark, sf, "pages"), ANCHOR, "html")
 
 
+@query
+def headline_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings as an encyclopedia marks them: one that all pages share, one by host, one that is not closed."""
+    host = F.split_part(F.col("url"), F.lit("/"), F.lit(3))
+    marks = F.concat(
+        F.lit('<span class="mw-headline" id="See">See</span><span class="other">no</span><span class="mw-headline">'), host,
+        F.lit('</span><span class="mw-headline">open <b>'),
+    )
+    return pg.heading_counts(table(spark, sf, "pages").select(F.concat("html", marks).alias("raw")))
+
+
 @query
 def top_headings(spark: SparkSession, sf: str) -> DataFrame:
     return pg.ranked(heading_counts(spark, sf))
@@ -584,6 +595,16 @@ def title_phrase_join(spark: SparkSession, sf: str) -> DataFrame:
     return pj.title_phrase_join(title_boxes(spark, sf), titled(spark, sf))
 
 
+@query
+def phrases_of_any_length(spark: SparkSession, sf: str) -> DataFrame:
+    """Title beginnings of one to six words, part names and their words, against all titles."""
+    words = F.slice(F.split("title", " "), F.lit(1), 1 + F.col("doc_id").cast("int") % 6)
+    heads = titled(spark, sf).select(F.array_join(words, " ").alias("title"))
+    names = table(spark, sf, "part").select(F.explode(F.concat(F.array("p_name"), F.split("p_name", " "))).alias("title"))
+    phrases = heads.unionByName(names).where("title <> ''").distinct()
+    return pj.title_phrase_join(phrases, titled(spark, sf))
+
+
 def enrichable(spark: SparkSession, sf: str) -> DataFrame:
     return titled(spark, sf).select(
         "doc_id", "link", "title", F.lit(0).alias("num_cat"), F.array().cast("array<string>").alias("categories"),
