@@ -38,8 +38,8 @@ LEAF_ROWS = 256
 MOST_DEPTH = 8
 RECALL = 0.97
 CHUNK_ROWS = 2048
-#: A row leaves its leaf only if it beats a query's sample row of this many times ``k``: several times ``k`` rows do,
-#: so that ``k`` are left where some are missed.
+#: A row leaves its leaf only if it beats the query's sample row at whose score about this many times ``k`` rows are
+#: expected: several times ``k``, so that ``k`` are left where some are missed.
 BOUND_RANKS = 5
 SEED = 9
 
@@ -113,7 +113,8 @@ def nearest(
     forest = fit_forest(_lifted(sample, largest) if len(sample) else np.zeros((0, d + 1)), trees, depth, seed)
     # Place, in the sample, of a query's k-th neighbour among all; one more, for the query itself may be in the sample.
     at = min(len(sample), max(1, math.ceil(k * len(sample) / total)) + 1)
-    sure_at = BOUND_RANKS * k + 1
+    # The sample's k-th best bounds the k-th of all from below. A larger sample leaves room for some times k above it.
+    sure_at = max(k, math.ceil(BOUND_RANKS * k * len(sample) / total)) + 1
 
     def cells_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
