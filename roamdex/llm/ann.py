@@ -5,7 +5,7 @@ norm. Every row is routed to one leaf of every tree. A query opens leaves of all
 hold a neighbour first; a leaf's likelihood follows from the query's distances to the thresholds on its path and from
 how near its neighbours must be. It stops when a neighbour is missed by all trees with a probability under
 ``1 - RECALL``: where data are clustered that is after a few leaves, where they are not it takes many. Rows of the opened
-leaves are compared exactly, in double precision.
+leaves are compared exactly, in double precision. A query that finds fewer than it asks for opens all leaves of one tree.
 
 The nearness asked for is read off a bounded sample of rows (``SAMPLE_ROWS``), which also fits the trees. The sample's
 rows also give each query a lower bound on what its nearest score, so that only rows that can be among them leave their
@@ -127,36 +127,39 @@ def nearest(
                     ["cell", "vec_id", "vector"],
                 )
 
-    def cells_of_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q = as_matrix(batch.column("vector"))
-            for a in range(0, len(q), 64):
-                some = q[a : a + 64]
-                scores = -np.sort(-(some @ sample.T), axis=1)
-                lengths = np.linalg.norm(some, axis=1)
-                own, cells, least = [], [], []
-                for i, lifted in enumerate(_raised(some)):
-                    near = scores[i, at - 1] / (lengths[i] * largest) if at else 0.0
-                    # The sample's rows are candidates too, so the k-th best of all is no worse than theirs.
-                    bound = scores[i, sure_at - 1] - 1e-9 * lengths[i] * largest if sure_at <= len(sample) else -np.inf
-                    for tree, leaf in opened_leaves(forest, lifted, float(np.clip(near, 0.0, 0.9999)), recall):
-                        own.append(a + i)
-                        cells.append(leaf * forest.trees + tree)
-                        least.append(bound)
-                taken = batch.take(pa.array(own, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells, pa.int64()), taken.column("vec_id"), taken.column("vector"), pa.array(least, pa.float64())],
-                    ["cell", "vec_id", "vector", "least"],
-                )
+    def opened(q: np.ndarray, everywhere: bool) -> Iterator[tuple[int, int, float]]:
+        """Row, cell and lower bound of a candidate's score, for each leaf that a query opens."""
+        if everywhere:
+            yield from ((i, leaf * forest.trees, -math.inf) for i in range(len(q)) for leaf in range(forest.leaves))
+            return
+        scores = -np.sort(-(q @ sample.T), axis=1)
+        lengths = np.linalg.norm(q, axis=1)
+        for i, lifted in enumerate(_raised(q)):
+            near = scores[i, at - 1] / (lengths[i] * largest) if at else 0.0
+            # The sample's rows are candidates too, so the k-th best of all is no worse than theirs.
+            bound = scores[i, sure_at - 1] - 1e-9 * lengths[i] * largest if sure_at <= len(sample) else -math.inf
+            for tree, leaf in opened_leaves(forest, lifted, float(np.clip(near, 0.0, 0.9999)), recall):
+                yield i, leaf * forest.trees + tree, bound
+
+    def cells_of_queries(everywhere: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, 64):
+                    some = batch.slice(a, 64)
+                    found = list(opened(as_matrix(some.column("vector")), everywhere))
+                    own, cells, least = (list(c) for c in zip(*found)) if found else ([], [], [])
+                    taken = some.take(pa.array(own, pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cells, pa.int64()), taken.column("vec_id"), taken.column("vector"), pa.array(least, pa.float64())],
+                        ["cell", "vec_id", "vector", "least"],
+                    )
+
+        return run
 
     routed = rows.select("vec_id", "vector").mapInArrow(cells_of_rows, "cell bigint, vec_id bigint, vector array<float>")
     # One row per leaf of the forest. A leaf with many rows (copies of one vector) is cut into parts by a hash.
     parts = stored(routed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("parts")))
-    asked = rows.where("asks").select("vec_id", "vector").mapInArrow(
-        cells_of_queries, "cell bigint, vec_id bigint, vector array<float>, least double"
-    )
     dealt = routed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    spread = asked.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -177,10 +180,26 @@ def nearest(
                 out.append(pd.DataFrame({"query_id": asking[i], "vec_id": ids[j], "score": scores[i, j]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    met = dealt.groupBy("cell", "part").cogroup(spread.groupBy("cell", "part")).applyInPandas(
-        compare, "query_id bigint, vec_id bigint, score double"
-    )
-    best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    def answers(queries: DataFrame, everywhere: bool) -> DataFrame:
+        asked = queries.select("vec_id", "vector").mapInArrow(
+            cells_of_queries(everywhere), "cell bigint, vec_id bigint, vector array<float>, least double"
+        )
+        spread = asked.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        candidates = dealt.where(F.col("cell") % forest.trees == 0) if everywhere else dealt
+        met = candidates.groupBy("cell", "part").cogroup(spread.groupBy("cell", "part")).applyInPandas(
+            compare, "query_id bigint, vec_id bigint, score double"
+        )
+        best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return ranked.select("query_id", "rank", "vec_id", "score")
+
+    queries = rows.where("asks")
+    first = stored(answers(queries, everywhere=False))
+    whole = stored(first.groupBy("query_id").count().where(F.col("count") == k).select(F.col("query_id").alias("vec_id")))
+    # The few queries that found less than they ask for open every leaf of one tree, which holds all rows.
+    short = stored(queries.join(whole, "vec_id", "left_anti"))
+    if short.isEmpty():
+        return first
+    kept = first.join(whole.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi").select(*first.columns)
+    return kept.unionByName(answers(short, everywhere=True))

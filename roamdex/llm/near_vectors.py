@@ -64,7 +64,7 @@ def gather_balls(x: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray, np
     return ball, np.array(centres).reshape(-1, x.shape[1]), np.array(radii)
 
 
-def _balls(classes: DataFrame, forest: Forest, angle: float, total: int) -> DataFrame:
+def _balls(classes: DataFrame, forest: Forest, angle: float) -> DataFrame:
     """``rep, vector, copies`` -> the same rows with ``ball, centre, radius, members``, gathered within leaves of tree 0.
 
     A leaf with more than ``GROUP_ROWS`` rows is dealt out further by a hash, so no group grows with the table.
@@ -167,7 +167,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, trees: int = TRE
     sample = sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else np.zeros((0, top["d"]))
     forest = fit_forest(sample, trees, max(0, int(np.ceil(np.log2(max(1, total / LEAF_ROWS))))), seed)
 
-    members = _balls(classes, forest, angle, total)
+    members = _balls(classes, forest, angle)
     balls = stored(
         members.groupBy("ball").agg(
             F.first("centre").alias("centre"), F.first("radius").alias("radius"), F.sum("copies").alias("size")
