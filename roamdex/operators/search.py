@@ -100,8 +100,8 @@ def _glob(pattern: str) -> str:
 def within_edits(term: Column, word: str, edits: int) -> Column:
     """Whether ``term`` is at most ``edits`` edits or swaps of neighbours (each part edited once) from ``word``.
 
-    A swap is two plain edits, so the built-in distance lets few terms through to the exact table, which is filled
-    by the characters of the term: the last two rows and the last character are carried along.
+    The table of distances is filled by the characters of the term, for the few terms that need it: the last two rows
+    and the last character are carried along.
     """
     letters = F.transform(F.sequence(F.lit(1), F.length(term)), lambda i: F.substring(term, i, 1))
     first = F.array(*[F.lit(j) for j in range(len(word) + 1)])
@@ -120,8 +120,11 @@ def within_edits(term: Column, word: str, edits: int) -> Column:
 
     table = F.aggregate(letters, start, row)
     exact = F.get(table["one"], F.lit(len(word))) <= edits
-    near = F.levenshtein(term, F.lit(word), 2 * edits) >= 0
-    return near & (term != "") & F.when(near & (term != ""), exact).otherwise(False)
+    # Beyond the plain distance a swap has to be in it, so two neighbours of the word stand in the term the other way round.
+    swaps = {word[i + 1] + word[i] for i in range(len(word) - 1) if word[i] != word[i + 1]}
+    swapped = reduce(or_, [F.contains(term, F.lit(s)) for s in sorted(swaps)], F.lit(False))
+    possible = swapped & (F.abs(F.length(term) - len(word)) < edits)
+    return F.when(F.levenshtein(term, F.lit(word), edits) >= 0, True).when(possible, exact).otherwise(False)
 
 
 def _test(clause: Clause, terms: list[str], standard: bool) -> Test:
