@@ -114,6 +114,37 @@ def test_keep_one(documents):
     assert simhash.keep_one(documents([])).collect() == []
 
 
+def plain_groups(texts, bound):
+    """Smallest number of each text's group, from all pairs of shingle sets."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * bound]
+    return groups(len(sets), links)
+
+
+def edited(rng, words, times):
+    """Those words with single ones changed, which breaks five shingles each."""
+    words = list(words)
+    for at in rng.sample(range(2, len(words) - 2, 6), times):
+        words[at] = f"new{rng.getrandbits(40)}"
+    return words
+
+
+def test_similar_documents_are_brute_force(documents):
+    """Copies at similarities of 0.6 to 1, around the bound of 0.8; a template that many share; short texts."""
+    rng = random.Random(9)
+    template = [f"t{i}" for i in range(60)]
+    texts = ["a b", "A  b", "a b c", "one two three four five", ""]
+    for k in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)] + template * (k % 3 == 0)
+        texts += [" ".join(base)] + [" ".join(edited(rng, base, n)) for n in rng.sample(range(1, 12), 3)]
+    rng.shuffle(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(documents([(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    expected = plain_groups(texts, 4)
+    assert len(set(expected)) > 65
+    assert got == dict(enumerate(expected))
+
+
 def plain_lines(rows, min_words):
     seen, out = set(), {}
     for i, text, _ in sorted(rows, key=lambda r: r[0]):
