@@ -145,6 +145,21 @@ def test_similar_documents_are_brute_force(documents):
     assert got == dict(enumerate(expected))
 
 
+def test_copies_behind_an_unrelated_home(documents, monkeypatch):
+    """All documents are at home at one anchor, where the smallest is like none of the others."""
+
+    def one_anchor(classes):
+        all_home = classes.select(F.lit(0).alias("half"), F.lit(0).alias("anchor"), "fp", "rep", F.lit(True).alias("at_home"))
+        return all_home, all_home
+
+    monkeypatch.setattr(simhash, "_anchors", one_anchor)
+    rng = random.Random(2)
+    a, b = ([f"{name}{i}" for i in range(300)] for name in "ab")
+    texts = ["quite another text that is here first", *(" ".join(edited(rng, w, n)) for n in (0, 1, 2) for w in (a, b))]
+    got = simhash.similar_documents(documents([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (1, 1), (2, 2), (3, 1), (4, 2), (5, 1), (6, 2)]
+
+
 def plain_lines(rows, min_words):
     seen, out = set(), {}
     for i, text, _ in sorted(rows, key=lambda r: r[0]):
