@@ -34,6 +34,8 @@ SMOOTHING = 0.1
 
 # --- fixed values: elements of HTML by their part in a page ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# What may stand in a head; anything else begins the body, also where </head> was left out.
+HEAD = frozenset("base link meta script style noscript template head title html".split())
 SILENT = frozenset("script style noscript template head title svg math iframe object video audio canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
@@ -127,7 +129,15 @@ class Page(HTMLParser):
             if tag in SCOPES and not (tag in ("td", "th") and "tr" in kinds):
                 return
 
+    def _leave_head(self, within: tuple[str, ...]) -> None:
+        """End an open head whose innermost open element is one of those."""
+        tags = [t for t, _ in self.open]
+        if "head" in tags and (not within or tags[-1] in within):
+            self._pop(tags.index("head"))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.silent and tag not in HEAD:
+            self._leave_head(() if tag == "body" else ("head", "title"))
         if tag in INLINE:
             if tag in ("br", "wbr", "img"):
                 self.run.append((" " if tag == "br" else "", False))
@@ -153,6 +163,9 @@ class Page(HTMLParser):
         self.open.append((tag, self._node(tag, _hint(attrs), mark)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ("svg", "math"):
+            self._leave_head(("head", "title"))
+            return
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
@@ -169,6 +182,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.open[-1][0] == "head" and data.strip():
+            self._leave_head(("head",))
         if not self.silent:
             self.run.append((data, self.links > 0))
 

@@ -72,6 +72,22 @@ def test_odd_pages(spark):
     assert html_text.extract(pages.where("false")).collect() == []
 
 
+def test_unclosed_heads_and_self_closed_drawings():
+    """Texts of pages whose head or drawing has no end tag; what stands in a head stays out."""
+
+    def read(html):
+        return [t for t in html_text.Page(html).text if t is not None]
+
+    body = "<body><p>All of it.</p><p>More.</p></body></html>"
+    for head in ("<head>", "<head><title>t</title><meta charset=x>", "<head><noscript>no", "<head><template><p>no</p>"):
+        assert read("<html>" + head + body) == ["All of it.", "More."], head
+    assert read("<head><title>t</title><p>All of it.</p>") == ["All of it."]
+    assert read("<head><title>t</title>Bare text") == ["Bare text"]
+    assert read("<head><template><div>no</div></template><noscript><p>no</p></noscript></head><p>yes") == ["yes"]
+    for drawing in ("<svg/>", "<math />", "<svg><title>no</title></svg>"):
+        assert read(f"<div><p>one {drawing} two</p><p>three</p></div>") == ["one two", "three"], drawing
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, before = docs.columns, docs.count()
