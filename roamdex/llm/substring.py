@@ -5,6 +5,10 @@ trimmed) and stands for its digest; only digests, places and counts are shuffled
 The order of occurrences is document id (null last), then line number. Lines of fewer than ``min_words`` words are
 left alone. What is cut is told by its original offsets.
 
+``keep_first_lines`` has finer units: lines are cut at sentence ends (. ! ? before white space) too. A repeated passage
+that shares its lines with other words is cut where its run of repeated sentences has ``min_words`` words. A passage is found from its first whole sentence to its
+last one.
+
 Defined cases: null and empty texts pass unchanged; rows that repeat a ``doc_id`` are read as one document's copies
 and ranked among each other by text digest, rows equal in both keep their lines alike; an empty table gives no rows;
 other columns pass through, also where their names equal those added here, which are given as parameters.
@@ -12,6 +16,7 @@ other columns pass through, also where their names equal those added here, which
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from hashlib import md5
 
@@ -31,10 +36,20 @@ def line_digest(line: bytes) -> tuple[int, bytes]:
     return len(words), md5(b" ".join(words)).digest()
 
 
-def line_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+_PIECE_END = r"\n|(?<=[.!?])[ \t\x0b\x0c\r]+"
+_PIECE_ENDS = {str: re.compile(_PIECE_END), bytes: re.compile(_PIECE_END.encode())}
+
+
+def pieces(text: str | bytes) -> list[str | bytes]:
+    """The text cut after sentence ends and line ends; the same pieces for a text and for its UTF-8."""
+    ends = [m.end() for m in _PIECE_ENDS[type(text)].finditer(text)]
+    return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
+
+
+def line_units(docs: DataFrame, min_words: int = MIN_WORDS, sentences: bool = False) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, copy, line, digest`` of every line with at least ``min_words`` words.
 
-    ``copy`` is a digest of the whole text, to tell rows with one ``doc_id`` apart.
+    With ``sentences`` units are the ``pieces`` instead. ``copy`` is a digest of the whole text, to tell rows with one ``doc_id`` apart.
     """
     bounded_batches(docs.sparkSession)
     kinds = [("doc_id", pa.int64()), ("copy", pa.binary()), ("line", pa.int32()), ("digest", pa.binary())]
@@ -46,7 +61,7 @@ def line_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 if not text:
                     continue
                 copy = md5(text).digest()[:8]
-                for k, line in enumerate(text.split(b"\n")):
+                for k, line in enumerate(pieces(text) if sentences else text.split(b"\n")):
                     n, digest = line_digest(line)
                     if n >= min_words:
                         for column, value in zip(out, (doc_id, copy, k, digest)):
@@ -94,12 +109,61 @@ def _cut(text: str, lines: list[int]) -> tuple[str, list[dict]]:
     return "\n".join(kept), spans
 
 
+def _cut_pieces(text: str, repeated: list[int], min_words: int) -> tuple[str, list[dict]]:
+    """Text without the repeated pieces that are a whole line or lie in a run of ``min_words`` words; spans cut out."""
+    parts, again = pieces(text), set(repeated)
+    words = [len(p.encode().split()) for p in parts]
+    gone: set[int] = set()
+
+    def take(run: list[int], least: int) -> None:
+        if run and sum(words[k] for k in run) >= least:
+            gone.update(run)
+
+    run: list[int] = []
+    line: list[int] = []
+    for k, part in enumerate(parts):
+        # Pieces without words neither make a run nor end it.
+        if words[k] == 0 or k in again:
+            run.append(k)
+        else:
+            take(run, min_words)
+            run = []
+        line.append(k)
+        if part.endswith("\n") or k == len(parts) - 1:
+            if all(words[i] == 0 or i in again for i in line):
+                take(line, min_words)
+            line = []
+    take(run, min_words)
+    spans, at = [], 0
+    for k, part in enumerate(parts):
+        if k in gone and part:
+            if spans and spans[-1]["end"] == at:
+                spans[-1]["end"] = at + len(part)
+            else:
+                spans.append({"start": at, "end": at + len(part)})
+        at += len(part)
+    # What stays before a cut within a line keeps its line end.
+    for span in spans:
+        if span["start"] and text[span["start"] - 1] != "\n" and text[span["end"] - 1] == "\n":
+            span["end"] -= 1
+    spans = [s for s in spans if s["start"] < s["end"]]
+    starts, ends = [s["start"] for s in spans], [s["end"] for s in spans]
+    return "".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)])), spans
+
+
 def dedup_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, kept_column: str = "kept_text", spans_column: str = "removed"
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    kept_column: str = "kept_text",
+    spans_column: str = "removed",
+    sentences: bool = False,
 ) -> DataFrame:
-    """``docs`` with the text that stays and the spans (start, end) removed, both by code points of the whole text."""
+    """``docs`` with the text that stays and the spans (start, end) removed, both by code points of the whole text.
+
+    With ``sentences`` units are finer than lines, and ``min_words`` is a bound of runs that are no whole line.
+    """
     bounded_batches(docs.sparkSession)
-    units = stored(line_units(docs, min_words))
+    units = stored(line_units(docs, 1 if sentences else min_words, sentences))
     cuts = stored(repeated_lines(units))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -115,7 +179,7 @@ def dedup_lines(
             row = batch.column("row")
             texts, spans = [], []
             for text, lines in zip(row.field("text").to_pylist(), batch.column("lines").to_pylist()):
-                text, cut = (text, []) if not lines else _cut(text, lines)
+                text, cut = (text, []) if not lines else _cut_pieces(text, lines, min_words) if sentences else _cut(text, lines)
                 texts.append(text)
                 spans.append(cut)
             yield pa.RecordBatch.from_arrays(
@@ -130,12 +194,12 @@ def dedup_lines(
 
 
 def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated lines cut out of ``text`` and ``n_chars`` brought up to date; columns as they are.
+    """``docs`` with repeated lines and runs of sentences cut out of ``text`` and ``n_chars`` brought up to date; columns as they are.
 
     A document of which nothing is left has the empty text.
     """
     kept = fresh(docs, "kept")
-    cut = dedup_lines(docs, min_words, kept, fresh(docs, "spans")).withColumn("text", F.col(kept))
+    cut = dedup_lines(docs, min_words, kept, fresh(docs, "spans"), sentences=True).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length(kept).cast(docs.schema["n_chars"].dataType))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -207,6 +207,15 @@ def test_lines_of_repeated_rows_and_nothing(documents):
     assert substring.keep_first_lines(documents([])).collect() == []
 
 
+def test_passages_within_lines(documents):
+    passage = "The long passage has a first sentence. And it has é second one!"
+    rows = [(1, f"Before it. {passage} After it\nmore", "s"), (2, f"{passage} Other words\nAll new? {passage}\nlast", "s")]
+    rows += [(3, "Short one. Own words. And it has é second one!", "s")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in substring.keep_first_lines(documents(rows)).collect()}
+    kept = {1: rows[0][1], 2: "Other words\nAll new? \nlast", 3: rows[2][1]}
+    assert got == {i: (t, len(t)) for i, t in kept.items()}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id bigint, embedding array<float>, label int")
 
