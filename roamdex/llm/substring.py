@@ -6,7 +6,8 @@ The order of occurrences is document id (null last), then line number. Lines of
 left alone. What is cut is told by its original offsets.
 
 ``keep_first_lines`` has finer units: lines are cut at sentence ends (. ! ? before white space) too. A repeated passage
-that shares its lines with other words is cut where its run of repeated sentences has ``min_words`` words. A passage is found from its first whole sentence to its
+that shares its lines with other words is cut where its run of repeated sentences has ``min_words`` words; a line of
+which every sentence is repeated is cut whatever its length. A passage is found from its first whole sentence to its
 last one.
 
 Defined cases: null and empty texts pass unchanged; rows that repeat a ``doc_id`` are read as one document's copies
@@ -131,7 +132,7 @@ def _cut_pieces(text: str, repeated: list[int], min_words: int) -> tuple[str, li
         line.append(k)
         if part.endswith("\n") or k == len(parts) - 1:
             if all(words[i] == 0 or i in again for i in line):
-                take(line, min_words)
+                take(line, 1)
             line = []
     take(run, min_words)
     spans, at = [], 0

@@ -216,6 +216,13 @@ def test_passages_within_lines(documents):
     assert got == {i: (t, len(t)) for i, t in kept.items()}
 
 
+def test_short_repeated_lines(documents):
+    rows = [(1, "menu\nhome page\nfirst text", "s"), (2, "Menu\n\nhome  page\nsecond text\nmenu", "s")]
+    got = {r["doc_id"]: r["text"] for r in substring.keep_first_lines(documents(rows)).collect()}
+    assert got[1] == rows[0][1]
+    assert [line for line in got[2].split("\n") if line] == ["second text"]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id bigint, embedding array<float>, label int")
 
