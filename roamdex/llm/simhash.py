@@ -208,7 +208,7 @@ WIDE_WORDS = 6
 
 #: Documents whose shingles tell which are frequent, and how many such shingles are remembered. Both steer the order of
 #: shingles only: any order finds the same pairs.
-ORDER_DOCS, ORDER_SHINGLES = 20_000, 200_000
+ORDER_DOCS, ORDER_SHINGLES = 5_000, 200_000
 
 
 def _set_of(blocks: list[np.ndarray]) -> tuple[np.ndarray, int]:
@@ -237,8 +237,8 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles (sorted) that several documents of a sample share, and how many do."""
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDER_DOCS).select("doc_id", "text")
-    sets = shingle_sets(sample, shingle).dropDuplicates(["set_id"]).select(F.explode("shingles").alias("s"))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, docs.count()))) < ORDER_DOCS)
+    sets = shingle_sets(sample, shingle).select(F.explode("shingles").alias("s"))
     most = sets.groupBy("s").count().where("count > 2").orderBy(F.desc("count"), "s").limit(ORDER_SHINGLES).collect()
     hashes = np.array([r["s"] for r in most], np.int64).view(np.uint64)
     order = np.argsort(hashes)
