@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamdex.llm import ann, html_text, language, mixing, near_vectors, packing, quality, simhash, substring, token_counts
+from roamdex.llm import (
+    ann,
+    html_text,
+    infill,
+    language,
+    lm,
+    mixing,
+    near_vectors,
+    packing,
+    phrases,
+    quality,
+    simhash,
+    substring,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +91,21 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(mixing.document_sizes(table(spark, sf, "documents")).select("doc_id", "size"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return infill.fill_in_middle(table(spark, sf, "documents"))
+
+
+@query
+def op13_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
+
+
 ORACLE = {
     "op1_substring_dedup": r"""
 with split as (select doc_id, text, string_split(text, chr(10)) as parts from documents),
@@ -135,5 +164,63 @@ placed as (
 select doc_id, size, source_size, target,
        (epochs * size + greatest(0, least(size, rest - used)))::bigint as taken
 from placed
+""",
+    "op11_phrase_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+counts as (
+  select lang, k, phrase, count(*)::bigint as n from (
+    select lang, 1 as k, unnest(w) as phrase from cut
+    union all
+    select lang, 2, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from cut
+    union all
+    select lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) from cut)
+  group by all),
+totals as (select lang, sum(n)::bigint as n from counts where k = 1 group by lang),
+cands as (select lang, k, phrase, n as a, string_split(phrase, ' ') as w from counts where k > 1 and n >= 10),
+cuts as (
+  select c.lang, c.phrase, c.a, i.k as cut, l.n as l, r.n as r,
+         ((1000000::hugeint * c.a * c.a) // (l.n::hugeint * r.n))::bigint as score
+  from cands c join (values (1), (2)) i(k) on i.k < c.k
+  join counts l on l.lang = c.lang and l.k = i.k and l.phrase = array_to_string(c.w[1:i.k], ' ')
+  join counts r on r.lang = c.lang and r.k = c.k - i.k and r.phrase = array_to_string(c.w[i.k + 1:], ' ')),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+longer as (
+  select lang, phrase, max(a) as longest from (
+    select lang, array_to_string(w[1:2], ' ') as phrase, a from cands where k = 3
+    union all select lang, array_to_string(w[2:3], ' '), a from cands where k = 3)
+  group by all),
+ranked as (
+  select s.*, row_number() over (partition by s.lang order by score desc, s.a desc, s.phrase) as rank
+  from lowest s left join longer g on g.lang = s.lang and g.phrase = s.phrase
+  where not coalesce(100 * longest >= 50 * s.a, false))
+select lang, rank, phrase, a, l, r, t.n, score from ranked join totals t using (lang) where rank <= 2000
+""",
+    "op12_fill_in_middle": r"""
+with cut as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+         sha256('1:' || coalesce(doc_id::varchar, '')) as h
+  from documents),
+drawn as (
+  select *, len(u)::bigint as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+         ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+  from cut),
+parts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as lo, greatest(h1 % (n + 1), h2 % (n + 1)) as hi,
+         case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+made as (
+  select *, array_to_string(u[1:lo], '') as p, array_to_string(u[lo + 1:hi], '') as m, array_to_string(u[hi + 1:], '') as s
+  from parts)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then concat('<P>', p, '<S>', s, '<M>', m)
+              else concat('<S>', s, '<P>', p, '<M>', m) end) as output_sha256,
+       sha256(text) as restored_sha256
+from made
 """,
 }

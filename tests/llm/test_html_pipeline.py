@@ -117,7 +117,7 @@ def test_pipeline_of_odd_rows(spark, documents, tmp_path):
 
 def test_registered(spark):
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{k}" for k in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
