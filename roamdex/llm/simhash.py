@@ -10,14 +10,6 @@ verified on all 64 bits. The search is exact: no pair within 3 bits is missed.
 Documents with one fingerprint are one class, linked by its smallest document; pairs are made between classes only.
 A fingerprint has at most 43,744 others within 3 bits, however large the input, so no class can have more partners.
 
-For whole corpora there are also wide fingerprints, of several words of 64 bits, as the first of two ways to pairs of
-documents whose shingle sets have a Jaccard similarity of at least ``similarity`` (``similar_documents``). Members of an
-anchor meet its first home, which merges most copies at once. What that leaves is found exactly: the sets are put in one
-global order of shingles, and two sets that are similar enough share a shingle among the first few of each (prefix
-filter, size and position bounds). Documents that share such a shingle and are not yet in one component are all
-compared. Every pair of either way is decided by its Jaccard similarity over all shingles, never by bits. Shingles are
-told apart by 64-bit hashes, sets by 64 bits of their digest; nothing else is left to chance.
-
 Defined cases: a null text counts as empty, and texts without words have fingerprint zero and link like any other;
 rows with a null ``doc_id`` get a fingerprint and, where their class has no other row, a null component; repeated
 rows fall into one class; an empty table gives no rows; other columns are kept out.
@@ -26,8 +18,6 @@ rows fall into one class; an empty table gives no rows; other columns are kept o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
-from hashlib import md5
 from itertools import repeat
 
 import numpy as np
@@ -202,173 +192,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MO
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-#: Words of 64 bits in a wide fingerprint.
-WIDE_WORDS = 6
-
-
-#: Documents whose shingles tell which are frequent, and how many such shingles are remembered. Both steer the order of
-#: shingles only: any order finds the same pairs.
-ORDER_DOCS, ORDER_SHINGLES = 5_000, 200_000
-
-
-def _set_of(blocks: list[np.ndarray]) -> tuple[np.ndarray, int]:
-    """The different hashes, sorted, and 64 bits of their digest."""
-    found = np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
-    return found, int.from_bytes(md5(found.tobytes()).digest()[:8], "little", signed=True)
-
-
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, text`` -> ``set_id, shingles`` (sorted hashes), one row per row."""
-    bounded_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sets = [], []
-            for text in batch.column("text").cast(pa.binary()):
-                tokens = (text.as_py() or b"").lower().split()
-                found, key = _set_of(list(_hash_blocks(tokens, shingle)) if tokens else [])
-                keys.append(key)
-                sets.append(found.view(np.int64))
-            columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["set_id", "shingles"])
-
-    return docs.select("text").mapInArrow(run, "set_id bigint, shingles array<bigint>")
-
-
-def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (sorted) that several documents of a sample share, and how many do."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, docs.count()))) < ORDER_DOCS)
-    sets = shingle_sets(sample, shingle).select(F.explode("shingles").alias("s"))
-    most = sets.groupBy("s").count().where("count > 2").orderBy(F.desc("count"), "s").limit(ORDER_SHINGLES).collect()
-    hashes = np.array([r["s"] for r in most], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([r["count"] for r in most], np.int64)[order]
-
-
-def _marked_sets(docs: DataFrame, shingle: int, words: int, share: Fraction) -> DataFrame:
-    """``doc_id, set_id, n, fp, prefix``: the first shingles of a set, rare ones before frequent ones.
-
-    Two sets with ``share`` of their union in common have a shingle in common among the first n - ceil(share n) + 1.
-    """
-    hot, seen = _frequent(docs, shingle)
-    kinds = [("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("fp", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
-                tokens = (text.as_py() or b"").lower().split()
-                blocks = list(_hash_blocks(tokens, shingle)) if tokens else []
-                found, key = _set_of(blocks)
-                n = len(found)
-                first = n + (-share.numerator * n // share.denominator) + 1 if n else 0
-                often = np.zeros(n, np.int64)
-                if n and len(hot):
-                    at = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
-                    often = np.where(hot[at] == found, seen[at], 0)
-                prefix = found[np.argsort(often, kind="stable")[:first]].view(np.int64)
-                for column, value in zip(out, (doc_id, key, n, _simhash(blocks, words), prefix)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(out, kinds)], [k for k, _ in kinds])
-
-    schema = "doc_id bigint, set_id bigint, n bigint, fp array<bigint>, prefix array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """``a, b`` (set ids) -> ``u, v``: the smallest documents of the pairs whose Jaccard similarity is ``share`` or more."""
-    reps = sets.select("set_id", "rep")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(reps, "set_id")
-    asked = stored(asked)
-    texts = docs.join(asked.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    whole = shingle_sets(texts, shingle).join(asked, "set_id").dropDuplicates(["set_id"])
-    whole = stored(whole)
-    a = whole.select(F.col("set_id").alias("a"), F.col("rep").alias("u"), F.col("shingles").alias("x"))
-    b = whole.select(F.col("set_id").alias("b"), F.col("rep").alias("v"), F.col("shingles").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
-    union = F.size("x") + F.size("y") - F.col("common")
-    near = both.where(F.col("common") * share.denominator >= union * share.numerator)
-    return stored(near.where("u <> v").select("u", "v"))
-
-
-def _possible(share: Fraction, n: str, i: str, m: str, j: str) -> Column:
-    """Whether sets of n and m shingles that first meet at places i and j can be similar enough."""
-    n, i, m, j = (F.col(c) for c in (n, i, m, j))
-    most = F.least(n - i, m - j)
-    return _sizes_fit(share, n, m) & (most * (share.numerator + share.denominator) >= (n + m) * share.numerator)
-
-
-def _sizes_fit(share: Fraction, n: Column, m: Column) -> Column:
-    return F.least(n, m) * share.denominator >= F.greatest(n, m) * share.numerator
-
-
-def _apart(shared: DataFrame, linked: DataFrame, share: Fraction) -> DataFrame:
-    """``a, b``: all sets that share a shingle of their prefixes and are in different components.
-
-    Components of a shingle meet first, their members then, so that a large component costs no comparisons in itself.
-    """
-    members = shared.join(linked, shared["rep"] == linked["node"], "left")
-    members = stored(members.select("s", "set_id", "n", "i", "head", F.coalesce("component", "rep").alias("c")))
-    mixed = members.groupBy("s").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
-    members = stored(members.join(mixed.select("s"), "s"))
-    other = members.select("s", F.col("c").alias("d")).distinct()
-    a = members.join(other, "s").where("c < d").select("s", "d", F.col("set_id").alias("a"), "n", "i")
-    b = members.select("s", F.col("c").alias("d"), F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), "head")
-    met = a.join(b, ["s", "d"]).where(_possible(share, "n", "i", "m", "j"))
-    # The head of a shingle has met all the others already.
-    met = met.where((F.col("a") != F.col("head")) & (F.col("b") != F.col("head")))
-    return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def similar_documents(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = WIDE_WORDS
-) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, component_id``, for documents whose shingle sets have at least that Jaccard similarity.
-
-    Equal sets are one class. Classes meet the first home of their anchors and the first class of the shingles in their
-    prefix; then those that share a shingle of their prefixes and are not in one component all meet. No pair is missed.
-    """
-    share = Fraction(str(similarity))
-    if not 0 < share <= 1:
-        raise ValueError("the similarity is above 0 and at most 1")
-    marked = stored(_marked_sets(docs, shingle, words, share))
-    sets = stored(
-        marked.groupBy("set_id").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "fp", "prefix")])
-    )
-    known = sets.where("rep is not null")
-
-    _, visits = _anchors(known.select("fp", F.col("set_id").alias("rep")))
-    at = Window.partitionBy("half", "anchor")
-    first_home = F.min(F.when(F.col("at_home"), F.col("rep"))).over(at)
-    homes = visits.select(F.col("rep").alias("a"), first_home.alias("b")).where("a <> b").distinct()
-    size = known.select("set_id", "n")
-    homes = homes.join(size.toDF("a", "n"), "a").join(size.toDF("b", "m"), "b")
-    homes = homes.where(_sizes_fit(share, F.col("n"), F.col("m"))).select("a", "b")
-
-    places = known.select("set_id", "rep", "n", F.posexplode("prefix").alias("i", "s"))
-    first = F.min(F.struct("rep", "set_id", "n", "i")).alias("first")
-    heads = stored(places.groupBy("s").agg(F.count(F.lit(1)).alias("k"), first).where("k > 1").drop("k"))
-    heads = heads.select("s", F.col("first.set_id").alias("head"), F.col("first.n").alias("m"), F.col("first.i").alias("j"))
-    shared = stored(places.join(heads, "s"))
-    met = shared.where("head <> set_id").where(_possible(share, "n", "i", "m", "j"))
-    met = met.select(F.col("set_id").alias("a"), F.col("head").alias("b"))
-    pairs = homes.unionByName(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _alike(stored(pairs.distinct()), sets, docs, shingle, share)
-    rest = _apart(shared, components(links), share)
-    links = links.unionByName(_alike(rest, sets, docs, shingle, share))
-
-    linked = components(links)
-    of_set = sets.join(linked, sets["rep"] == linked["node"], "left")
-    of_set = stored(of_set.select("set_id", F.coalesce("component", "rep").alias("component_id")))
-    return marked.select("doc_id", "set_id").join(of_set, "set_id").select("doc_id", "component_id")
-
-
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; columns as they are.
 
     Of rows that share a ``doc_id`` the first in the order of all columns stays. Rows without an id all stay.
     """
-    found = stored(similar_documents(docs, shingle, similarity))
+    found = stored(near_duplicates(docs, shingle, most_bits).select("doc_id", "component_id"))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
