@@ -40,7 +40,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    cut = substring.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    cut = substring.dedup_units(table(spark, sf, "documents").select("doc_id", "text"))
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return cut.select("doc_id", "kept_text", spans.alias("removed"))
 
@@ -108,27 +108,50 @@ def op13_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLE = {
     "op1_substring_dedup": r"""
-with split as (select doc_id, text, string_split(text, chr(10)) as parts from documents),
-lines as (
-  select doc_id, generate_subscripts(parts, 1) as k, unnest(parts) as line, length(text) as whole
-  from split where text is not null and text <> ''),
-normal as (
-  select *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                               '[^\x20\x09-\x0D]+') as words,
-         (sum(length(line) + 1) over (partition by doc_id order by k) - length(line) - 1)::bigint as starts
-  from lines),
+with sentences as (
+  select doc_id, text, unnest(regexp_extract_all(text, '[^\n]*?[.!?][\x20\x09\x0B-\x0D]+|[^\n]*\n|[^\n]+')) as piece,
+         generate_subscripts(regexp_extract_all(text, '[^\n]*?[.!?][\x20\x09\x0B-\x0D]+|[^\n]*\n|[^\n]+'), 1) as s
+  from documents where text <> ''),
+tokens as (
+  select doc_id, text, s, case when len(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')) > 25
+    then regexp_extract_all(piece, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') else [piece] end as toks
+  from sentences),
+parted as (select doc_id, text, s, unnest(toks) as tok, generate_subscripts(toks, 1) as t from tokens),
+lowered as (
+  select *, translate(tok, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low from parted),
+subs as (
+  select *, coalesce(sum((md5(regexp_extract(low, '[^\x20\x09-\x0D]+'))[1] in ('0', '8'))::int) over (
+    partition by doc_id, s order by t rows between unbounded preceding and 1 preceding), 0) as sub
+  from lowered),
+units as (
+  select doc_id, text, s, sub, string_agg(tok, '' order by t) as piece, string_agg(low, '' order by t) as low
+  from subs group by all),
+numbered as (
+  select *, row_number() over w as k, (sum(length(piece)) over w - length(piece))::bigint as starts,
+         regexp_extract_all(low, '[^\x20\x09-\x0D]+') as words
+  from units window w as (partition by doc_id order by s, sub)),
 marked as (
-  select *, len(words) >= 10
-            and row_number() over (partition by array_to_string(words, ' '), len(words) >= 10 order by doc_id, k) > 1 as gone
-  from normal),
+  select *, len(words) = 0 or row_number() over (partition by array_to_string(words, ' ') order by doc_id, k) > 1 as again,
+         coalesce(sum(ends_with(piece, chr(10))::int) over (
+           partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) as line
+  from numbered),
+runs as (select *, sum((not again)::int) over (partition by doc_id order by k) as run from marked),
+cut as (
+  select *, again and (sum(case when again then len(words) else 0 end) over (partition by doc_id, run) >= 10
+                       or bool_and(again) over (partition by doc_id, line) and sum(len(words)) over (partition by doc_id, line) > 0) as gone
+  from runs),
+islands as (select *, k - row_number() over (partition by doc_id order by k) as island from cut where gone),
+spans as (
+  select doc_id, any_value(text) as text, min(starts) as a, max(starts + length(piece)) as b, max(k) as k
+  from islands group by doc_id, island),
+trimmed as (
+  select doc_id, k, a, b, a > 0 and substr(text, a, 1) <> chr(10) and substr(text, b, 1) = chr(10) as trim from spans),
 kept as (
-  select doc_id, string_agg(line, chr(10) order by k) filter (where not gone) as kept_text from marked group by doc_id),
-runs as (
-  select doc_id, starts, least(starts + length(line) + 1, whole) as ends,
-         k - row_number() over (partition by doc_id order by k) as run
-  from marked where gone),
-spans as (select doc_id, min(starts) as a, max(ends) as b from runs group by doc_id, run),
-removed as (select doc_id, string_agg(concat(a, '-', b), ',' order by a) as removed from spans group by doc_id)
+  select c.doc_id, string_agg(case when not gone then piece when trim then chr(10) else '' end, '' order by c.k) as kept_text
+  from cut c left join trimmed t on t.doc_id = c.doc_id and t.k = c.k group by c.doc_id),
+removed as (
+  select doc_id, string_agg(concat(a, '-', b - trim::int), ',' order by a) as removed
+  from trimmed where a < b - trim::int group by doc_id)
 select d.doc_id, case when d.text is null or d.text = '' then d.text else coalesce(k.kept_text, '') end as kept_text,
        coalesce(r.removed, '') as removed
 from documents d left join kept k using (doc_id) left join removed r using (doc_id)

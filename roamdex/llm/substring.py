@@ -1,17 +1,21 @@
-"""Substring dedup by line hashing: of equal lines in the whole table, the first stays and the rest are cut out.
+"""Substring dedup by hashing units of text: of equal units in the whole table the first stays, the rest are cut out.
 
-Units are the lines of a text. A line is normalised (A-Z to lower case, runs of ASCII white space to one space, ends
-trimmed) and stands for its digest; only digests, places and counts are shuffled to find the first, texts are not.
-The order of occurrences is document id (null last), then line number. Lines of fewer than ``min_words`` words are
-left alone. What is cut is told by its original offsets.
+Units are the sentences of a text's lines: it is cut after line ends and after sentence ends (. ! ? before white space).
+A unit of more than ``LONG_UNIT`` words is cut further, after each word whose hash says so (one word in eight), so that
+both copies of a passage without sentence ends are cut alike, whatever stands around them. A unit is normalised (A-Z to
+lower case, runs of ASCII white space to one space, ends trimmed) and stands for its digest. The order of occurrences is
+document id (null last), then place in the text.
 
-``keep_first_lines`` has finer units: lines are cut at sentence ends (. ! ? before white space) too. A repeated passage
-that shares its lines with other words is cut where its run of repeated sentences has ``min_words`` words; a line of
-which every sentence is repeated is cut whatever its length. A passage is found from its first whole sentence to its
-last one.
+A repeated unit is cut out where it lies in a run of repeated units of ``min_words`` words together, or where all units
+of its line are repeated, however short. So a passage is found from its first whole unit to its last one. What is cut is
+told by its original offsets.
+
+Units are counted by 64-bit hashes first; those that occur twice or more go to the tasks as a Bloom filter of at most
+``FILTER_BYTES``, and only their places are shuffled to find the first of each, by 128-bit digests. A false positive of
+the filter adds a place, which the exact grouping drops. Texts move once, to meet what is cut out of them.
 
 Defined cases: null and empty texts pass unchanged; rows that repeat a ``doc_id`` are read as one document's copies
-and ranked among each other by text digest, rows equal in both keep their lines alike; an empty table gives no rows;
+and ranked among each other by text digest, rows equal in both keep their units alike; an empty table gives no rows;
 other columns pass through, also where their names equal those added here, which are given as parameters.
 """
 
@@ -19,101 +23,119 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roamdex.llm import bloom
 from roamdex.llm.common import bounded_batches, fresh, stored
 
 MIN_WORDS = 10
+LONG_UNIT = 25
+FILTER_BYTES = 32 * 1024 * 1024
+
+_UNIT_END = re.compile(rb"\n|(?<=[.!?])[ \t\x0b\x0c\r]+")
+_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+
+
+@lru_cache(maxsize=1 << 17)
+def _parts_units(word: bytes) -> bool:
+    """Whether a long unit is cut after this word: the first digit of its digest is 0 or 8."""
+    return md5(word).digest()[0] & 0x70 == 0
+
+
+def units(text: bytes) -> list[bytes]:
+    """A UTF-8 text cut into its units; put together they are the text."""
+    ends = [m.end() for m in _UNIT_END.finditer(text)]
+    out = []
+    for part in (text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])):
+        if len(part) > 2 * LONG_UNIT and len(part.split()) > LONG_UNIT:
+            words = list(_WORD.finditer(part))
+            cuts = [b.start() for a, b in zip(words, words[1:]) if _parts_units(a[0].lower())]
+            out += [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])]
+        elif part:
+            out.append(part)
+    return out
 
 
-def line_digest(line: bytes) -> tuple[int, bytes]:
-    """Words and digest of a normalised line."""
-    words = line.lower().split()
-    return len(words), md5(b" ".join(words)).digest()
+def unit_digest(unit: bytes) -> bytes | None:
+    """Digest of a normalised unit; none for one without words."""
+    words = unit.lower().split()
+    return md5(b" ".join(words)).digest() if words else None
 
 
-_PIECE_END = r"\n|(?<=[.!?])[ \t\x0b\x0c\r]+"
-_PIECE_ENDS = {str: re.compile(_PIECE_END), bytes: re.compile(_PIECE_END.encode())}
+def _digests(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Id, digest of the whole text, and the units' digests, of every row with a text."""
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        if text:
+            yield doc_id, md5(text).digest()[:8], [unit_digest(u) for u in units(text)]
 
 
-def pieces(text: str | bytes) -> list[str | bytes]:
-    """The text cut after sentence ends and line ends; the same pieces for a text and for its UTF-8."""
-    ends = [m.end() for m in _PIECE_ENDS[type(text)].finditer(text)]
-    return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
+def _keys(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
+
+
+def repeated_filter(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> bloom.Filter:
+    """Filter of the units that occur twice or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n = np.unique(_keys([d for *_, ds in _digests(batch) for d in ds if d]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+
+    counts = docs.select("doc_id", "text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    repeated = stored(counts.where("n > 1").select("key", F.lit(1).cast("tinyint").alias("level")))
+    return bloom.build(repeated, bloom.blocks_for(2 * repeated.count(), filter_bytes))
 
 
-def line_units(docs: DataFrame, min_words: int = MIN_WORDS, sentences: bool = False) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, copy, line, digest`` of every line with at least ``min_words`` words.
+def unit_places(docs: DataFrame, repeated: bloom.Filter) -> DataFrame:
+    """``doc_id, text`` -> ``doc_id, copy, unit, digest`` of every unit that the filter holds.
 
-    With ``sentences`` units are the ``pieces`` instead. ``copy`` is a digest of the whole text, to tell rows with one ``doc_id`` apart.
+    ``copy`` is a digest of the whole text, to tell rows with one ``doc_id`` apart.
     """
-    bounded_batches(docs.sparkSession)
-    kinds = [("doc_id", pa.int64()), ("copy", pa.binary()), ("line", pa.int32()), ("digest", pa.binary())]
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
+    kinds = [("doc_id", pa.int64()), ("copy", pa.binary()), ("unit", pa.int32()), ("digest", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                if not text:
-                    continue
-                copy = md5(text).digest()[:8]
-                for k, line in enumerate(pieces(text) if sentences else text.split(b"\n")):
-                    n, digest = line_digest(line)
-                    if n >= min_words:
-                        for column, value in zip(out, (doc_id, copy, k, digest)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(out, kinds)], [n for n, _ in kinds])
+            rows = [(i, copy, k, d) for i, copy, ds in _digests(batch) for k, d in enumerate(ds) if d]
+            hit = np.flatnonzero(shared.value.has(_keys([r[3] for r in rows]))).tolist()
+            columns = zip(*[rows[k] for k in hit]) if hit else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], [n for n, _ in kinds])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, copy binary, line int, digest binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, copy binary, unit int, digest binary")
 
 
-def repeated_lines(units: DataFrame) -> DataFrame:
-    """``doc_id, copy, lines``: the numbers of the lines to cut, for documents that have some.
+def repeated_units(places: DataFrame) -> DataFrame:
+    """``doc_id, copy, units``: the numbers of the units that are not the first of their kind, for documents with some.
 
     The first occurrence of each digest is found by a minimum with map-side combine, over digests that occur twice or
-    more. The join back has the hot lines on one side only, whose partitions the skew join splits.
+    more. The join back has the hot units on one side only, whose partitions the skew join splits.
     """
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy", "unit")
     firsts = stored(
-        units.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+        places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     )
-    later = units.join(firsts, "digest").where(
+    later = places.join(firsts, "digest").where(
         ~(
             F.col("first.doc_id").eqNullSafe(F.col("doc_id"))
             & (F.col("first.copy") == F.col("copy"))
-            & (F.col("first.line") == F.col("line"))
+            & (F.col("first.unit") == F.col("unit"))
         )
     )
-    # A document's own lines come together here, as they do in its text. Rows equal in id and text count once.
-    return later.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    # A document's own units come together here, as they do in its text. Rows equal in id and text count once.
+    return later.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 
 
-def _cut(text: str, lines: list[int]) -> tuple[str, list[dict]]:
-    """Text without those lines, and the code point spans cut out, line ends included."""
-    gone, kept, spans, at = set(lines), [], [], 0
-    for k, line in enumerate(text.split("\n")):
-        if k in gone:
-            if spans and spans[-1]["end"] == at:
-                spans[-1]["end"] = at + len(line) + 1
-            else:
-                spans.append({"start": at, "end": at + len(line) + 1})
-        else:
-            kept.append(line)
-        at += len(line) + 1
-    for span in spans:
-        span["end"] = min(span["end"], len(text))
-    return "\n".join(kept), spans
-
-
-def _cut_pieces(text: str, repeated: list[int], min_words: int) -> tuple[str, list[dict]]:
-    """Text without the repeated pieces that are a whole line or lie in a run of ``min_words`` words; spans cut out."""
-    parts, again = pieces(text), set(repeated)
-    words = [len(p.encode().split()) for p in parts]
+def cut_units(text: str, repeated: list[int], min_words: int = MIN_WORDS) -> tuple[str, list[dict]]:
+    """Text without the repeated units that fill a line or lie in a run of ``min_words`` words; code point spans cut out."""
+    parts, again = units(text.encode()), set(repeated)
+    words = [len(p.split()) for p in parts]
     gone: set[int] = set()
 
     def take(run: list[int], least: int) -> None:
@@ -123,26 +145,27 @@ def _cut_pieces(text: str, repeated: list[int], min_words: int) -> tuple[str, li
     run: list[int] = []
     line: list[int] = []
     for k, part in enumerate(parts):
-        # Pieces without words neither make a run nor end it.
+        # Units without words neither make a run nor end it.
         if words[k] == 0 or k in again:
             run.append(k)
         else:
             take(run, min_words)
             run = []
         line.append(k)
-        if part.endswith("\n") or k == len(parts) - 1:
+        if part.endswith(b"\n") or k == len(parts) - 1:
             if all(words[i] == 0 or i in again for i in line):
                 take(line, 1)
             line = []
     take(run, min_words)
     spans, at = [], 0
     for k, part in enumerate(parts):
-        if k in gone and part:
+        size = len(part.decode())
+        if k in gone:
             if spans and spans[-1]["end"] == at:
-                spans[-1]["end"] = at + len(part)
+                spans[-1]["end"] = at + size
             else:
-                spans.append({"start": at, "end": at + len(part)})
-        at += len(part)
+                spans.append({"start": at, "end": at + size})
+        at += size
     # What stays before a cut within a line keeps its line end.
     for span in spans:
         if span["start"] and text[span["start"] - 1] != "\n" and text[span["end"] - 1] == "\n":
@@ -152,55 +175,46 @@ def _cut_pieces(text: str, repeated: list[int], min_words: int) -> tuple[str, li
     return "".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)])), spans
 
 
-def dedup_lines(
-    docs: DataFrame,
-    min_words: int = MIN_WORDS,
-    kept_column: str = "kept_text",
-    spans_column: str = "removed",
-    sentences: bool = False,
+def dedup_units(
+    docs: DataFrame, min_words: int = MIN_WORDS, kept_column: str = "kept_text", spans_column: str = "removed"
 ) -> DataFrame:
-    """``docs`` with the text that stays and the spans (start, end) removed, both by code points of the whole text.
-
-    With ``sentences`` units are finer than lines, and ``min_words`` is a bound of runs that are no whole line.
-    """
+    """``docs`` with the text that stays and the spans (start, end) removed, both by code points of the whole text."""
     bounded_batches(docs.sparkSession)
-    units = stored(line_units(docs, 1 if sentences else min_words, sentences))
-    cuts = stored(repeated_lines(units))
+    places = stored(unit_places(docs, repeated_filter(docs)))
+    cuts = stored(repeated_units(places))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         "doc_id", F.unhex(F.substring(F.md5(F.col("text").cast("binary")), 1, 16)).alias("copy"),
     )
     names = [F.col("cut_id"), F.col("cut_copy")]
-    cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("copy").alias("cut_copy"), "lines")
+    cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("copy").alias("cut_copy"), "units")
     met = keyed.join(cuts, F.col("doc_id").eqNullSafe(names[0]) & (F.col("copy") == names[1]), "left")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column("row")
-            texts, spans = [], []
-            for text, lines in zip(row.field("text").to_pylist(), batch.column("lines").to_pylist()):
-                text, cut = (text, []) if not lines else _cut_pieces(text, lines, min_words) if sentences else _cut(text, lines)
-                texts.append(text)
-                spans.append(cut)
-            yield pa.RecordBatch.from_arrays(
-                [row, pa.array(texts, pa.string()), pa.array(spans, span)], ["row", "kept", "spans"]
-            )
+            found = [
+                cut_units(text, repeated, min_words) if repeated else (text, [])
+                for text, repeated in zip(row.field("text").to_pylist(), batch.column("units").to_pylist())
+            ]
+            columns = [row, pa.array([t for t, _ in found], pa.string()), pa.array([s for _, s in found], span)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "kept", "spans"])
 
     spans_kind = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
     kinds = T.StructType([keyed.schema["row"]]).add("kept", "string").add("spans", spans_kind)
-    cut = met.select("row", "lines").mapInArrow(run, kinds)
+    cut = met.select("row", "units").mapInArrow(run, kinds)
     kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (kept_column, spans_column)]
     return cut.select(*kept, F.col("kept").alias(kept_column), F.col("spans").alias(spans_column))
 
 
 def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated lines and runs of sentences cut out of ``text`` and ``n_chars`` brought up to date; columns as they are.
+    """``docs`` with repeated lines and runs of units cut out of ``text`` and ``n_chars`` brought up to date; columns as they are.
 
     A document of which nothing is left has the empty text.
     """
     kept = fresh(docs, "kept")
-    cut = dedup_lines(docs, min_words, kept, fresh(docs, "spans"), sentences=True).withColumn("text", F.col(kept))
+    cut = dedup_units(docs, min_words, kept, fresh(docs, "spans")).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length(kept).cast(docs.schema["n_chars"].dataType))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,6 +1,8 @@
 """Fingerprints, components, lines and vectors against brute force, and the defined cases."""
 
+import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -97,104 +99,120 @@ def test_simhash_of_nothing(documents):
 def test_keep_one(documents):
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
-    texts = [[word() for _ in range(300)] for _ in range(30)]
-    near = []
-    for t in texts[:10]:
-        copy = list(t)
-        for at in (50, 200):
-            copy[at] = word()
-        near.append(copy)
-    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)] + [(100 + i, " ".join(t), "s") for i, t in enumerate(near)]
-    rows += [(200, " ".join(texts[0]), "s"), (29, " ".join(texts[29]), "s"), (None, "null id", "s")]
+    texts = [" ".join(word() for _ in range(300)) for _ in range(30)]
+    near = [t.upper() for t in texts[:5]] + [t.replace(" ", " \n") for t in texts[5:10]]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(100 + i, t, "s") for i, t in enumerate(near)]
+    rows += [(200, texts[0], "s"), (29, texts[29], "s"), (None, "null id", "s"), (300, None, "s"), (301, " ", "s")]
     docs = documents(rows).withColumn("n", F.lit(1)).withColumn("component_id", F.lit("clash"))
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == list(range(30))
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [*range(30), 300]
     assert kept.where("doc_id is null").count() == 1
     assert simhash.keep_one(documents([])).collect() == []
 
 
-def plain_groups(texts, bound):
-    """Smallest number of each text's group, from all pairs of shingle sets."""
-    words = [t.lower().split() for t in texts]
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
-    links = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * bound]
-    return groups(len(sets), links)
-
-
-def edited(rng, words, times):
-    """Those words with single ones changed, which breaks five shingles each."""
-    words = list(words)
-    for at in rng.sample(range(2, len(words) - 2, 6), times):
-        words[at] = f"new{rng.getrandbits(40)}"
-    return words
-
-
-def test_similar_documents_are_brute_force(documents):
-    """Copies at similarities of 0.6 to 1, around the bound of 0.8; a template that many share; short texts."""
-    rng = random.Random(9)
-    template = [f"t{i}" for i in range(60)]
-    texts = ["a b", "A  b", "a b c", "one two three four five", ""]
-    for k in range(60):
-        base = [f"w{rng.randrange(10**6)}" for _ in range(200)] + template * (k % 3 == 0)
-        texts += [" ".join(base)] + [" ".join(edited(rng, base, n)) for n in rng.sample(range(1, 12), 3)]
-    rng.shuffle(texts)
-    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(documents([(i, t, "s") for i, t in enumerate(texts)])).collect()}
-    expected = plain_groups(texts, 4)
-    assert len(set(expected)) > 65
-    assert got == dict(enumerate(expected))
-
-
-def test_copies_behind_an_unrelated_home(documents, monkeypatch):
-    """All documents are at home at one anchor, where the smallest is like none of the others."""
-
-    def one_anchor(classes):
-        all_home = classes.select(F.lit(0).alias("half"), F.lit(0).alias("anchor"), "fp", "rep", F.lit(True).alias("at_home"))
-        return all_home, all_home
-
-    monkeypatch.setattr(simhash, "_anchors", one_anchor)
-    rng = random.Random(2)
-    a, b = ([f"{name}{i}" for i in range(300)] for name in "ab")
-    texts = ["quite another text that is here first", *(" ".join(edited(rng, w, n)) for n in (0, 1, 2) for w in (a, b))]
-    got = simhash.similar_documents(documents([(i, t, "s") for i, t in enumerate(texts)])).collect()
-    assert sorted(map(tuple, got)) == [(0, 0), (1, 1), (2, 2), (3, 1), (4, 2), (5, 1), (6, 2)]
-
-
-def plain_lines(rows, min_words):
+def test_keep_one_of_bits(documents):
+    """Which documents stay follows from plain fingerprints alone."""
+    docs = documents([]).sparkSession.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    ids, fps = [r[0] for r in rows], np.array([plain_fingerprint(r[1]) for r in rows], np.uint64)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    order = np.argsort(ids)
+    root = groups(len(ids), [(int(a), int(b)) for a, b in zip(*np.nonzero(near[np.ix_(order, order)])) if a > b])
+    expected = {ids[order[k]] for k in set(root)}
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == expected
+
+
+def plain_units(text):
+    """Units by a scan over the characters, without the patterns."""
+    out, at = [], 0
+    space = " \t\x0b\x0c\r"
+    for i, ch in enumerate(text):
+        ended = ch in space and text[at:i].rstrip(space)[-1:] in (".", "!", "?") and text[at:i].rstrip(space)
+        if ch == "\n" or (ended and (i + 1 == len(text) or text[i + 1] not in space)):
+            out.append(text[at : i + 1])
+            at = i + 1
+    out += [text[at:]] if text[at:] else []
+    fine = []
+    for part in out:
+        words = [m for m in re.finditer(r"[^\x20\x09-\x0D]+", part)]
+        cuts = [0]
+        if len(words) > 25:
+            cuts += [b.start() for a, b in zip(words, words[1:]) if hashlib.md5(a[0].encode().lower()).hexdigest()[0] in "08"]
+        fine += [part[a:b] for a, b in zip(cuts, [*cuts[1:], len(part)])]
+    return fine
+
+
+def plain_dedup(rows, least=10):
     seen, out = set(), {}
     for i, text, _ in sorted(rows, key=lambda r: r[0]):
-        kept, spans, at = [], [], 0
-        for line in (text or "").split("\n"):
-            words = tuple(line.encode().lower().split())
-            if len(words) >= min_words and words in seen:
-                if spans and spans[-1][1] == at:
-                    spans[-1][1] = at + len(line) + 1
-                else:
-                    spans.append([at, at + len(line) + 1])
-            else:
-                kept.append(line)
-                seen.add(words)
-            at += len(line) + 1
-        out[i] = ("\n".join(kept), [(a, min(b, len(text or ""))) for a, b in spans])
+        parts = plain_units(text or "")
+        keys = [tuple(p.encode().lower().split()) for p in parts]
+        again = []
+        for key in keys:
+            again.append(not key or key in seen)
+            seen.add(key)
+        lines = np.cumsum([0] + [p.endswith("\n") for p in parts])[:-1] if parts else []
+        gone = [False] * len(parts)
+        k = 0
+        while k < len(parts):
+            end = k
+            while end < len(parts) and again[end]:
+                end += 1
+            if sum(len(x) for x in keys[k:end]) >= least:
+                gone[k:end] = [True] * (end - k)
+            k = max(end, k + 1)
+        for line in set(lines):
+            own = [k for k in range(len(parts)) if lines[k] == line]
+            if all(again[k] for k in own) and any(keys[k] for k in own):
+                for k in own:
+                    gone[k] = True
+        marks = "".join(("x" if g else " ") * len(p) for p, g in zip(parts, gone))
+        spans = []
+        for m in re.finditer("x+", marks):
+            a, b = m.span()
+            b -= a > 0 and text[a - 1] != "\n" and text[b - 1] == "\n"
+            if a < b:
+                spans.append((a, b))
+        kept = [text[a:b] for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), len(text or "")])] if text else [text or ""]
+        out[i] = ("".join(kept), spans)
     return out
 
 
-def test_lines_are_brute_force(documents):
+def test_units_are_brute_force(documents):
     rng = random.Random(8)
-    pool = [" ".join(rng.choice(["é", "Ab", "c", "dd"]) for _ in range(n)) for n in (2, 3, 4, 5, 12)]
+    pool = [" ".join(rng.choice(["é", "Ab", "c", "dd."]) for _ in range(n)) for n in (2, 3, 4, 5, 12, 40)]
+    long = " ".join(f"word{rng.randrange(10**6)}" for _ in range(80))
     rows = []
-    for i in range(60):
-        lines = [rng.choice(pool) if rng.random() < 0.6 else f"own line {i} {j} x" for j in range(rng.randrange(0, 8))]
-        rows.append((i, "\n".join(lines) + rng.choice(["", "\n", "  "]), "s"))
-    rows += [(70, None, "s"), (71, "", "s"), (72, pool[4].upper().replace(" ", " \t "), "s"), (73, "w " * 50000, "s")]
-    docs = documents(rows).withColumn("removed", F.lit("clash")).withColumn("lines", F.lit("clash"))
-    got = {r["doc_id"]: r for r in substring.dedup_lines(docs, 3).collect()}
-    for i, (text, spans) in plain_lines(rows, 3).items():
+    for i in range(80):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else f"own line {i} {j} x" for j in range(rng.randrange(0, 8))]
+        text = "".join(p + rng.choice(["\n", "\n", ". ", "!  ", " ", ".\r\n", "\n\n"]) for p in parts)
+        if rng.random() < 0.2:
+            text += " ".join(f"own{rng.randrange(10**6)}" for _ in range(7)) + " " + long + " and more"
+        rows.append((i, text + rng.choice(["", "\n", "  "]), "s"))
+    rows += [(170, None, "s"), (171, "", "s"), (172, pool[4].upper().replace(" ", " \t "), "s"), (173, "w " * 50000, "s"), (174, " \n \n", "s")]
+    docs = documents(rows).withColumn("removed", F.lit("clash")).withColumn("units", F.lit("clash"))
+    got = {r["doc_id"]: r for r in substring.dedup_units(docs).collect()}
+    whole = {r[0]: r[1] for r in rows}
+    for i, (text, spans) in plain_dedup(rows).items():
+        assert b"".join(substring.units((whole[i] or "").encode())).decode() == (whole[i] or "")
         assert (got[i]["kept_text"] or "") == text
         assert [tuple(s) for s in got[i]["removed"]] == spans
-        whole = dict((r[0], r[1]) for r in rows)[i]
-        assert got[i]["text"] == whole and got[i]["lines"] == "clash"
-    assert got[70]["kept_text"] is None
+        assert got[i]["text"] == whole[i] and got[i]["units"] == "clash"
+    assert got[170]["kept_text"] is None
+    assert sum(bool(r["removed"]) for r in got.values()) > 40
+
+
+def test_passages_without_sentence_ends(documents):
+    """A passage of 60 words in other words of two documents: all but its edges is cut from the second."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(60))
+    before, after = (" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(40)) for c in "ab")
+    rows = [(1, f"{before} {passage} {after}", "s"), (2, f"{after} {passage} {before}", "s")]
+    got = {r["doc_id"]: r["kept_text"] for r in substring.dedup_units(documents(rows)).collect()}
+    assert got[1] == rows[0][1]
+    left = [w for w in got[2].split() if w.startswith("p")]
+    assert len(left) < 25
 
 
 def test_lines_of_repeated_rows_and_nothing(documents):
