@@ -2,8 +2,8 @@
 
 Inner products become angles by one more component, sqrt(M^2 - |x|^2) for rows and 0 for queries, with M the largest
 norm. Every row is routed to one leaf of every tree. A query opens leaves of all trees from one queue, the likeliest to
-hold a neighbour first; a leaf's likelihood follows from the query's distances to the thresholds on its path and from
-how near its neighbours must be. It stops when a neighbour is missed by all trees with a probability under
+hold a neighbour first; a leaf's likelihood follows from the query's distances to the thresholds on its path, from
+how near its neighbours must be, and from their own last component, which all of them have and the query has not. It stops when a neighbour is missed by all trees with a probability under
 ``1 - RECALL``: where data are clustered that is after a few leaves, where they are not it takes many. Rows of the opened
 leaves are compared exactly, in double precision. A query that finds fewer than it asks for opens all leaves of one tree.
 
@@ -41,6 +41,10 @@ CHUNK_ROWS = 2048
 #: A row leaves its leaf only if it beats the query's sample row at whose score about this many times ``k`` rows are
 #: expected: several times ``k``, so that ``k`` are left where some are missed.
 BOUND_RANKS = 5
+#: Rows of the sample that are taken to be like a query's neighbours, at least.
+LIKE_ROWS = 8
+#: Queries in a part of a leaf, about; the rows of the leaf are copied to each part.
+PART_QUERIES = 4096
 SEED = 9
 
 
@@ -56,16 +60,20 @@ def _raised(q: np.ndarray) -> np.ndarray:
     return np.concatenate([q, np.zeros((len(q), 1))], axis=1)
 
 
-def opened_leaves(forest: Forest, q: np.ndarray, near: float, recall: float = RECALL) -> list[tuple[int, int]]:
+def opened_leaves(
+    forest: Forest, q: np.ndarray, near: float, last: float = 0.0, recall: float = RECALL
+) -> list[tuple[int, int]]:
     """(tree, leaf) in the order in which a query opens them, likeliest first over all trees.
 
-    A neighbour with cosine ``near`` lies on the query's side of a node with the probability that a normal variable
-    with mean ``near`` times the query's projection and the spread of the rest exceeds the threshold.
+    A neighbour is ``near`` times the query, ``last`` in the last component, where the query is 0, and for the rest of its
+    length one in any direction. It lies on one side of a node with the probability that a normal variable with the mean
+    and spread that follow exceeds the threshold.
     """
     d = q.shape[0]
-    dots = np.einsum("tnd,d->tn", forest.directions, q)
-    spread = np.sqrt(np.maximum(1e-9, (1 - near * near) * (1 - np.minimum(1.0, dots * dots)) / max(1, d - 1)))
-    z = (near * dots - forest.thresholds) / spread
+    dots, up = np.einsum("tnd,d->tn", forest.directions, q), forest.directions[:, :, -1]
+    rest = max(0.0, 1 - near * near - last * last)
+    spread = np.sqrt(np.maximum(1e-9, rest * np.maximum(0.0, 1 - dots * dots - up * up) / max(1, d - 2)))
+    z = (near * dots + last * up - forest.thresholds) / spread
     right = 0.5 * (1 + _erf(z / math.sqrt(2)))
     log_right, log_left = np.log(np.maximum(right, 1e-12)).tolist(), np.log(np.maximum(1 - right, 1e-12)).tolist()
     first = forest.leaves - 1
@@ -110,7 +118,8 @@ def nearest(
     sample = drawn_vectors(rows, "vec_id", "vector", total, SAMPLE_ROWS)
     sample = sample if len(sample) else np.zeros((0, d))
     depth = min(MOST_DEPTH, max(0, math.ceil(math.log2(max(1, total / LEAF_ROWS)))))
-    forest = fit_forest(_lifted(sample, largest) if len(sample) else np.zeros((0, d + 1)), trees, depth, seed)
+    raised = _lifted(sample, largest) if len(sample) else np.zeros((0, d + 1))
+    forest, heights = fit_forest(raised, trees, depth, seed), raised[:, -1]
     # Place, in the sample, of a query's k-th neighbour among all; one more, for the query itself may be in the sample.
     at = min(len(sample), max(1, math.ceil(k * len(sample) / total)) + 1)
     # The sample's k-th best bounds the k-th of all from below. A larger sample leaves room for some times k above it.
@@ -132,13 +141,18 @@ def nearest(
         if everywhere:
             yield from ((i, leaf * forest.trees, -math.inf) for i in range(len(q)) for leaf in range(forest.leaves))
             return
-        scores = -np.sort(-(q @ sample.T), axis=1)
+        scores = q @ sample.T
+        best = np.argsort(-scores, axis=1, kind="stable")[:, : max(at, LIKE_ROWS)]
+        # How high the rows like a query's neighbours are lifted.
+        last = heights[best].mean(axis=1) if len(sample) else np.zeros(len(q))
+        scores = -np.sort(-scores, axis=1)
         lengths = np.linalg.norm(q, axis=1)
         for i, lifted in enumerate(_raised(q)):
             near = scores[i, at - 1] / (lengths[i] * largest) if at else 0.0
             # The sample's rows are candidates too, so the k-th best of all is no worse than theirs.
             bound = scores[i, sure_at - 1] - 1e-9 * lengths[i] * largest if sure_at <= len(sample) else -math.inf
-            for tree, leaf in opened_leaves(forest, lifted, float(np.clip(near, 0.0, 0.9999)), recall):
+            near = float(np.clip(near, 0.0, math.sqrt(max(0.0, 0.9999 - last[i] ** 2))))
+            for tree, leaf in opened_leaves(forest, lifted, near, float(last[i]), recall):
                 yield i, leaf * forest.trees + tree, bound
 
     def cells_of_queries(everywhere: bool):
@@ -160,6 +174,9 @@ def nearest(
     # One row per leaf of the forest. A leaf with many rows (copies of one vector) is cut into parts by a hash.
     parts = stored(routed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("parts")))
     dealt = routed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    # No leaf is opened by more queries than there are, so this many parts bound what is together in one.
+    asking = -(-rows.where("asks").count() // PART_QUERIES)
+    turns = F.sequence(F.lit(0), F.lit(max(0, asking - 1)))
 
     def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -185,8 +202,10 @@ def nearest(
             cells_of_queries(everywhere), "cell bigint, vec_id bigint, vector array<float>, least double"
         )
         spread = asked.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        spread = spread.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, asking))).cast("int"))
         candidates = dealt.where(F.col("cell") % forest.trees == 0) if everywhere else dealt
-        met = candidates.groupBy("cell", "part").cogroup(spread.groupBy("cell", "part")).applyInPandas(
+        candidates = candidates.withColumn("turn", F.explode(turns))
+        met = candidates.groupBy("cell", "part", "turn").cogroup(spread.groupBy("cell", "part", "turn")).applyInPandas(
             compare, "query_id bigint, vec_id bigint, score double"
         )
         best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
