@@ -5,8 +5,8 @@ probe misses. A level is never read too low; it is read too high with the chance
 the intended fill. Level 1 alone makes a plain Bloom filter.
 
 All bits of a key lie in one block, which the key's high bits name. Tasks set the bits of the keys they read in blocks of
-their own, and the driver joins the blocks: its memory, and that of the broadcast, is the filter's size, at most
-``most_bytes``.
+their own, and the driver joins the blocks: what it gathers is the filter's size, at most ``most_bytes``, and a block more
+for each part of the key space (32 MB).
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def count_of() -> np.ndarray:
 
 
 def bucket(key: Column) -> Column:
-    """Part of the key space. Rows dealt by it meet in few blocks of a filter."""
-    return F.shiftrightunsigned(key, 52)
+    """Part of the key space, of 512. Rows dealt by it meet in few blocks of a filter: parts share a block at their ends only."""
+    return F.shiftrightunsigned(key, 55)
 
 
 def _places(keys: np.ndarray, level: int | np.ndarray, blocks: int) -> Iterator[np.ndarray]:

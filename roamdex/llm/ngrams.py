@@ -7,12 +7,15 @@ Memory beside the bytes is bounded by the chunk, which is cut between words; one
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20
+SLICE_BYTES = 4 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -55,6 +58,17 @@ def byte_class(some: bytes) -> np.ndarray:
     return found
 
 
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``SLICE_BYTES`` of text, so that arrays over their words stay small."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def joined(texts: pa.Array) -> tuple[bytes, np.ndarray]:
     """The batch's texts, lower-cased, each with a line feed after it; where each begins, and the end of all."""
     parts = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]

@@ -140,8 +140,9 @@ def _counts(docs: DataFrame, now: list | None, before: list | None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = _Known(None) if now is None else known(now), known(before)
         for batch in batches:
-            langs = pc.fill_null(batch.column("lang"), "und").to_pylist()
-            yield from _count_batch(batch.column("text"), langs, *tests)
+            for some in ngrams.slices(batch, "text"):
+                langs = pc.fill_null(some.column("lang"), "und").to_pylist()
+                yield from _count_batch(some.column("text"), langs, *tests)
 
     counted = docs.select("text", "lang").mapInArrow(run, _SCHEMA)
     return counted.groupBy("w1", "w2", "w3", "lang", "word").agg(F.sum("n").alias("n"))
