@@ -20,12 +20,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return simhash.keep_one(docs, shingle=5, similarity=0.8)
+    """One document of each group of near copies: three-word shingles, fingerprints at 3 or fewer differing bits."""
+    return simhash.keep_one(docs, shingle=3, most_bits=3)
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document, or an earlier place, already has."""
+    """Texts without the lines and passages that an earlier document, or an earlier place, already has."""
     return substring.keep_first_lines(docs)
 
 
