@@ -8,7 +8,7 @@ of the table (``SAMPLE_PAGES``, a parameter) whose own markup (main, article aga
 tells its main text.
 
 Defined cases: a null or empty page, or one without main text, has the empty text; unclosed, crossed and unknown tags
-are read as far as they go; repeated rows are read each; an empty table gives no rows; other columns are not looked at.
+are read as far as they go; what an element's own ``hidden`` or style keeps from being shown is left out; repeated rows are read each; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ SAMPLE_PAGES = 2_000
 #: The pages labelled by hand count as much as the sample, times this.
 HAND_WEIGHT = 2.0
 SMOOTHING = 0.1
+#: What a text's length, sentence ends and links say goes together; taken as independent they would say it threefold.
+TEXT_WEIGHT = 0.5
 
 # --- fixed values: elements of HTML by their part in a page ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,7 +63,7 @@ OFF_NAMES = (
     "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs bottom button comment comments consent "
     "cookie cookies copyright disclaimer discussion disqus dialog footer form header hidden legal login masthead menu modal "
     "nav navbar navigation newsletter notice notification pager pagination popup promo promoted recommended related "
-    "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget"
+    "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags thread toolbar widget"
 ).split()
 MAIN_NAMES = "article body content entry main maincontent post story text".split()
 # --- fixed values: where a page's own markup tells its main text ---
@@ -78,10 +80,20 @@ _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 def _hint(attrs: list[tuple[str, str | None]]) -> str:
     """Which kind of names a node's class, id and role hold."""
     parts = [p.lower() for k, v in attrs if v and k in ("class", "id", "role", "itemprop") for p in _PART.findall(v)]
-    off, main = any(p in _OFF for p in parts), any(p in _MAIN for p in parts)
+    off, main = {p for p in parts if p in _OFF}, any(p in _MAIN for p in parts)
+    # The header of an article or a post is a part of it; a site's or page's is not.
+    if main and off == {"header"}:
+        return "head"
     return "off" if off else "main" if main else "none" if parts else "bare"
 
 
+def _is_hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether an element says that it is not shown."""
+    names = dict(attrs)
+    style = (names.get("style") or "").lower().replace(" ", "")
+    return "hidden" in names or "display:none" in style or "visibility:hidden" in style
+
+
 class Page(HTMLParser):
     """Arrays over a page's nodes, parents before children: block elements and runs of text."""
 
@@ -89,9 +101,11 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.hint, self.mark = ["#root"], [-1], ["bare"], [None]
         self.text: list[str | None] = [None]
+        self.within = [False]
         self.link_words: list[int] = [0]
         self.open: list[tuple[str, int]] = [("#root", 0)]
         self.silent = self.links = 0
+        self.hidden: set[int] = set()  # places among the open elements
         self.run: list[tuple[str, bool]] = []
         self.feed(html)
         self.close()
@@ -106,6 +120,8 @@ class Page(HTMLParser):
             (tag, self.open[-1][1], hint, mark, text, link_words),
         ):
             column.append(value)
+        above = self.open[-1][1]
+        self.within.append(self.within[above] or self.hint[above] == "off" or self.tag[above] in OFF_TAGS)
         return len(self.tag) - 1
 
     def _end_run(self) -> None:
@@ -115,11 +131,18 @@ class Page(HTMLParser):
         self.run = []
 
     def _pop(self, at: int) -> None:
-        for tag, _ in self.open[at:]:
-            self.silent -= tag in SILENT
+        for k, (tag, _) in enumerate(self.open[at:], at):
+            self.silent -= (tag in SILENT) + (k in self.hidden)
             self.links -= tag == "a"
+            self.hidden.discard(k)
         del self.open[at:]
 
+    def _push(self, tag: str, node: int, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in ("body", "html") and _is_hidden(attrs):
+            self.hidden.add(len(self.open))
+            self.silent += 1
+        self.open.append((tag, node))
+
     def _close_open(self, kinds: tuple[str, ...] | str) -> None:
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at][0]
@@ -143,7 +166,7 @@ class Page(HTMLParser):
                 self.run.append((" " if tag == "br" else "", False))
             else:
                 self.links += tag == "a"
-                self.open.append((tag, self.open[-1][1]))
+                self._push(tag, self.open[-1][1], attrs)
             return
         if tag in SILENT:
             self.silent += 1
@@ -160,7 +183,7 @@ class Page(HTMLParser):
         mark = "main" if "data-main" in names else "off" if "data-off" in names else None
         if names.get("role") == "main" or names.get("itemprop") == "articleBody":
             mark = mark or "role"
-        self.open.append((tag, self._node(tag, _hint(attrs), mark)))
+        self._push(tag, self._node(tag, _hint(attrs), mark), attrs)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("svg", "math"):
@@ -217,12 +240,17 @@ def features(page: Page) -> list[tuple[str, ...]]:
 
 
 def edge_kind(page: Page, i: int) -> str:
-    """Which parent-child potential binds a node: a part of the page may differ from its parent, others seldom do."""
+    """Which parent-child potential binds a node: a part of the page may differ from its parent, others seldom do.
+
+    Nodes within an element whose tag or names say that it is no main text have a potential of their own.
+    """
     if page.parent[i] == 0 and page.tag[i] != "html":
         return "part"
     if page.text[i] is not None:
         return "text"
-    return "part" if page.tag[i] in REGIONS or page.hint[i] in ("off", "main") else "plain"
+    if page.tag[i] in REGIONS or page.hint[i] in ("off", "main"):
+        return "part"
+    return "within" if page.within[i] else "plain"
 
 
 def own_labels(page: Page) -> list[int] | None:
@@ -274,14 +302,15 @@ class Model:
         self.unary: dict[str, tuple[float, float]] = {}
         for kind, found in kinds.items():
             if kind == "edge":
-                for k in ("text", "plain", "part"):
+                for k in ("text", "plain", "part", "within"):
                     rows = [[counts.get((f"edge {k} {a}", b), 0) + SMOOTHING for b in (0, 1)] for a in (0, 1)]
                     self.edge[k] = [[x / sum(row) for x in row] for row in rows]
                 continue
             room = SMOOTHING * (len(found) + 1)
             total = [sum(counts.get((f, b), 0) for f in found) + room for b in (0, 1)]
+            weight = TEXT_WEIGHT if kind in ("words", "ends", "links") else 1.0
             for f in found:
-                self.unary[f] = tuple(math.log((counts.get((f, b), 0) + SMOOTHING) / total[b]) for b in (0, 1))
+                self.unary[f] = tuple(weight * math.log((counts.get((f, b), 0) + SMOOTHING) / total[b]) for b in (0, 1))
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of main text for each node, by one upward and one downward pass of messages."""

@@ -56,4 +56,40 @@ close 17:00</pre>
     # A bare fragment, as some feeds store it.
     """<div data-main="1"><p>The lake froze in December, and the whole village came to skate.</p><p>It thawed in March.</p></div>""",
     """<article data-main="1"><p>A short note.</p>And a tail of text outside any paragraph, as happens.</article>""",
+    # Short prose full of links, in a content div: links are no sign of a menu here.
+    """<html><body><div class="top"><a href="/">Home</a></div><div id="content" data-main="1"><h1>Rivers of the north</h1>
+<p>See <a href="/a">the list of all rivers</a>, <a href="/b">their springs</a> and <a href="/c">their mouths</a>.</p>
+<p><a href="/d">The Lune</a> joins <a href="/e">the Greta</a> at <a href="/f">Caton</a>.</p>
+<ul><li><a href="/g">Lune</a>, 85 km</li><li><a href="/h">Greta</a></li><li><a href="/i">Wenning</a>, with <a href="/j">its five mills</a></li></ul>
+<p><a href="/k">A longer account of every mill on the river, with maps</a></p></div>
+<div class="footer"><a href="/imprint">Imprint</a> <a href="/terms">Terms of use</a></div></body></html>""",
+    """<html><body><nav><ul><li><a href="/">Start</a></li></ul></nav><div class="main-content" data-main="1">
+<p><a href="/x">Read the first part</a> before this one. It is short.</p><p>More in <a href="/y">the appendix</a>.</p></div></body></html>""",
+    # An encyclopedia page: headings, tables and reference lists full of links belong to the article.
+    """<html><body><div id="mw-head"><ul class="nav"><li><a href="/r">Read</a></li><li><a href="/e">Edit</a></li></ul></div>
+<div id="bodyContent" data-main="1"><h1>Quartz</h1><p><b>Quartz</b> is a <a href="/m">mineral</a> of <a href="/s">silicon</a> and <a href="/o">oxygen</a>.</p>
+<table><tr><th>Hardness</th><td>7</td></tr><tr><th>Group</th><td><a href="/t">tectosilicate</a></td></tr></table>
+<h2>See also</h2><ul><li><a href="/am">Amethyst</a></li><li><a href="/ci">Citrine</a></li></ul></div>
+<div id="footer"><p>This page was last edited in May. Text is available under a free licence; other terms may apply.</p></div></body></html>""",
+    # A comment system of nested divs beside a post: prose as long as the post's, all of it off.
+    """<html><body><div class="header"><a href="/">Blog</a></div><div class="post"><div class="article-header" data-main="1"><h1>On moss</h1></div>
+<div class="article-text" data-main="1"><p>Moss grows where little else will. It needs shade, and water now and then.</p><p>It has no roots.</p></div></div>
+<div id="disqus_thread"><div class="thread"><div><p>I never knew that moss has no roots, thank you for writing this. My wall is full of it.</p>
+<p>Does it harm the stone?</p></div><div><p>No, it does not, as far as I know, and it looks very fine.</p></div></div></div></body></html>""",
+    """<html><body><article data-main="1"><header><h1>Small boats</h1></header><div class="entry-content"><p>A small boat is slow, but it gets there.</p></div></article>
+<div class="discussion"><ol><li><div class="comment-body"><p>We sailed one of these around the island, in two weeks, with no wind at all.</p></div></li>
+<li><div class="comment-body"><p>Which island was it? I should like to try.</p></div></li></ol></div>
+<div id="respond"><h3>Leave a reply</h3><form><p>Your address will not be shown. Required fields are marked.</p></form></div></body></html>""",
+    # A post whose own head, title and date lie in a part named after a header; the site's header is off.
+    """<html><body><div class="site-header"><h2>The reader</h2><p>Essays, twice a month, since 1998.</p></div><div class="main"><div class="post" data-main="1">
+<div class="post-header"><h1>A defence of footnotes</h1><p>May 3, by R. Hale</p></div><p>They are where the book breathes. They are where it doubts.</p>
+<p>Read them first.</p></div></div><div class="sidebar"><p>The reader is written by three friends, who share a desk and a kettle.</p></div></body></html>""",
+    # Plain divs without telling names, the text straight in divs.
+    """<html><body><div><a href="/">Home</a> <a href="/list">List</a></div><div data-main="1"><h1>Salt</h1><div>Salt was once worth its weight in silver, or so they say.</div>
+<div>It keeps meat, and roads free of ice.</div></div><div>Copyright 2011. <a href="/c">Contact</a></div></body></html>""",
+    # A page of a forum's news section: poll and tags beside the text.
+    """<html><body><div id="nav"><a href="/f">Forum</a></div><main data-main="1"><h1>Rules of the fair</h1><p>Stalls open at eight. Dogs are welcome, on a lead.</p>
+<div class="tags" data-off="1"><a href="/t/fair">fair</a> <a href="/t/dogs">dogs</a></div><p>No fires.</p></main>
+<div class="related-posts"><h3>You may also like</h3><p><a href="/o">Last year's fair, in pictures and words by those who were there</a></p></div>
+<div class="newsletter"><p>One letter a week, no more, with all that is new in the valley.</p></div></body></html>""",
 )

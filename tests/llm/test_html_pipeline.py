@@ -41,6 +41,92 @@ def test_parts_around_the_text_stay_out(spark):
     assert model.main_text(UNSEEN) == "Title\nFirst & one two. three\nSecond part."
 
 
+# Layouts that neither the table nor the labelled pages have, with what is main text in each.
+LAYOUTS = {
+    "links in a paragraph": (
+        '<div id="content"><p>See <a href=a>long link text</a> and <a href=b>another link with words</a>.</p><p>It is short, but it counts.</p></div>',
+        "See long link text and another link with words.\nIt is short, but it counts.",
+    ),
+    "comment system": (
+        '<div class="post"><h1>Tides</h1><p>The tide comes twice a day, and goes as often. Nobody is late for it.</p></div>'
+        '<div id="disqus_thread"><div><p>I lived by the sea for years, and I was late for it every single time, believe me.</p></div></div>',
+        "Tides\nThe tide comes twice a day, and goes as often. Nobody is late for it.",
+    ),
+    "header of the article": (
+        '<div class="site-header"><a href="/">Home</a></div><div id="main"><div class="article-header"><h1>A title</h1></div>'
+        "<div class='article-body'><p>The text goes here, with some words in it. And then it ends.</p></div></div>",
+        "A title\nThe text goes here, with some words in it. And then it ends.",
+    ),
+    "hidden parts": (
+        '<article><p>One is shown, to all of us.</p><p hidden>Two is not.</p><div style="display: none"><p>Three is not, either.</p></div><p>Four is <span hidden>not</span> shown.</p></article>',
+        "One is shown, to all of us.\nFour is shown.",
+    ),
+    "semantic page": (
+        "<header><nav><a href=/>Home</a></nav></header><main><h1>Clay</h1><p>Clay is soft when wet. It is hard when fired.</p></main>"
+        "<aside><p>Our shop sells clay by the ton, and tools.</p></aside><footer><p>All rights reserved. Contact.</p></footer>",
+        "Clay\nClay is soft when wet. It is hard when fired.",
+    ),
+    "blog with replies": (
+        '<div class="entry"><h2>My garden</h2><p>The beans are up, at last. I had given up on them.</p></div>'
+        '<div class="replies"><div class="reply"><p>Mine are up too, they were late this year, were they not?</p></div></div>',
+        "My garden\nThe beans are up, at last. I had given up on them.",
+    ),
+    "cookie notice": (
+        '<div id="cookie-consent"><p>We store cookies, to make this site better. You may refuse them.</p><button>Accept</button></div>'
+        "<article><h1>Ink</h1><p>Ink is made of soot and gum. It keeps for years, in a cool place.</p></article>",
+        "Ink\nInk is made of soot and gum. It keeps for years, in a cool place.",
+    ),
+    "menu of lists": (
+        "<ul class=menu><li><a href=1>First</a></li><li><a href=2>Second</a></li></ul><div class=content><p>There was a list above, and it is gone. This stays.</p></div>",
+        "There was a list above, and it is gone. This stays.",
+    ),
+    "recipe with lists": (
+        "<main><h1>Soup</h1><ul><li>One onion</li><li>Two leeks</li></ul><ol><li>Chop all of it.</li><li>Boil it for an hour.</li></ol></main><footer>Imprint</footer>",
+        "Soup\nOne onion\nTwo leeks\nChop all of it.\nBoil it for an hour.",
+    ),
+    "advert within": (
+        "<article><p>The first paragraph is long enough to be read. It has two sentences.</p><div class='ad-slot advert'><p>Buy now, and save a lot of money today.</p></div><p>The second follows it.</p></article>",
+        "The first paragraph is long enough to be read. It has two sentences.\nThe second follows it.",
+    ),
+    "sidebar of sections": (
+        "<div class=wrap><section class=story><h1>Owls</h1><p>Owls hear a mouse under snow. They turn their heads far around.</p></section>"
+        "<section class='sidebar-right'><h3>About</h3><p>I write about birds, for my own pleasure and yours.</p></section></div>",
+        "Owls\nOwls hear a mouse under snow. They turn their heads far around.",
+    ),
+    "form at the end": (
+        "<main><p>Write to us, if you know more. We read all of it, sooner or later.</p><form action=/s><p>Your name and your message, please.</p><input><button>Send</button></form></main>",
+        "Write to us, if you know more. We read all of it, sooner or later.",
+    ),
+    "breadcrumbs and pages": (
+        "<div class=breadcrumb><a href=/>Home</a> / <a href=/g>Guides</a></div><div class='post-body'><p>Sharpen the blade first. Then oil it, but not too much.</p></div><div class=pagination><a href=2>2</a> <a href=3>Next</a></div>",
+        "Sharpen the blade first. Then oil it, but not too much.",
+    ),
+    "table in the text": (
+        "<article><h1>Trains</h1><p>There are two trains a day, one each way.</p><table><tr><th>North</th><td>9:10</td></tr><tr><th>South</th><td>17:40</td></tr></table></article><nav><a href=/t>Tickets</a></nav>",
+        "Trains\nThere are two trains a day, one each way.\nNorth\n9:10\nSouth\n17:40",
+    ),
+    "related stories": (
+        "<article><h1>Fog</h1><p>The fog stayed for nine days. On the tenth it rained.</p></article><div class='related'><h3>Related</h3><p><a href=/r>Rain, and what to do about it when it does not stop</a></p></div>",
+        "Fog\nThe fog stayed for nine days. On the tenth it rained.",
+    ),
+    "newsletter": (
+        "<div class='story-text'><p>He sold the mill in spring. By autumn it had burned down.</p></div><div class='newsletter-signup'><p>Get the best stories by mail, each week, for free.</p><form><input></form></div>",
+        "He sold the mill in spring. By autumn it had burned down.",
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def page_model(spark):
+    return html_text.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_unseen_layouts(page_model, name):
+    body, text = LAYOUTS[name]
+    assert page_model.main_text(f"<html><head><title>t</title></head><body>{body}</body></html>") == text
+
+
 def test_marginals_are_brute_force():
     """Sum-product against the sum over all labellings of a small tree."""
     import itertools
