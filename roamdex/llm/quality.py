@@ -29,6 +29,7 @@ from roamdex.llm.common import bounded_batches
 SAMPLE_ROWS = 20_000
 BUCKETS = 4096
 KEEP_FROM = 0.5
+SHAPE_SIGNS = 12
 #: Words' worth of nothing added to each document, so that a few words say little.
 DAMPING = 10.0
 
@@ -74,20 +75,22 @@ LABELLERS = {
 }
 
 
-def _shape(word: str, _found={}) -> int:  # noqa: B006
-    """Bucket of a word's shape: runs of lower, upper, digits as one sign each, marks as they are.
+def _shapes(word: str, _found={}) -> tuple[int, ...]:  # noqa: B006
+    """Buckets of a word's shape: runs of lower, upper, digits as one sign each, marks as they are.
 
-    A worker remembers shapes, and starts anew when it knows very many.
+    The whole word is read: every ``SHAPE_SIGNS`` signs of its shape are a bucket. A worker remembers the shapes of short
+    words, and starts anew when it knows very many.
     """
-    bucket = _found.get(word)
-    if bucket is None:
-        shape = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "a" if c.isalpha() else c for c in word[:64])
+    buckets = _found.get(word)
+    if buckets is None:
+        shape = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "a" if c.isalpha() else c for c in word)
         shape = re.sub(r"(.)\1+", r"\1", shape)
-        bucket = bucket_of("shape " + shape[:12])
+        buckets = tuple(bucket_of("shape " + shape[k : k + SHAPE_SIGNS]) for k in range(0, len(shape), SHAPE_SIGNS))
         if len(_found) > 300_000:
             _found.clear()
-        _found[word] = bucket
-    return bucket
+        if len(word) <= 64:
+            _found[word] = buckets
+    return buckets
 
 
 def bucket_of(feature: str) -> int:
@@ -132,8 +135,8 @@ def features(stats: Stats, counts: Counter) -> dict[int, float]:
     """Hashed feature vector: shares of word shapes, of repeats and of distinct words."""
     found: dict[int, float] = {}
     for word, k in counts.items():
-        b = _shape(word)
-        found[b] = found.get(b, 0.0) + k
+        for b in _shapes(word):
+            found[b] = found.get(b, 0.0) + k
     for name, share in (("stutter", stats.stutter), ("distinct", stats.distinct), ("top", stats.top)):
         b = bucket_of("measure " + name)
         found[b] = found.get(b, 0.0) + share * stats.words

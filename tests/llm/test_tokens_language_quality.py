@@ -112,3 +112,13 @@ def test_quality_of_odd_texts(documents):
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} >= {0, 1, 2, 3, 5}
     assert quality.classify(documents([])).collect() == []
+
+
+def test_the_whole_word_is_read():
+    """Texts without spaces that differ behind their 64th character only have different features; short words are as they were."""
+    head = "Ab9-" * 40
+    found = [quality.features(*quality.read_text(head + tail)) for tail in ("", "{x}[y]" * 30, "Ab9-" * 40)]
+    assert found[0] != found[1]
+    # As many buckets' worth as the shape has pieces: nothing behind the first is passed over.
+    assert sum(found[2].values()) > 1.9 * sum(found[0].values()) - 1
+    assert len(quality._shapes("Word's")) == 1 and quality._shapes("a" * 10**6) == quality._shapes("b")
