@@ -39,8 +39,10 @@ MIN_WORDS = 10
 LONG_UNIT = 25
 FILTER_BYTES = 32 * 1024 * 1024
 
-_UNIT_END = re.compile(rb"\n|(?<=[.!?])[ \t\x0b\x0c\r]+")
-_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+# A-Z to lower case and all white space but line ends to blanks, byte by byte, so that places stay.
+_NORMAL = bytes.maketrans(bytes(range(65, 91)) + b"\t\x0b\x0c\r", bytes(range(97, 123)) + b"    ")
+_UNIT_END = re.compile(rb"[.!?\n](?:(?<=\n)| +)")
+_WORD = re.compile(rb"[^ \n]+")
 
 
 @lru_cache(maxsize=1 << 17)
@@ -49,31 +51,45 @@ def _parts_units(word: bytes) -> bool:
     return md5(word).digest()[0] & 0x70 == 0
 
 
+def unit_ends(normal: bytes) -> list[int]:
+    """Where the units of a text end, read off its ``_NORMAL`` form."""
+    ends, at = [], 0
+    for end in [*(m.end() for m in _UNIT_END.finditer(normal)), len(normal)]:
+        if normal.count(b" ", at, end) >= LONG_UNIT and len(normal[at:end].split()) > LONG_UNIT:
+            words = list(_WORD.finditer(normal, at, end))
+            ends += [b.start() for a, b in zip(words, words[1:]) if _parts_units(a[0])]
+        if end > at:
+            ends.append(end)
+        at = end
+    return ends
+
+
 def units(text: bytes) -> list[bytes]:
     """A UTF-8 text cut into its units; put together they are the text."""
-    ends = [m.end() for m in _UNIT_END.finditer(text)]
-    out = []
-    for part in (text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])):
-        if len(part) > 2 * LONG_UNIT and len(part.split()) > LONG_UNIT:
-            words = list(_WORD.finditer(part))
-            cuts = [b.start() for a, b in zip(words, words[1:]) if _parts_units(a[0].lower())]
-            out += [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])]
-        elif part:
-            out.append(part)
+    ends = unit_ends(text.translate(_NORMAL))
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def unit_digests(text: bytes) -> list[bytes | None]:
+    """Digest of each unit's words with single blanks between; none for a unit without words."""
+    from xxhash import xxh3_128_digest
+
+    normal = text.translate(_NORMAL)
+    ends = unit_ends(normal)
+    out: list[bytes | None] = []
+    for a, b in zip([0, *ends], ends):
+        unit = normal[a:b].strip()
+        if b"  " in unit:
+            unit = b" ".join(unit.split())
+        out.append(xxh3_128_digest(unit) if unit else None)
     return out
 
 
-def unit_digest(unit: bytes) -> bytes | None:
-    """Digest of a normalised unit; none for one without words."""
-    words = unit.lower().split()
-    return md5(b" ".join(words)).digest() if words else None
-
-
-def _digests(batch: pa.RecordBatch) -> Iterator[tuple]:
+def _digests(batch: pa.RecordBatch, copies: bool = True) -> Iterator[tuple]:
     """Id, digest of the whole text, and the units' digests, of every row with a text."""
     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
         if text:
-            yield doc_id, md5(text).digest()[:8], [unit_digest(u) for u in units(text)]
+            yield doc_id, md5(text).digest()[:8] if copies else None, unit_digests(text)
 
 
 def _keys(digests: list[bytes]) -> np.ndarray:
@@ -85,7 +101,7 @@ def repeated_filter(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> bloom.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, n = np.unique(_keys([d for *_, ds in _digests(batch) for d in ds if d]), return_counts=True)
+            keys, n = np.unique(_keys([d for *_, ds in _digests(batch, False) for d in ds if d]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
 
     counts = docs.select("doc_id", "text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
@@ -134,8 +150,13 @@ def repeated_units(places: DataFrame) -> DataFrame:
 
 def cut_units(text: str, repeated: list[int], min_words: int = MIN_WORDS) -> tuple[str, list[dict]]:
     """Text without the repeated units that fill a line or lie in a run of ``min_words`` words; code point spans cut out."""
-    parts, again = units(text.encode()), set(repeated)
-    words = [len(p.split()) for p in parts]
+    raw = text.encode()
+    normal, again = raw.translate(_NORMAL), set(repeated)
+    ends = unit_ends(normal)
+    parts = [normal[a:b] for a, b in zip([0, *ends], ends)]
+    # Words are counted where they matter; elsewhere only whether there are any.
+    words = [len(p.split()) if k in again else int(not p.isspace()) for k, p in enumerate(parts)]
+    places = ends if text.isascii() else np.cumsum([len(raw[a:b].decode()) for a, b in zip([0, *ends], ends)]).tolist()
     gone: set[int] = set()
 
     def take(run: list[int], least: int) -> None:
@@ -157,15 +178,13 @@ def cut_units(text: str, repeated: list[int], min_words: int = MIN_WORDS) -> tup
                 take(line, 1)
             line = []
     take(run, min_words)
-    spans, at = [], 0
-    for k, part in enumerate(parts):
-        size = len(part.decode())
-        if k in gone:
-            if spans and spans[-1]["end"] == at:
-                spans[-1]["end"] = at + size
-            else:
-                spans.append({"start": at, "end": at + size})
-        at += size
+    spans: list[dict] = []
+    for k in sorted(gone):
+        start = places[k - 1] if k else 0
+        if spans and spans[-1]["end"] == start:
+            spans[-1]["end"] = places[k]
+        else:
+            spans.append({"start": start, "end": places[k]})
     # What stays before a cut within a line keeps its line end.
     for span in spans:
         if span["start"] and text[span["start"] - 1] != "\n" and text[span["end"] - 1] == "\n":
