@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import md5
 
 import numpy as np
@@ -42,13 +41,22 @@ FILTER_BYTES = 32 * 1024 * 1024
 # A-Z to lower case and all white space but line ends to blanks, byte by byte, so that places stay.
 _NORMAL = bytes.maketrans(bytes(range(65, 91)) + b"\t\x0b\x0c\r", bytes(range(97, 123)) + b"    ")
 _UNIT_END = re.compile(rb"[.!?\n](?:(?<=\n)| +)")
-_WORD = re.compile(rb"[^ \n]+")
+_TOKEN = re.compile(rb"[ \n]*[^ \n]+[ \n]*")
 
 
-@lru_cache(maxsize=1 << 17)
-def _parts_units(word: bytes) -> bool:
-    """Whether a long unit is cut after this word: the first digit of its digest is 0 or 8."""
-    return md5(word).digest()[0] & 0x70 == 0
+class _Cuts(dict):
+    """Whether a long unit is cut after a word: the first digit of its digest is 0 or 8. Kept for many words, not for all."""
+
+    def __missing__(self, token: bytes) -> bool:
+        if len(self) > 400_000:
+            self.clear()
+        cut = md5(token.strip()).digest()[0] & 0x70 == 0
+        if len(token) <= 64:
+            self[token] = cut
+        return cut
+
+
+_cuts = _Cuts()
 
 
 def unit_ends(normal: bytes) -> list[int]:
@@ -56,9 +64,12 @@ def unit_ends(normal: bytes) -> list[int]:
     ends, at = [], 0
     for end in [*(m.end() for m in _UNIT_END.finditer(normal)), len(normal)]:
         if normal.count(b" ", at, end) >= LONG_UNIT and len(normal[at:end].split()) > LONG_UNIT:
-            words = list(_WORD.finditer(normal, at, end))
-            ends += [b.start() for a, b in zip(words, words[1:]) if _parts_units(a[0])]
-        if end > at:
+            for token in _TOKEN.findall(normal, at, end):
+                at += len(token)
+                if at < end and _cuts[token]:
+                    ends.append(at)
+            ends.append(end)
+        elif end > at:
             ends.append(end)
         at = end
     return ends
