@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roamdex.functions import text
+from roamdex.session import cut_lineage
+from roamdex.sources.readers import path_exists
 
 SCALAR, ARRAY, MAP = "scalar", "array", "map"
 
@@ -18,7 +22,8 @@ class FieldSpec:
     """How a document column is indexed.
 
     ``standard`` text is cut into tokens, ``keyword`` values are terms as they stand. A map column gives one
-    field per key. Phrase clauses need ``positions``.
+    field per key. Phrase clauses need ``positions``, or ``neighbours``: pairs of neighbouring terms, which take far
+    less room in a field of long texts.
     """
 
     name: str
@@ -26,6 +31,7 @@ class FieldSpec:
     shape: str = SCALAR
     positions: bool = False
     column: str | None = None
+    neighbours: bool = False
 
     @property
     def source(self) -> Column:
@@ -131,6 +137,35 @@ def build_postings(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def neighbour_postings(documents: DataFrame, specs: Sequence[FieldSpec], doc_id: str = "doc_id", keep: Test | None = None) -> DataFrame:
+    """``field, term, following, doc_id, tf, doc_len``: the pairs of neighbouring terms of the fields with ``neighbours``.
+
+    They are worked out as postings are, inside each row. ``keep`` tests (term, following).
+    """
+    wanted = [s for s in specs if s.neighbours]
+    rows = field_terms(documents, wanted, doc_id).filter(F.size("terms") > 1)
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.size("terms") - 1),
+        lambda i: F.struct(F.get("terms", i - 1).alias("term"), F.get("terms", i).alias("following")),
+    )
+    if keep:
+        pairs = F.filter(pairs, lambda p: keep(p["term"], p["following"]))
+    cut = rows.select("doc_id", "field", F.size("terms").alias("doc_len"), F.sort_array(pairs).alias("_sorted"))
+    n = F.size("_sorted")
+    ends = F.filter(
+        F.when(n > 0, F.sequence(F.lit(1), n)), lambda i: ~F.get("_sorted", i).eqNullSafe(F.get("_sorted", i - 1))
+    )
+    cut = cut.withColumn("_ends", ends)
+    runs = F.transform(
+        "_ends",
+        lambda end, k: F.struct(
+            F.get("_sorted", end - 1).alias("pair"), (end - F.when(k > 0, F.get("_ends", k - 1)).otherwise(0)).alias("tf")
+        ),
+    )
+    found = cut.select("field", "doc_id", "doc_len", F.explode(runs).alias("_r"))
+    return found.select("field", "_r.pair.term", "_r.pair.following", "doc_id", "_r.tf", "doc_len")
+
+
 def term_stats(postings: DataFrame) -> DataFrame:
     """``field, term, df, cf``: documents with the term and its total count."""
     return postings.groupBy("field", "term").agg(
@@ -149,14 +184,38 @@ def field_stats(
     )
 
 
+# Marks of a term's beginning and end in its grams; no token holds them.
+BEGIN, END = "\x02", "\x03"
+
+
+def grams_of(term: Column) -> Column:
+    """Different pairs of neighbouring characters of a term, its ends marked."""
+    whole = F.concat(F.lit(BEGIN), term, F.lit(END))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(term) + 1), lambda i: F.substring(whole, i, F.lit(2))))
+
+
+def term_grams(terms: DataFrame, specs: Sequence[FieldSpec]) -> DataFrame:
+    """``field, gram, term`` of the term dictionary, for the fields cut into tokens."""
+    exact = [s.name for s in specs if s.analyzer != "standard" and s.shape != MAP]
+    texts = terms.filter(~F.col("field").isin(exact)) if exact else terms
+    return texts.select("field", F.explode(grams_of(F.col("term"))).alias("gram"), "term")
+
+
 @dataclass(frozen=True)
 class Index:
-    """Postings with the statistics a search needs."""
+    """Postings with the statistics a search needs.
+
+    ``terms`` is the dictionary: each term of a field once. ``grams`` tells which of them hold a pair of characters.
+    ``neighbours`` has the pairs of neighbouring terms of the fields that have them (see ``neighbour_postings``).
+    """
 
     postings: DataFrame
     terms: DataFrame
     fields: DataFrame
     specs: tuple[FieldSpec, ...] = DOCUMENT_FIELDS
+    grams: DataFrame | None = None
+    neighbours: DataFrame | None = None
+    stored_documents: DataFrame | None = None
 
     @staticmethod
     def build(
@@ -164,19 +223,25 @@ class Index:
     ) -> LiveIndex:
         postings = build_postings(documents, specs, doc_id)
         fields = field_stats(documents, specs, doc_id)
-        return LiveIndex(postings, term_stats(postings), fields, tuple(specs), documents, doc_id)
+        pairs = neighbour_postings(documents, specs, doc_id) if any(s.neighbours for s in specs) else None
+        return LiveIndex(postings, term_stats(postings), fields, tuple(specs), None, pairs, None, documents, doc_id)
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS) -> Index:
+    def read(
+        cls, spark: SparkSession, path: str, specs: Sequence[FieldSpec] = DOCUMENT_FIELDS, documents: DataFrame | None = None
+    ) -> Index:
+        more = [spark.read.parquet(f"{path}/{t}") if path_exists(spark, f"{path}/{t}") else None for t in ("grams", "neighbours")]
         return cls(
             spark.read.parquet(f"{path}/postings"),
             spark.read.parquet(f"{path}/terms"),
             spark.read.parquet(f"{path}/fields"),
             tuple(specs),
+            *more,
+            documents,
         )
 
     def write(self, path: str, partitions: int | None = None, ordered: bool = True) -> None:
-        """Write the three tables, postings in (field, term, doc_id) order.
+        """Write the tables, postings in (field, term, doc_id) order.
 
         The order lets a search skip all row groups but those of its terms. Ranges break inside a frequent
         term as well, as ``doc_id`` is part of the order. An unordered index is for batches that read most of
@@ -193,6 +258,14 @@ class Index:
         if ordered:
             terms = terms.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         terms.write.mode("overwrite").parquet(f"{path}/terms")
+        if ordered:
+            grams = term_grams(spark.read.parquet(f"{path}/terms"), self.specs)
+            order = ["field", "gram", "term"]
+            grams.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/grams")
+        if self.neighbours is not None:
+            order = ["field", "term", "following", "doc_id"]
+            pairs = self.neighbours.repartitionByRange(*order).sortWithinPartitions(*order)
+            pairs.write.mode("overwrite").parquet(f"{path}/neighbours")
         self.fields.write.mode("overwrite").parquet(f"{path}/fields")
 
     def stored(self, path: str, ordered: bool = True) -> Index:
@@ -207,6 +280,24 @@ class Index:
     def has_positions(self, field: str) -> bool:
         return any(s.positions for s in self.specs if s.name == field)
 
+    def has_neighbours(self, field: str) -> bool:
+        return any(s.neighbours for s in self.specs if s.name == field)
+
+    def dictionary(self, field: str) -> DataFrame | None:
+        """``term`` of a field, each once, where the index has them at hand."""
+        return self.terms.filter(F.col("field") == field).select("term")
+
+    def with_grams(self, field: str, grams: Sequence[str], least: int) -> DataFrame | None:
+        """``term`` of a field with ``least`` or more of the grams; none where the index has no grams of the field."""
+        if self.grams is None or self.analyzer(field) != "standard":
+            return None
+        held = self.grams.filter((F.col("field") == field) & F.col("gram").isin(list(grams)))
+        return held.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("term")
+
+    def loosely_matching(self, test: Test, fields: Sequence[str]) -> DataFrame:
+        """Postings that pass a test on terms that is no list of terms; only which documents they are of counts."""
+        return self.matching(test, fields)
+
     def matching(self, test: Test, fields: Sequence[str], terms: Sequence[str] | None = None) -> DataFrame:
         """Postings that pass the test. ``fields`` and ``terms`` name all it can match and are there for the
         parquet reader, which skips row groups by them."""
@@ -229,6 +320,25 @@ class Index:
         loose = self.matching(lambda f, t: test(f, t) & ~exact[0](f, t), fields)
         return found.unionByName(loose.join(documents, "doc_id", "left_semi").select(*found.columns))
 
+    def texts(self) -> DataFrame:
+        """The documents that were indexed; phrases of three terms and more are checked on them."""
+        if self.stored_documents is None:
+            raise ValueError("a phrase of three terms over neighbours needs the documents: set stored_documents")
+        return self.stored_documents
+
+    def text_id(self) -> str:
+        return "doc_id"
+
+    def neighbouring(self, field: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+        """``term, following, doc_id, tf, doc_len`` of the given pairs; the reader skips row groups by their first terms."""
+        rows = self.neighbours.filter((F.col("field") == field) & F.col("term").isin([a for a, _ in pairs]))
+        return rows.filter(_among(pairs)(F.col("term"), F.col("following"))).drop("field")
+
+    def asked(self, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Postings (``field, term, doc_id, tf, doc_len``) of a table of (field, term), and the statistics of the fields."""
+        postings = self.postings.select("field", "term", "doc_id", "tf", "doc_len")
+        return cut_lineage(postings.join(terms, ["field", "term"], "left_semi")), self.fields
+
     def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
         """``field, term, df, n_docs, total_len`` of the given terms, at most one row per field and term."""
         wanted = F.col("field").isin(list(fields))
@@ -236,6 +346,11 @@ class Index:
         return df.join(self.fields.filter(wanted), "field")
 
 
+def _among(pairs: Sequence[tuple[str, str]]) -> Test:
+    """Whether (term, following) is one of the pairs."""
+    return lambda term, following: reduce(or_, [(term == a) & (following == b) for a, b in pairs])
+
+
 @dataclass(frozen=True)
 class LiveIndex(Index):
     """Index over documents that were not indexed before.
@@ -254,6 +369,34 @@ class LiveIndex(Index):
     def matching(self, test: Test, fields: Sequence[str], terms: Sequence[str] | None = None) -> DataFrame:
         return build_postings(self.documents, self._specs_of(fields), self.doc_id, keep=lambda f, t: f.isin(list(fields)) & test(f, t))
 
+    def dictionary(self, field: str) -> DataFrame | None:
+        return None
+
+    def asked(self, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """One pass: each document gives its tokens, of which the asked ones stay, and a row without a term, for the totals."""
+        rows = field_terms(self.documents, self.specs, self.doc_id)
+        every = F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term")
+        tokens = rows.select("field", every, "doc_id", F.size("terms").alias("doc_len"))
+        marked = tokens.join(terms.withColumn("_asked", F.lit(True)), ["field", "term"], "left")
+        kept = marked.where(F.col("_asked") | F.col("term").isNull())
+        counts = cut_lineage(kept.groupBy("field", "term", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")))
+        totals = counts.where(F.col("term").isNull()).groupBy("field")
+        fields = totals.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("doc_len").alias("total_len"))
+        return counts.where(F.col("term").isNotNull()).select("field", "term", "doc_id", "tf", "doc_len"), fields
+
+    def texts(self) -> DataFrame:
+        return self.documents
+
+    def text_id(self) -> str:
+        return self.doc_id
+
+    def loosely_matching(self, test: Test, fields: Sequence[str]) -> DataFrame:
+        """Each term of a document is tested once, as a row of its own: that is compiled code, which a test inside an array is not."""
+        rows = field_terms(self.documents, self._specs_of(fields), self.doc_id).filter(F.col("field").isin(list(fields)))
+        terms = rows.select("field", F.explode(F.array_distinct("terms")).alias("term"), "doc_id", F.size("terms").alias("doc_len"))
+        none = F.lit(None).cast("array<int>").alias("positions")
+        return terms.filter(test(F.col("field"), F.col("term"))).select("field", "term", "doc_id", F.lit(1).alias("tf"), "doc_len", none)
+
     def matching_where(
         self, test: Test, fields: Sequence[str], exact: tuple[Test, Sequence[str], Sequence[str]], needed: tuple[str, Sequence[str]]
     ) -> DataFrame:
@@ -263,9 +406,13 @@ class LiveIndex(Index):
             F.concat(*[s.entries() for s in self._specs_of([field])]),
             lambda e: (e["field"] == field) & F.arrays_overlap(e["terms"], F.array(*[F.lit(t) for t in terms])),
         )
-        some = LiveIndex(self.postings, self.terms, self.fields, self.specs, self.documents.where(has), self.doc_id)
+        some = replace(self, documents=self.documents.where(has))
         return some.matching(test, fields)
 
+    def neighbouring(self, field: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+        specs = [s for s in self.specs if s.name == field]
+        return neighbour_postings(self.documents, specs, self.doc_id, keep=_among(pairs)).drop("field")
+
     def statistics(self, fields: Sequence[str], terms: Sequence[str]) -> DataFrame:
         """One pass: each document gives a row per field without a term, for the totals, and one per term."""
         rows = field_terms(self.documents, self._specs_of(fields), self.doc_id)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from roamdex import fixed
 from roamdex.functions import text
-from roamdex.operators.postings import Index, Test
+from roamdex.operators.postings import BEGIN, END, Index, Test, field_terms
+from roamdex.session import cut_lineage
 
 MUST, SHOULD, MUST_NOT = "must", "should", "must_not"
 TERM, PHRASE, PREFIX, WILDCARD, FUZZY, RANGE = "term", "phrase", "prefix", "wildcard", "fuzzy", "range"
@@ -185,13 +186,81 @@ def _check(clauses: Sequence[Clause | Group]) -> None:
             _check(c.clauses)
 
 
+#: Terms that a clause may stand for as a list in the plan; more are joined as a table.
+MOST_LISTED = 1_000
+
+
+def _literal_grams(pattern: str) -> list[str]:
+    """Pairs of neighbouring characters that every term of a ``*`` and ``?`` pattern has, its ends marked."""
+    runs = re.split(r"[*?]", BEGIN + pattern + END)
+    return sorted({run[i : i + 2] for run in runs for i in range(len(run) - 1)})
+
+
+def expansion(index: Index, clause: Clause, test: Test, standard: bool) -> DataFrame | None:
+    """``term``: what a wildcard, fuzzy, prefix or range clause stands for in the index's dictionary.
+
+    Wildcards and fuzzy words find the terms that share enough pairs of characters by the gram table, and test only those.
+    An edit takes at most two of a word's pairs, a swap of neighbours three. Where that leaves none to ask for, the
+    dictionary is tested, cut to the lengths or the beginning that the clause allows.
+    """
+    terms = index.dictionary(clause.field)
+    if terms is None:
+        return None
+    if not standard and clause.kind in (PREFIX, RANGE):
+        return None  # values of their own, as many as documents: a range of the postings' order
+    word = (clause.text or "").lower() if standard else clause.text or ""
+    some = None
+    if clause.kind == WILDCARD:
+        grams = _literal_grams(word)
+        some = index.with_grams(clause.field, grams, len(grams)) if grams else None
+        if some is None:
+            some = terms.filter(F.startswith("term", F.lit(re.split(r"[*?]", word)[0])))
+    elif clause.kind == FUZZY:
+        grams = _literal_grams(re.sub(r"[*?]", "\x01", word))
+        least = len(grams) - (3 if clause.transpositions else 2) * clause.edits
+        if least > 0 and not re.search(r"[*?]", word):
+            some = index.with_grams(clause.field, grams, least)
+        if some is None:
+            some = terms
+        some = some.filter(F.length("term").between(len(word) - clause.edits, len(word) + clause.edits))
+    else:
+        some = terms
+    return some.filter(test(F.lit(clause.field), F.col("term"))).select("term").distinct()
+
+
+def _expanded(index: Index, kept: list[tuple[Clause, list[str]]], tests: list[Test]) -> tuple[dict[int, list[str]], dict[int, DataFrame]]:
+    """Terms of the clauses that the dictionary can list, and tables of those that have too many."""
+    tables = {}
+    for i, (c, _) in enumerate(kept):
+        if c.kind not in (TERM, PHRASE):
+            found = expansion(index, c, tests[i], index.analyzer(c.field) == "standard")
+            if found is not None:
+                tables[i] = found.select(F.lit(i).alias("i"), F.lit(c.field).alias("field"), "term")
+    if not tables:
+        return {}, {}
+    every = cut_lineage(reduce(DataFrame.unionByName, tables.values()))
+    sizes = {r["i"]: r["count"] for r in every.groupBy("i").count().collect()}
+    listed = [i for i in tables if sizes.get(i, 0) <= MOST_LISTED]
+    lists = {i: [] for i in listed}
+    for r in every.where(F.col("i").isin(listed)).collect():
+        lists[r["i"]].append(r["term"])
+    # Beginnings and ranges of terms are ranges of the postings' order, which the reader finds by itself.
+    joined = {i: every.where(F.col("i") == i).select("field", "term") for i in tables if i not in lists and kept[i][0].kind in (WILDCARD, FUZZY)}
+    return lists, joined
+
+
+def _listed(field_: str, terms: list[str]) -> Test:
+    return lambda field, term: (field == field_) & (term.isin(terms) if terms else F.lit(False))
+
+
 def search(index: Index, clauses: Sequence[Clause | Group]) -> DataFrame:
     """``doc_id, score`` of every matching document.
 
     One pass over the postings the clauses can match (field and term tests reach the parquet reader of a
-    stored index), one shuffle by document. Where an exact clause is required, prefixes and the like are tested on
-    the documents that have it only. Term statistics join in for the query's own terms only, at most
-    one row per term asked for, which bounds their broadcast.
+    stored index), one shuffle by document. Wildcard, fuzzy, prefix and range clauses are turned into the terms they
+    stand for by the index's dictionary first, and reach the postings as those. Where an exact clause is required,
+    prefixes and the like are tested on the documents that have it only. Term statistics join in for the query's own
+    terms only, at most one row per term asked for, which bounds their broadcast.
     """
     leaves = _leaves(clauses)
     analysed = {id(c): ts or ([""] if c.kind not in (TERM, PHRASE) else []) for c, ts in zip(leaves, _analysed(index, leaves))}
@@ -199,8 +268,8 @@ def search(index: Index, clauses: Sequence[Clause | Group]) -> DataFrame:
     _check(query)
     kept = [(c, analysed[id(c)]) for c in _leaves(query)]
     for c, ts in kept:
-        if c.kind == PHRASE and len(ts) > 1 and not index.has_positions(c.field):
-            raise ValueError(f"field {c.field} is indexed without positions")
+        if c.kind == PHRASE and len(ts) > 1 and not (index.has_positions(c.field) or index.has_neighbours(c.field)):
+            raise ValueError(f"field {c.field} is indexed without positions or neighbours")
     tests = [_test(c, ts, index.analyzer(c.field) == "standard") for c, ts in kept]
 
     def any_of(some: Sequence[Test]) -> Test:
@@ -216,17 +285,43 @@ def search(index: Index, clauses: Sequence[Clause | Group]) -> DataFrame:
     elif needed:
         rows = index.matching_where(any_of(tests), fields, (any_of(exact_tests), scored_fields, terms), needed[0])
     else:
-        rows = index.matching(any_of(tests), fields)
+        lists, joined = _expanded(index, kept, tests)
+        for i, found in lists.items():
+            tests[i] = _listed(kept[i][0].field, found)
+        by_list = [tests[i] for i, (c, _) in enumerate(kept) if i in lists or c.kind in (TERM, PHRASE)]
+        some = sorted({*terms, *(t for found in lists.values() for t in found)})
+        parts = [index.matching(any_of(by_list), fields, some)] if some else []
+        by_test = [i for i, (c, _) in enumerate(kept) if c.kind not in (TERM, PHRASE) and i not in lists and i not in joined]
+        listed_test = any_of(by_list) if some else (lambda f, t: F.lit(False))
+        if by_test:
+            loose = any_of([tests[i] for i in by_test])
+            parts.append(index.loosely_matching(lambda f, t: loose(f, t) & ~listed_test(f, t), fields))
+        if joined:
+            wanted = reduce(DataFrame.unionByName, joined.values()).distinct()
+            already = any_of([listed_test, *[tests[i] for i in by_test]])
+            wanted = wanted.where(~already(F.col("field"), F.col("term")))
+            own = index.postings.filter(F.col("field").isin(sorted({kept[i][0].field for i in joined})))
+            parts.append(own.join(wanted, ["field", "term"], "left_semi").select(*own.columns))
+        if not parts:
+            parts = [index.matching(lambda f, t: F.lit(False), fields, [])]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = rows.select("field", "term", "doc_id", "tf", "doc_len", "positions")
+    statistics = index.statistics(scored_fields, terms) if exact else None
     if exact:
-        rows = _weighted(rows, index.statistics(scored_fields, terms))
+        rows = _weighted(rows, statistics)
     else:
-        rows = rows.withColumn("_weight", F.lit(None).cast("double"))
+        rows = rows.withColumn("_weight", F.lit(None).cast("double")).withColumns({"_idf": F.lit(None).cast("double"), "_avg": F.lit(None).cast("double")})
+    by_pairs = {i: ts for i, (c, ts) in enumerate(kept) if c.kind == PHRASE and len(ts) > 1 and not index.has_positions(c.field)}
+    for i, ts in by_pairs.items():
+        rows = rows.unionByName(_phrase_rows(index, i, kept[i][0].field, ts, statistics), allowMissingColumns=True)
     field, term = F.col("field"), F.col("term")
 
     aggs = []
     for i, (c, ts) in enumerate(kept):
         here = tests[i](field, term)
-        if c.kind == PHRASE and len(ts) > 1:
+        if i in by_pairs:
+            aggs.append(F.max(f"_phrase{i}").alias(f"s{i}"))
+        elif c.kind == PHRASE and len(ts) > 1:
             for j, t in enumerate(ts):
                 slot = here & (term == t)
                 aggs += [
@@ -241,7 +336,40 @@ def search(index: Index, clauses: Sequence[Clause | Group]) -> DataFrame:
             aggs.append(F.sum(F.when(here, F.col("_weight"))).alias(f"s{i}"))
         else:
             aggs.append(F.max(F.when(here, F.lit(1.0))).alias(f"s{i}"))
-    return _combined(rows.groupBy("doc_id").agg(*aggs), kept, query)
+    return _combined(rows.groupBy("doc_id").agg(*aggs), kept, query, set(by_pairs))
+
+
+def _phrase_rows(index: Index, i: int, field: str, terms: list[str], statistics: DataFrame) -> DataFrame:
+    """``doc_id`` and the phrase's score in it, from pairs of neighbours.
+
+    Of two terms the pair's count is the phrase's. Of more, documents with all the pairs may have the phrase; their own
+    texts tell, which are read for those documents only.
+    """
+    pairs = list(zip(terms, terms[1:]))
+    found = index.neighbouring(field, sorted(set(pairs)))
+    if len(pairs) > 1:
+        spec = next(s for s in index.specs if s.name == field)
+        whole = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(set(pairs))).select("doc_id")
+        tokens = field_terms(index.texts(), [spec], index.text_id()).join(whole, "doc_id", "left_semi")
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size("terms") - len(terms)),
+            lambda at: F.slice("terms", at + 1, len(terms)) == F.array(*[F.lit(t) for t in terms]),
+        )
+        fits = F.when(F.size("terms") >= len(terms), F.size(starts)).otherwise(0)
+        found = tokens.select("doc_id", fits.alias("tf"), F.size("terms").alias("doc_len")).where("tf > 0")
+    else:
+        found = found.select("doc_id", "tf", "doc_len")
+    # One row of the field's and terms' figures.
+    distinct = statistics.where((F.col("field") == field) & F.col("term").isin(terms))
+    times = F.create_map(*[x for t in sorted(set(terms)) for x in (F.lit(t), F.lit(float(terms.count(t))))])
+    weight = distinct.agg(
+        F.struct(
+            F.sum(idf(F.col("n_docs"), F.col("df")) * F.element_at(times, F.col("term"))).alias("w"),
+            F.max(F.col("total_len") / F.col("n_docs")).alias("a"),
+        )
+    )
+    scored = found.withColumn("_k", weight.scalar())
+    return scored.select("doc_id", (F.col("_k.w") * tf_norm(F.col("tf"), F.col("doc_len"), F.col("_k.a"))).alias(f"_phrase{i}"))
 
 
 def _weighted(rows: DataFrame, statistics: DataFrame) -> DataFrame:
@@ -260,11 +388,13 @@ def _shifted(positions: Column, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
 
-def _combined(per_doc: DataFrame, kept: list[tuple[Clause, list[str]]], query: Sequence[Clause | Group]) -> DataFrame:
-    """Clause scores to document scores, by occurrence rules."""
+def _combined(
+    per_doc: DataFrame, kept: list[tuple[Clause, list[str]]], query: Sequence[Clause | Group], ready: set[int]
+) -> DataFrame:
+    """Clause scores to document scores, by occurrence rules. Phrases that are ``ready`` have theirs."""
     scored = per_doc
     for i, (c, ts) in enumerate(kept):
-        if c.kind == PHRASE and len(ts) > 1:
+        if c.kind == PHRASE and len(ts) > 1 and i not in ready:
             starts = [_shifted(F.col(f"p{i}_{j}"), j) for j in range(len(ts))]
             scored = scored.withColumn(f"f{i}", F.size(reduce(F.array_intersect, starts)))
             weights = reduce(lambda a, b: a + b, [F.col(f"w{i}_{j}") for j in range(len(ts))])
