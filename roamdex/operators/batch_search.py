@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamdex import fixed
 from roamdex.functions import text
 from roamdex.operators.postings import Index
-from roamdex.operators.search import best_first, idf, tf_norm
+from roamdex.operators.search import PHRASE, TERM, Clause, all_of, best_first, idf, search, tf_norm
 from roamdex.session import cut_lineage
 
+# Documents in a block of the impact table, about.
+BLOCK_DOCS = 64
 # Bounds are compared with this much room for the order in which parts are added up.
 SLACK = 1e-6
 
@@ -58,78 +62,122 @@ def hit_counts(
 def asked_postings(index: Index, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Queries with their terms' weights, and the postings of the asked terms with their part of a score.
 
-    Both are stored: ``query_id, field, term, boost, required, needed, df, most`` (``most`` is the largest part
-    that any document gets from the term) and ``field, term, doc_id, part``. The postings are read, or counted, once.
+    Both are stored: ``query_id, field, term, boost, required, needed, df, most`` (``most`` is the largest part that any
+    document gets from the term) and ``field, term, block, doc_id, part``. The postings are read, or counted, once. Blocks
+    are made of documents by a hash, so that a term that many documents have is spread over many keys.
     """
     asked = queries.groupBy("query_id", "field", "term").agg(
         F.max(F.col("required").cast("int")).alias("required"), F.count(F.lit(1)).alias("boost")
     )
     needed = asked.groupBy("query_id").agg(F.sum("required").alias("needed"))
     asked = cut_lineage(asked.join(needed, "query_id"))
-    postings = index.postings.select("field", "term", "doc_id", "tf", "doc_len")
-    found = cut_lineage(postings.join(asked.select("field", "term"), ["field", "term"], "left_semi"))
+    found, fields = index.asked(asked.select("field", "term").distinct())
     # All postings of an asked term are here, so their number is its document count.
     df = cut_lineage(found.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
-    weighed = found.join(df, ["field", "term"]).join(F.broadcast(index.fields), "field")  # one row per field
+    fields = cut_lineage(fields)
+    blocks = -(-(fields.agg(F.max("n_docs")).first()[0] or 1) // BLOCK_DOCS)
+    weighed = found.join(df, ["field", "term"]).join(F.broadcast(fields), "field")  # one row per field
     part = idf(F.col("n_docs"), F.col("df")) * tf_norm(F.col("tf"), F.col("doc_len"), F.col("total_len") / F.col("n_docs"))
-    parts = cut_lineage(weighed.select("field", "term", "doc_id", "df", part.alias("part")))
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    parts = cut_lineage(weighed.select("field", "term", block.alias("block"), "doc_id", part.alias("part"), "df"))
     bounds = parts.groupBy("field", "term").agg(F.max("part").alias("most"), F.max("df").alias("df"))
     return cut_lineage(asked.join(cut_lineage(bounds), ["field", "term"])), parts.drop("df")
 
 
-def _scores(asked: DataFrame, parts: DataFrame) -> DataFrame:
-    """``query_id, doc_id, score`` of all pairs that share a term of ``asked``."""
-    met = parts.join(asked.select("query_id", "field", "term", "boost"), ["field", "term"])
-    return met.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
+def impact_blocks(parts: DataFrame) -> DataFrame:
+    """``field, term, block, most``: the largest part of a term's postings in each block of documents."""
+    return cut_lineage(parts.groupBy("field", "term", "block").agg(F.max("part").alias("most")))
 
 
-def candidates(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
-    """``query_id, doc_id`` of the documents that can be among a query's best ``n``.
+def floors(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
+    """``query_id, floor``: a score that a query's best ``n`` documents at least reach, where it has as many.
 
-    The query's rarest terms, as many as it takes to have some times ``n`` postings, give scores that the best ``n`` at least
-    reach. Terms whose largest parts together stay under that score cannot lift a document to it by themselves:
-    only documents with one of the other terms are candidates. Required terms do it alone, the rarest of them.
+    The query's rarest terms, as many as it takes to have some times ``n`` postings, choose ``n`` documents; these are scored
+    by all their terms, and the least of their scores is the floor.
     """
     rising = Window.partitionBy("query_id").orderBy("df", "field", "term")
     before = F.coalesce(F.sum("df").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rare = asked.where("needed = 0").withColumn("_before", before).where(F.col("_before") < 4 * n)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
-    ranked = _scores(rare, parts).withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n)
-    floor = cut_lineage(
-        ranked.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == n, F.min("score")).alias("floor"))
+    met = parts.join(rare.select("query_id", "field", "term", "boost"), ["field", "term"])
+    scores = met.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    chosen = scores.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).select("query_id", "doc_id")
+    whole = parts.join(cut_lineage(chosen), "doc_id").join(asked, ["query_id", "field", "term"])
+    scored = whole.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
+    return cut_lineage(scored.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == n, F.min("score")).alias("floor")))
+
+
+def live_blocks(asked: DataFrame, impacts: DataFrame, floor: DataFrame) -> DataFrame:
+    """``query_id, block``: the blocks in which one of a query's best documents can be.
+
+    A document's score is at most the sum of its block's largest parts of the query's terms. Blocks under the floor are
+    passed over, as are those that lack a required term.
+    """
+    wanted = asked.select("query_id", "field", "term", "boost", "required", "needed")
+    bounds = impacts.join(wanted, ["field", "term"]).groupBy("query_id", "block").agg(
+        F.sum(F.col("boost") * F.col("most")).alias("most"), F.sum("required").alias("got"), F.max("needed").alias("needed")
     )
+    bounds = bounds.where(F.col("got") == F.col("needed")).join(floor, "query_id", "left")
+    return cut_lineage(bounds.where(F.col("most") >= F.coalesce("floor", F.lit(0.0)) - SLACK).select("query_id", "block"))
+
+
+def _searched(asked: DataFrame, floor: DataFrame) -> DataFrame:
+    """``query_id, field, term``: terms of which a document must have one to be among a query's best.
+
+    Terms whose largest parts together stay under the floor cannot lift a document to it by themselves. Required terms do
+    it alone, the rarest of them.
+    """
     by_part = Window.partitionBy("query_id").orderBy(F.col("boost") * F.col("most"), "field", "term")
     together = F.sum(F.col("boost") * F.col("most")).over(by_part.rowsBetween(Window.unboundedPreceding, 0))
     optional = asked.where("needed = 0").withColumn("_together", together).join(floor, "query_id", "left")
     lifting = optional.where((F.col("_together") >= F.coalesce("floor", F.lit(0.0)) - SLACK))
+    rising = Window.partitionBy("query_id").orderBy("df", "field", "term")
     required = asked.where("required = 1").withColumn("_turn", F.row_number().over(rising)).where("_turn = 1")
     keys = ["query_id", "field", "term"]
-    searched = lifting.select(*keys).unionByName(required.select(*keys))
-    return parts.join(searched, ["field", "term"]).select("query_id", "doc_id").distinct()
+    return lifting.select(*keys).unionByName(required.select(*keys))
+
+
+def _candidates(asked: DataFrame, parts: DataFrame, floor: DataFrame, live: DataFrame) -> DataFrame:
+    in_live = live.join(_searched(asked, floor), "query_id")
+    return parts.join(in_live, ["field", "term", "block"]).select("query_id", "doc_id").distinct()
 
 
-def search_batch(index: Index, queries: DataFrame, n: int | None = None) -> DataFrame:
+def candidates(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
+    """``query_id, doc_id`` of the documents that can be among a query's best ``n``: in a live block, with a searched term."""
+    floor = floors(asked, parts, n)
+    return _candidates(asked, parts, floor, live_blocks(asked, impact_blocks(parts), floor))
+
+
+def search_batch(index: Index, queries: DataFrame, n: int | None = None, must: Sequence[Clause] = ()) -> DataFrame:
     """``query_id, doc_id, score, rank`` for ``queries(query_id, field, term, required)``.
 
     ``term`` is analysed. All required terms of a query must match, any other term adds to the score; with
-    none required any term will do. With ``n`` the best n hits of each query are kept, and only documents that can
-    be among them are scored. Without, ``rank`` is null: all hits, in no order.
+    none required any term will do. With ``n`` the best n hits of each query are kept, and only postings in blocks that
+    can hold them are joined. Without, ``rank`` is null: all hits, in no order. ``must`` are clauses that hold for all queries
+    (a link prefix, say), of the kinds that score a constant; a document has to match each of them.
     """
+    if any(c.kind in (TERM, PHRASE) for c in must):
+        raise ValueError("clauses for all queries are prefixes, wildcards, fuzzy words or ranges")
     asked, parts = asked_postings(index, queries)
-    keys = ["query_id", "field", "term"]
+    if must:
+        allowed = cut_lineage(search(index, all_of(*must)).select("doc_id"))
+        parts = cut_lineage(parts.join(allowed, "doc_id", "left_semi").select(*parts.columns))
+    wanted = asked.select("query_id", "field", "term", "boost", "required", "needed")
     if n:
-        pairs = cut_lineage(candidates(asked, parts, n))
-        terms = pairs.join(asked.select(*keys, "boost", "required", "needed"), "query_id")
-        matched = terms.join(parts, ["field", "term", "doc_id"])
+        floor = floors(asked, parts, n)
+        live = live_blocks(asked, impact_blocks(parts), floor)
+        pairs = cut_lineage(_candidates(asked, parts, floor, live))
+        matched = parts.join(live.join(wanted, "query_id"), ["field", "term", "block"])
+        matched = matched.join(pairs, ["query_id", "doc_id"], "left_semi")
     else:
-        matched = parts.join(asked.select(*keys, "boost", "required", "needed"), ["field", "term"])
+        matched = parts.join(wanted, ["field", "term"])
     hits = (
         matched.groupBy("query_id", "doc_id")
         .agg(
             F.sum(F.col("boost") * F.col("part")).alias("score"), F.sum("required").alias("got"), F.max("needed").alias("needed")
         )
         .filter(F.col("got") == F.col("needed"))
-        .select("query_id", "doc_id", "score")
+        .select("query_id", "doc_id", (F.col("score") + F.lit(float(sum(c.boost for c in must)))).alias("score"))
     )
     if not n:
         return hits.withColumn("rank", F.lit(None).cast("int"))
