@@ -14,18 +14,6 @@ def phrase_of(title: Column) -> Column:
     return F.array_join(text.tokens(text.drop_query_specials(title)), " ")
 
 
-def token_spans(tokens: Column, lengths: Column) -> Column:
-    """All distinct runs of the given lengths in a token array, joined by single spaces."""
-    runs = F.transform(
-        F.filter(lengths, lambda n: n <= F.size(tokens)),
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - n + 1),
-            lambda start: F.array_join(F.slice(tokens, start, n), " "),
-        ),
-    )
-    return F.array_distinct(F.flatten(runs))
-
-
 def title_phrase_join(
     phrases: DataFrame,
     documents: DataFrame,
@@ -35,23 +23,33 @@ def title_phrase_join(
 ) -> DataFrame:
     """Pairs ``(phrase_title, doc_id)``; phrases without tokens match nothing.
 
-    Each document title is cut into its spans of the lengths phrases have, which turns containment into an
-    equi-join: every candidate is a match, and nothing is compared pairwise. The phrases are stored, so a span shared
-    by a third of all titles is a hot key of the spans alone, which the skew join splits.
+    Phrases and titles meet on one token of the phrase, the one that the fewest titles have, and are then checked for the
+    tokens in a row. A title gives a row per different token, whatever the lengths of the phrases; a frequent token is
+    met only by phrases that have no rarer one. Phrases of one token need no check.
     """
-    # Titles and their phrases are read twice below, so they are stored; they are short and few beside
+    # Titles and their phrases are read several times below, so they are stored; they are short and few beside
     # the rows they come from.
     named = cut_lineage(
         phrases.select(F.col(phrase_title).alias("title"))
         .distinct()
         .select("title", phrase_of(F.col("title")).alias("phrase"))
     ).filter(F.col("phrase") != "")
-    # One array of the distinct phrase lengths (in tokens): a short list, whatever the number of phrases.
-    lengths = named.agg(F.sort_array(F.collect_set(F.size(F.split("phrase", " ")))).alias("lengths")).scalar()
-    tokenised = documents.select(
-        F.col(doc_id).alias("doc_id"), text.tokens(F.col(doc_title)).alias("_tokens"), lengths.alias("_lengths")
-    )
-    spans = tokenised.select(
-        "doc_id", F.explode(token_spans(F.col("_tokens"), F.col("_lengths"))).alias("phrase")
+    titles = documents.select(F.col(doc_id).alias("doc_id"), text.tokens(F.col(doc_title)).alias("tokens"))
+    titles = cut_lineage(titles.filter(F.size("tokens") > 0))
+    held = titles.select("doc_id", F.explode(F.array_distinct("tokens")).alias("token"))
+    wanted = named.select("phrase").distinct().select("phrase", F.explode(F.array_distinct(F.split("phrase", " "))).alias("token"))
+    # Only tokens that phrases have are counted; a phrase with a token that no title has is out.
+    asked = cut_lineage(wanted.select("token").distinct())
+    df = cut_lineage(held.join(asked, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    met = wanted.join(df, "token", "left")
+    rarest = met.groupBy("phrase").agg(
+        F.min(F.struct("df", "token")).alias("r"), F.min(F.col("df").isNotNull()).alias("all_held")
     )
-    return spans.join(named, "phrase").select("title", "doc_id", "phrase")
+    rarest = cut_lineage(rarest.where("all_held").select("phrase", F.col("r.token").alias("token")))
+    candidates = held.join(rarest, "token").select("doc_id", "phrase")
+    several = F.contains("phrase", F.lit(" "))
+    padded = titles.select("doc_id", F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")).alias("words"))
+    checked = candidates.where(several).join(padded, "doc_id")
+    checked = checked.where(F.contains("words", F.concat(F.lit(" "), F.col("phrase"), F.lit(" ")))).select("doc_id", "phrase")
+    pairs = candidates.where(~several).unionByName(checked)
+    return pairs.join(named, "phrase").select("title", "doc_id", "phrase")
