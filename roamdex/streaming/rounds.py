@@ -1,21 +1,40 @@
 """Crawl rounds with durable state.
 
-State is append-only: ``queued/round=k`` holds the URLs queued in round k, ``visited/round=k`` those taken
+State is append-only: ``queued/round=k/queue_rank=r`` holds the URLs queued in round k, ``visited/round=k`` those taken
 in round k. A round writes only what it adds, each table's write cuts the lineage, and a killed job goes on
 after the last whole round, whichever executors were lost.
+
+URLs are taken in the queue's order, so where a queue stands is one row, its cursor (``cursors/round=k``): what waits is
+what lies behind it, and of the rounds queued before the cursors' no file is read. Every URL ever queued is also in one
+table bucketed by URL, which new links are looked up in without a shuffle of that table.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from hashlib import md5
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamdex.operators import frontier as fr
 from roamdex.sources.readers import folder_names, path_exists
 
-_SCHEMAS = {"queued": "url string, queue_rank int, seq bigint", "visited": "url string, turn int"}
+_SCHEMAS = {
+    "queued": "url string, seq bigint, queue_rank int",
+    "visited": "url string, turn int",
+    "cursors": "queue_rank int, at_round int, at_seq bigint, at_url string",
+}
+
+
+def _behind(cursor) -> Column:
+    """Places of a queue after its cursor."""
+    here = (F.col("seq") > cursor["at_seq"]) | ((F.col("seq") == cursor["at_seq"]) & (F.col("url") > cursor["at_url"]))
+    later = (F.col("round") > cursor["at_round"]) | ((F.col("round") == cursor["at_round"]) & here)
+    # The first two tests are on folders alone: the reader passes over those that fail.
+    return (F.col("queue_rank") == cursor["queue_rank"]) & (F.col("round") >= cursor["at_round"]) & later
 
 
 @dataclass(frozen=True)
@@ -37,9 +56,9 @@ class CrawlState:
         rounds = sorted(int(n.removeprefix("round=")) for n in folder_names(self.spark, f"{self.path}/queued"))
         return next((k for k in reversed(rounds) if self._whole("queued", k)), -1)
 
-    def _table(self, table: str, last: int) -> DataFrame:
+    def _table(self, table: str, last: int, first: int = 0) -> DataFrame:
         schema = f"{_SCHEMAS[table]}, round int"
-        folders = [self._folder(table, k) for k in range(last + 1) if self._whole(table, k)]
+        folders = [self._folder(table, k) for k in range(first, last + 1) if self._whole(table, k)]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*folders)
@@ -50,12 +69,55 @@ class CrawlState:
     def visited(self, last: int) -> DataFrame:
         return self._table("visited", last)
 
+    def cursors(self, last: int) -> list:
+        """One row per queue that URLs were taken from: the place of the last one."""
+        return self.spark.read.schema(_SCHEMAS["cursors"]).parquet(self._folder("cursors", last)).collect() if last > 0 else []
+
     def waiting(self, last: int) -> DataFrame:
-        """The frontier: queued and not yet taken."""
-        return self.queued_ever(last).join(self.visited(last).select("url"), "url", "left_anti")
+        """The frontier: queued and not yet taken. Rounds that every queue has left behind are not read."""
+        cursors = self.cursors(last)
+        begun = [c["queue_rank"] for c in cursors]
+        ranks = {int(n.removeprefix("queue_rank=")) for k in range(last + 1) for n in self._ranks(k)}
+        first = min([c["at_round"] for c in cursors], default=0) if ranks <= set(begun) else 0
+        rows = self._table("queued", last, first)
+        return rows.where(reduce(or_, [_behind(c) for c in cursors], ~F.col("queue_rank").isin(begun))) if cursors else rows
+
+    def _ranks(self, k: int) -> list[str]:
+        return [n for n in folder_names(self.spark, self._folder("queued", k)) if n.startswith("queue_rank=")]
+
+    def known_name(self) -> str:
+        """Name of the table of known URLs in the session's catalog. Its files are in the crawl's own folder."""
+        return f"crawl_known_{md5(self.path.encode()).hexdigest()[:16]}"
+
+    def _known(self, last: int) -> DataFrame:
+        """``url`` of all that was ever queued, as a table bucketed by URL.
+
+        Rounds are added to it after they are whole; one that a killed job left out is added first. A round that was added
+        twice does no harm.
+        """
+        name = self.known_name()
+        place = f"{self.path}/known"
+        # Fewer buckets than shuffle partitions would be shuffled all the same.
+        marks = [n for n in folder_names(self.spark, f"{self.path}/known_buckets") if n.startswith("n=")]
+        buckets = int(marks[0].removeprefix("n=")) if marks else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if not marks:
+            self.spark.range(1).write.mode("overwrite").parquet(f"{self.path}/known_buckets/n={buckets}")
+        self.spark.sql(
+            f"create table if not exists {name} (url string) using parquet clustered by (url) into {buckets} buckets location '{place}'"
+        )
+        for k in range(last + 1):
+            if not path_exists(self.spark, f"{self.path}/known_rounds/round={k}/_SUCCESS"):
+                rows = self.spark.read.schema(_SCHEMAS["queued"]).parquet(self._folder("queued", k)).select("url")
+                rows.repartition(buckets, "url").write.mode("append").format("parquet").bucketBy(buckets, "url").option(
+                    "path", place
+                ).saveAsTable(name)
+                self.spark.range(1).write.mode("overwrite").parquet(f"{self.path}/known_rounds/round={k}")
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
 
     def _write(self, df: DataFrame, table: str, k: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(table, k))
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy("queue_rank") if table == "queued" else writer).parquet(self._folder(table, k))
 
     def start(self, seeds: DataFrame, priority_host: str) -> None:
         """Queue the ``(url, seq)`` seeds as round 0, unless that was done before."""
@@ -76,15 +138,22 @@ class CrawlState:
         """Take the next ``n`` URLs and queue what their pages link to. Gives the number taken."""
         last = self.last_round()
         k = last + 1
-        taken = fr.numbered(fr.next_urls(self.waiting(last), n))
         # The queue is written last and makes the round whole; a half-done round is done again.
-        self._write(taken, "visited", k)
+        self._write(fr.next_urls(self.waiting(last), n), "taken", k)
+        taken = self.spark.read.schema("url string, seq bigint, queue_rank int, round int, turn int").parquet(self._folder("taken", k))
+        self._write(fr.numbered(taken), "visited", k)
+        ends = taken.groupBy("queue_rank").agg(F.max(F.struct("round", "seq", "url")).alias("at"))
+        moved = ends.select("queue_rank", F.col("at.round").alias("at_round"), F.col("at.seq").alias("at_seq"), F.col("at.url").alias("at_url"))
+        before = self.cursors(last)
+        if before:
+            kept = self.spark.createDataFrame([tuple(c) for c in before], _SCHEMAS["cursors"])
+            moved = moved.unionByName(kept.join(moved.select("queue_rank"), "queue_rank", "left_anti"))
+        self._write(moved.coalesce(1), "cursors", k)
         stored = self.spark.read.schema(_SCHEMAS["visited"]).parquet(self._folder("visited", k))
         count = stored.count()
         # Taken URLs are among those ever queued, but for those that a saved state had visited before.
         candidates = fr.found_links(stored, edges)
-        known = self.queued_ever(last)
-        new = fr.unseen(candidates, self.visited(0), known, priority_host, k)
+        new = fr.unseen(candidates, self.visited(0), self._known(last), priority_host, k)
         self._write(new.drop("round"), "queued", k)
         return count
 
