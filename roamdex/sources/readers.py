@@ -67,6 +67,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("url_key", "link", "raw")
 
 
+def find_pages(spark: SparkSession, path: str, url_keys: list[str]) -> DataFrame:
+    """The pages of some keys: the reader passes over all files and row groups of the store whose keys lie elsewhere."""
+    return read_pages(spark, path).where(F.col("url_key").isin(url_keys))
+
+
 def fetched_keys(pages: DataFrame) -> DataFrame:
     """Keys of the pages that were fetched."""
     return pages.select("url_key").distinct()
@@ -120,13 +125,62 @@ def read_infoboxes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INFOBOX_SCHEMA).option("pathGlobFilter", "*.json").json(path)
 
 
+#: What stands between two strings of a state file as it is written, one line with a blank after each comma.
+_BETWEEN = ', "'
+_STRING = r'(?:[^"\\]|\\.)*+'
+# A key and the opening of its list or object. The first one has the object's opening before it.
+_KEY = rf'(?s)^(?:\{{\s*")?({_STRING})":\s*[\[{{]'
+# A record is a string without its first quote, and what follows: nothing, a value, a new list with or without its
+# first string; and the ends of lists and objects.
+_RECORD = (
+    rf'(?s)^(?:\{{\s*")?{_STRING}"(?::\s*(?:true|false)|:\s*[\[{{]\s*(?:"{_STRING}"(?::\s*(?:true|false))?)?)?[\s\]}}]*$'
+)
+
+
 def read_state_json(
     spark: SparkSession, path: str, priority_key: str = "priority", other_key: str = "other"
 ) -> tuple[DataFrame, DataFrame]:
     """``queue(queue_rank, url, seq)`` and ``visited(url)`` of a crawl state file, repeats included.
 
-    A state file is one JSON object with a list per queue and an object whose names are the visited URLs.
+    A state file is one JSON object with a list per queue and an object whose names are the visited URLs. It is read
+    in splits, a row per string: the comma between two strings ends a record. The few records that hold a key tell
+    where each list begins; a URL belongs to the last key before it. ``seq`` rises with the place in the file. A file
+    that is laid out otherwise, or has a string that looks like the end of one, is read as one object.
     """
+    records = spark.read.option("lineSep", _BETWEEN).text(path)
+    # Splits by where they begin in the file, rows of a split as they come.
+    records = records.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), "value",
+    )
+    shape = records.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col("value").rlike(_RECORD)).alias("fits"), F.count_distinct("_file").alias("files")
+    ).first()
+    if not shape["fits"] or shape["files"] != 1:
+        return _read_whole_state(spark, path, priority_key, other_key)
+    first_rows = records.groupBy("_block").agg(F.min("_row").alias("_first"))  # a row per split
+    placed = records.join(F.broadcast(first_rows), "_block")
+    # A record takes a byte and more, so places of a split stay below the next one's.
+    placed = placed.select((F.col("_block") + F.col("_row") - F.col("_first")).alias("seq"), "value")
+    has_key = F.col("value").rlike(_KEY)
+    marks = placed.where(has_key).select("seq", F.regexp_extract("value", _KEY, 1).alias("key")).collect()
+    section = F.lit(None).cast("string")
+    for mark in sorted(marks, key=lambda m: m["seq"]):
+        section = F.when(F.col("seq") >= mark["seq"], F.lit(mark["key"])).otherwise(section)
+    # The string of a record that holds a key is the one after the key; an empty list has none.
+    own = F.when(has_key, F.concat(F.lit("\n"), F.regexp_replace("value", _KEY, ""))).otherwise(F.concat(F.lit('"'), "value"))
+    raw = F.regexp_extract(own, rf'(?s)^\s*"({_STRING})"', 1)
+    strings = placed.where(own.rlike(r'^\s*"')).select(section.alias("_key"), raw.alias("_raw"), "seq")
+    plain = F.get(F.from_json(F.concat(F.lit('["'), "_raw", F.lit('"]')), "array<string>"), F.lit(0))
+    urls = F.when(F.contains("_raw", F.lit("\\")), plain).otherwise(F.col("_raw"))
+    strings = strings.select("_key", urls.alias("url"), F.col("seq").cast("bigint").alias("seq"))
+    rank = F.when(F.col("_key") == priority_key, 0).otherwise(1)
+    queue = strings.where(F.col("_key").isin(priority_key, other_key)).select(rank.alias("queue_rank"), "url", "seq")
+    return queue, strings.where(F.col("_key") == "visited").select("url")
+
+
+def _read_whole_state(spark: SparkSession, path: str, priority_key: str, other_key: str) -> tuple[DataFrame, DataFrame]:
+    """A state file as one row, whatever its layout."""
     schema = T.StructType(
         [
             T.StructField(priority_key, T.ArrayType(T.StringType())),
