@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="roamdex-checkpoint-")
         sc.setCheckpointDir(folder)
