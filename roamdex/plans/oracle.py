@@ -541,6 +541,123 @@ select url, queue_rank, seq from waiting union all select url, null, null from v
 RESULT_COUNTS = "select url, case when page_id % 4 > 0 then page_id * 37 end as truth from pages"
 
 
+PAGE_STORE = f"""
+select md5({_quoted('url')}) || '.txt' as url_key, url as link,
+       cast(length(replace(replace(concat(url, {NL}, {_LINKED}), chr(13) || {NL}, {NL}), chr(13), {NL})) as bigint) as n_chars
+from pages
+"""
+SEED_LIST = f"""
+select {_q(SEED_BASE)} || trim(c_name) as url, row_number() over (order by c_custkey) - 1 as seq from customer
+"""
+_SAVED = f"""
+{EDGES}, {_SPLIT},
+saved as (select dst as url, {RANK.format(u='dst')} as queue_rank, pos as seq from edges group by all
+          union all select url, queue_rank, seq from waiting)"""
+# Rows equal in queue, place and URL are one string of the state.
+STATE_JSON_ROUND_TRIP = f"""
+with {_SAVED},
+     strings as (select distinct url, queue_rank, seq from saved),
+     places as (select url, row_number() over (order by queue_rank, seq, url) as place from strings)
+select url, queue_rank, count(*) as n from strings group by url, queue_rank
+union all select url, 2, 1 from (select distinct url from visited)
+union all select url, 3, max(place) from places group by url
+"""
+STATE_OR_SEEDS = f"""
+with {_SAVED}
+select {_q(SEED_BASE)} || trim(c_name) as url, {RANK.format(u=_q(SEED_BASE) + " || trim(c_name)")} as queue_rank, 'seeds' as way from customer
+union all select url, min(queue_rank), 'state' from saved where url not in (select url from visited) group by url
+union all select distinct url, -1, 'state' from visited
+"""
+EMPTY_PAGES = rf"""
+with raws as (select case page_id % 3 when 0 then {_RAW} when 1 then url else '' end as raw from pages),
+     docs as (select split_part(raw, {NL}, 1) as link, regexp_extract(raw, '<title>(.*)</title>', 1) as title,
+                     md5(regexp_replace(regexp_replace(raw, '<.*?>', '', 'g'), '\n+', {NL}, 'g')) as other_md5 from raws)
+select link, title, cast(0 as bigint) as num_cat, cast(0 as bigint) as n_cat, other_md5, count(*) as n from docs group by all
+"""
+SEARCH_BATCH_PREFIX = f"""
+with {TITLE_TOKENS}, {BM25},
+     words as (select item_id as query_id, list_distinct_kept as ts from (
+       select item_id, list_filter(ts, lambda x, i: list_position(ts, x) = i) as list_distinct_kept
+       from (select item_id, regexp_extract_all(lower(text), {TOK}, 0) as ts from benchmark))),
+     asked as (select query_id, unnest(ts) as term from words),
+     need as (select query_id, ts[len(ts)] as term from words),
+     allowed as (select doc_id from titled where starts_with(link, {_q(LINK_PREFIX)})),
+     hit as (select query_id, doc_id, sum(s) + 1.0 as score from asked join bm using (term) join allowed using (doc_id)
+             group by query_id, doc_id)
+select query_id, doc_id, round(score, 6) as score, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank
+from hit where exists (select 1 from need n join post p on p.term = n.term where n.query_id = hit.query_id and p.doc_id = hit.doc_id)
+qualify rank <= {HITS}
+"""
+
+
+def _expanded() -> str:
+    ascii_only = r"regexp_replace(term, '[^\x00-\x7F]', '#', 'g')"
+    tests = {
+        "wildcard": r"regexp_full_match(term, '(?s)t.e.*n')",
+        "tail": "ends_with(term, 'ing')",
+        "fuzzy": f"damerau_levenshtein({ascii_only}, 'thier') <= 2",
+        "fuzzy_one": f"damerau_levenshtein({ascii_only}, 'attoin') <= 1",
+        "range": "term between 'la' and 'le'",
+        "prefix": "starts_with(term, 'an')",
+    }
+    parts = [f"select distinct doc_id, cast(1.0 as double) as score, {_q(k)} as kind from post where {t}" for k, t in tests.items()]
+    return f"with {TITLE_TOKENS} {' union all '.join(parts)}"
+
+
+def _phrase_scores(terms: list[str], boost: float) -> str:
+    joins = " and ".join(f"ts[i + {k}] = {_q(t)}" for k, t in enumerate(terms))
+    weights = " + ".join(f"(select ln(1 + (n - df + 0.5) / (df + 0.5)) from df, stat where term = {_q(t)})" for t in terms)
+    return f"""
+select doc_id, {boost} * ({weights}) * (f / (f + {_K1} * (1 - {_B} + {_B} * doc_len / avg_len))) as s
+from (select doc_id, len(list_filter(range(1, len(ts) - {len(terms) - 2}), lambda i: {joins})) as f from toks) join lens using (doc_id), stat
+where f > 0"""
+
+
+SEARCH_BODY_PHRASE = f"""
+with {TEXT_TOKENS}, {BM25},
+     parts as ({_phrase_scores(['of', 'the'], 1.0)} union all {_phrase_scores(['and', 'of', 'the'], 2.0)}
+               union all select doc_id, s from bm where term = 'to')
+select doc_id, round(sum(s), 6) as score from parts group by doc_id
+"""
+INDEX_SEGMENTS = f"""
+with titled as (
+  select cast(page_id as varchar) as doc_id,
+         case when page_id % 10 = 1 then {TITLE} || ' the changed one' else {TITLE} end as title
+  from pages where not (page_id % 3 <> 0 and page_id % 5 = 2)),
+toks as (select doc_id, regexp_extract_all(lower(title), {TOK}, 0) as ts from titled),
+lens as (select doc_id, cast(len(ts) as bigint) as doc_len from toks where len(ts) > 0),
+post as (select doc_id, term, count(*) as tf from (select doc_id, unnest(ts) as term from toks) group by doc_id, term),
+{BM25},
+hit as (select doc_id, round(sum(case when term = 'changed' then 2 * s else s end), 6) as score from bm where term in ('the', 'changed') group by doc_id)
+select doc_id, score, way from hit, (values ('segments'), ('merged')) w(way)
+"""
+
+
+def _crawl_rounds(rounds: int) -> str:
+    """Rounds unrolled: what waits, what is taken, what is found on the taken pages and new."""
+    start = f"q0 as (select url, queue_rank, 0 as round, seq, {{none}} as place from waiting)".format(none="0")
+    steps = [start, "v0 as (select url from visited)", "known0 as (select url from q0 union select url from v0)"]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"t{k} as (select url, row_number() over (order by queue_rank, round, seq, url) as turn from q{k - 1} qualify turn <= {ROUND_SIZE})"
+        )
+        place = "cast(turn as bigint) * 4294967296 + kind * 2147483648 + pos"
+        steps.append(
+            f"""n{k} as (select dst as url, min({place}) as seq from edges join t{k} on {_quoted('edges.src')} = {_quoted('t' + str(k) + '.url')}
+             where dst not in (select url from known{k - 1}) group by dst)"""
+        )
+        steps.append(
+            f"""q{k} as (select * from q{k - 1} where url not in (select url from t{k})
+             union all select url, {RANK.format(u='url')}, {k}, seq, 0 from n{k})"""
+        )
+        steps.append(f"known{k} as (select url from known{k - 1} union select url from n{k})")
+    taken = " union all ".join(
+        ["select url, 'visited' as state, cast(0 as bigint) as round from v0"]
+        + [f"select url, 'visited', cast({k} as bigint) from t{k}" for k in range(1, rounds + 1)]
+    )
+    return f"with {EDGES}, {_SPLIT}, {', '.join(steps)} {taken} union all select url, 'queued', cast(round as bigint) from q{rounds}"
+
+
 ORACLE: dict[str, str] = {
     "page_documents": PAGE_DOCUMENTS,
     "page_sections": PAGE_SECTIONS,
@@ -622,4 +739,15 @@ ORACLE: dict[str, str] = {
     "macro_recall": MACRO_RECALL,
     "average_precision": AVERAGE_PRECISION,
     "evaluate_keywords": EVALUATE_KEYWORDS,
+    "page_store": PAGE_STORE,
+    "listed_sections": PAGE_SECTIONS_COUNT,
+    "seed_list": SEED_LIST,
+    "state_json_round_trip": STATE_JSON_ROUND_TRIP,
+    "state_or_seeds": STATE_OR_SEEDS,
+    "empty_pages": EMPTY_PAGES,
+    "search_batch_prefix": SEARCH_BATCH_PREFIX,
+    "search_dictionary": _expanded(),
+    "search_body_phrase": SEARCH_BODY_PHRASE,
+    "index_segments": INDEX_SEGMENTS,
+    "crawl_rounds": _crawl_rounds(3),
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +34,12 @@ from roamdex.operators.postings import (
     field_stats,
     term_stats,
 )
+from roamdex.operators.segments import SegmentedIndex
 from roamdex.plans.jobs import evaluate_counts
 from roamdex.session import cut_lineage, shared_folder
 from roamdex.sources import readers, writers
 from roamdex.sources.writers import heading_lines
+from roamdex.streaming.rounds import CrawlState
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,6 +339,20 @@ def frontier_resume(spark: SparkSession, sf: str) -> DataFrame:
     return waiting.unionByName(seen.select("url", F.lit(-1).cast("bigint").alias("turn")))
 
 
+@query
+def crawl_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Three rounds of a stored crawl from the http pages, the https ones visited before: who was taken when, who waits."""
+    queue, visited = split_queue(spark, sf)
+    links = cut_lineage(edges(spark, sf))
+    state = CrawlState(spark, _folder(spark, "crawl"))
+    state.resume(queue, visited)
+    for _ in range(3):
+        state.run_round(links.withColumn("src", urls.quote(F.col("src"))), ROUND_SIZE, PRIORITY_HOST)
+    last = state.last_round()
+    taken = state.visited(last).select("url", F.lit("visited").alias("state"), F.col("round").cast("bigint").alias("round"))
+    return taken.unionByName(state.waiting(last).select("url", F.lit("queued").alias("state"), F.col("round").cast("bigint").alias("round")))
+
+
 @query
 def frontier_dedup(spark: SparkSession, sf: str) -> DataFrame:
     targets = edges(spark, sf).select(
@@ -570,6 +587,63 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
+@query
+def search_batch_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """The best titles for each benchmark text, whose last word must match, under one link prefix."""
+    tokens = table(spark, sf, "benchmark").select("item_id", F.array_distinct(text.tokens(F.col("text"))).alias("ts"))
+    asked = tokens.select(
+        F.col("item_id").alias("query_id"), F.lit("title").alias("field"), F.posexplode("ts").alias("pos", "term"), "ts"
+    ).select("query_id", "field", "term", (F.col("pos") == F.size("ts") - 1).alias("required"))
+    best = bs.search_batch(page_index(spark, sf), asked, HITS, [C(LINK_PREFIX, "link", se.PREFIX)])
+    return best.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
+#: Clauses that stand for terms of the dictionary, by name.
+EXPANDED = {
+    "wildcard": C("t?e*n", "title", se.WILDCARD),
+    "tail": C("*ing", "title", se.WILDCARD),
+    "fuzzy": C("thier", "title", se.FUZZY),
+    "fuzzy_one": C("attoin", "title", se.FUZZY, edits=1),
+    "range": C("la", "title", se.RANGE, high="le"),
+    "prefix": C("an", "title", se.PREFIX),
+}
+
+
+@query
+def search_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Clauses of every kind that stands for several terms, over a stored index with its dictionary and gram table."""
+    index = page_index(spark, sf).stored(_folder(spark, "index"))
+    hits = [se.search(index, [c]).select("doc_id", "score", F.lit(k).alias("kind")) for k, c in EXPANDED.items()]
+    return reduce(DataFrame.unionByName, hits)
+
+
+BODY_FIELD = (FieldSpec("other", column="text", neighbours=True),)
+
+
+@query
+def search_body_phrase(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases of two and of three terms in a long text field, which has pairs of neighbours and no positions."""
+    index = Index.build(text_docs(spark, sf), BODY_FIELD)
+    return scored(se.search(index, [C("of the", "other", se.PHRASE), C("and of the", "other", se.PHRASE, boost=2.0), C("to", "other")]))
+
+
+@query
+def index_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """An index that grew by two changes: titles added, some deleted, some replaced; searched as it is and merged."""
+    docs = titled(spark, sf)
+    n = F.col("doc_id").cast("bigint")
+    index = SegmentedIndex(spark, _folder(spark, "segments"), PAGE_FIELDS)
+    index.change(docs.where(n % 3 != 0))
+    new = docs.where(n % 10 == 1).withColumn("title", F.concat("title", F.lit(" the changed one")))
+    # Gone are those of the fives but one, new texts come for those of the tens and one, and all that were left out.
+    index.change(docs.where((n % 3 == 0) & (n % 10 != 1)).unionByName(new), docs.where((n % 3 != 0) & ((n % 5 == 2) | (n % 10 == 1))))
+    asked = [C("the", "title"), C("changed", "title", boost=2.0)]
+    ways = [se.search(index.index(), asked).withColumn("way", F.lit("segments"))]
+    index.merge()
+    ways.append(se.search(index.index(), asked).withColumn("way", F.lit("merged")))
+    return reduce(DataFrame.unionByName, ways).select("doc_id", F.round("score", 6).alias("score"), "way")
+
+
 @query
 def keyword_list(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct stripped lines of all documents."""
@@ -742,18 +816,101 @@ def keywords_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def page_files_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages written one file each, read whole, documents appended twice and read back."""
-    path, out = _folder(spark, "pages"), _folder(spark, "documents")
-    one = raw_pages(spark, sf).select("url_key", "raw")
-    # One file per page, as a crawl leaves them: a folder per key, whose files are read whole.
-    one.write.option("lineSep", "\n").partitionBy("url_key").text(path)
-    pages = spark.read.text(path, wholetext=True).select("url_key", F.regexp_replace("value", r"\n\z", "").alias("raw"))
-    docs = pg.extract_documents(pages, ())
+    """Pages written one file each as a crawl leaves them, packed into a store, documents appended twice and read back."""
+    files, store, out = (_folder(spark, n) for n in ("pages", "store", "documents"))
+    writers.write_page_files(raw_pages(spark, sf), files)
+    writers.pack_pages(spark, files, store)
+    docs = pg.extract_documents(readers.read_pages(spark, store), ())
     writers.write_documents(docs, out)
     writers.write_documents(docs, out)
     return spark.read.parquet(out).groupBy("link", "title").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def page_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys and lengths of pages from a packed store that was filled in two steps."""
+    store = _folder(spark, "store")
+    pages = raw_pages(spark, sf)
+    for rest in (0, 1):
+        writers.write_pages(pages.where(F.col("page_id") % 2 == rest), store)
+    found = readers.read_pages(spark, store)
+    return found.select("url_key", "link", F.length("raw").cast("bigint").alias("n_chars"))
+
+
+@query
+def listed_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Section names ranked by how many documents have them, written as a heading list, read as names, looked up."""
+    path = _folder(spark, "headings")
+    found = pg.with_sections(wrapped_documents(spark, sf), "clean", fixed.SECTION_NAMES)
+    counts = found.select(F.explode(F.map_keys("paragraphs")).alias("heading")).groupBy("heading").agg(F.count(F.lit(1)).alias("n"))
+    writers.write_headings(counts.coalesce(1), path)
+    names = readers.read_names(spark, path)
+    again = pg.with_sections(wrapped_documents(spark, sf), "clean", names)
+    return again.select("doc_id", F.size(F.map_keys("paragraphs")).cast("bigint").alias("num_cat"))
+
+
+def _write_seeds(spark: SparkSession, sf: str) -> str:
+    """Customers' names as a seed list: one file, a name a line, in the order of their keys."""
+    path = _folder(spark, "seeds")
+    names = table(spark, sf, "customer").coalesce(1).sortWithinPartitions("c_custkey")
+    names.select(F.concat(F.lit(" "), "c_name", F.lit("\t")).alias("value")).write.text(path)
+    return path
+
+
+@query
+def seed_list(spark: SparkSession, sf: str) -> DataFrame:
+    """A seed list written and read as seed URLs, in its order."""
+    return readers.seed_urls(spark, _write_seeds(spark, sf), SEED_BASE)
+
+
+def saved_state(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Link targets and page URLs queued, some twice; https pages visited."""
+    queue, visited = split_queue(spark, sf)
+    targets = edges(spark, sf).select(F.col("dst").alias("url"), F.col("pos").cast("bigint").alias("seq")).distinct()
+    targets = targets.withColumn("queue_rank", urls.queue_rank(F.col("url"), PRIORITY_HOST))
+    return targets.unionByName(queue.select("url", "seq", "queue_rank")), visited
+
+
+@query
+def state_json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A crawl state written as one JSON object and read in splits: each URL of a queue with its place, and visited ones."""
+    path = _folder(spark, "state")
+    writers.write_state_json(*saved_state(spark, sf), path)
+    queue, visited = readers.read_state_json(spark, path)
+    place = fr.numbered(fr.next_urls(queue.withColumn("round", F.lit(0)), 1 << 30)).withColumnRenamed("turn", "place")
+    rows = queue.groupBy("queue_rank", "url").agg(F.count(F.lit(1)).alias("n")).select("url", F.col("queue_rank").cast("bigint").alias("queue_rank"), "n")
+    last = place.groupBy("url").agg(F.max("place").cast("bigint").alias("n")).select("url", F.lit(3).cast("bigint").alias("queue_rank"), "n")
+    seen = visited.select("url", F.lit(2).cast("bigint").alias("queue_rank"), F.lit(1).cast("bigint").alias("n"))
+    return rows.unionByName(seen).unionByName(last)
+
+
+@query
+def state_or_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """A crawl's start: from the seed list where no state was saved, from the saved state where one was."""
+    seeds, none, saved = _write_seeds(spark, sf), _folder(spark, "none"), _folder(spark, "state")
+    writers.write_state_json(*saved_state(spark, sf), saved)
+    ways = []
+    for way, path in (("seeds", none), ("state", saved)):
+        frontier, visited = readers.state_or_seeds(spark, path, seeds, SEED_BASE, PRIORITY_HOST)
+        ways.append(frontier.select("url", F.col("queue_rank").cast("bigint").alias("queue_rank"), F.lit(way).alias("way")))
+        ways.append(visited.select("url", F.lit(-1).cast("bigint").alias("queue_rank"), F.lit(way).alias("way")))
+    return reduce(DataFrame.unionByName, ways)
+
+
+@query
+def empty_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of which some have no content, some no URL line either: documents with empty parts, and nothing fails."""
+    n = F.col("page_id") % 3
+    pages = table(spark, sf, "pages").select(
+        "page_id", F.when(n == 0, F.concat("url", F.lit("\n"), "html")).when(n == 1, F.col("url")).otherwise("").alias("raw")
+    )
+    docs = pg.extract_documents(pages.select("raw"))
+    counts = docs.groupBy("link", "title", "num_cat", F.size("categories").alias("n_cat"), F.md5("other").alias("other_md5"))
+    return counts.agg(F.count(F.lit(1)).alias("n")).select(
+        "link", "title", F.col("num_cat").cast("bigint").alias("num_cat"), F.col("n_cat").cast("bigint").alias("n_cat"), "other_md5", "n"
+    )
+
+
 @query
 def state_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A crawl state written as tables and read back."""
