@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import roamdex
-from roamdex.session import cut_lineage
+from roamdex.session import cut_lineage, shared_folder
 
 # --- fixed value: a word is a run of anything but ASCII white space ---
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +54,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for many narrow rows: a checkpoint holds them as they are in memory."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     while name in df.columns:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roamdex.llm import bloom
-from roamdex.llm.common import bounded_batches, fresh, stored
+from roamdex.llm.common import bounded_batches, fresh, stored, written
 
 MIN_WORDS = 10
 LONG_UNIT = 25
@@ -210,7 +210,7 @@ def dedup_units(
 ) -> DataFrame:
     """``docs`` with the text that stays and the spans (start, end) removed, both by code points of the whole text."""
     bounded_batches(docs.sparkSession)
-    places = stored(unit_places(docs, repeated_filter(docs)))
+    places = written(unit_places(docs, repeated_filter(docs)), "units")
     cuts = stored(repeated_units(places))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
