@@ -39,9 +39,9 @@ MARKS = "#$%&*|<>{}[]\\^~=_@+"
 GOOD, BAD, NOTHING = 1, 0, 2
 
 
-#: Belief, before any vote, in how labellers vote on good documents: so many of a thousand are called bad, with the
-#: weight of this share of all documents.
-PRIOR_WRONG, PRIOR_SHARE = 1.0, 0.5
+#: Belief, before any vote, in how labellers vote on good documents: this share is called bad, with the weight of so many
+#: votes, whatever the number of documents.
+PRIOR_WRONG, PRIOR_VOTES = 0.1, 20.0
 
 
 class Stats(NamedTuple):
@@ -143,22 +143,26 @@ def features(stats: Stats, counts: Counter) -> dict[int, float]:
     return {b: v / (stats.words + DAMPING) for b, v in found.items()}
 
 
-def weigh_votes(patterns: dict[int, int], rounds: int = 100) -> dict[int, float]:
-    """Probability of good for each pattern, by EM on the pattern counts.
+class Weighed(NamedTuple):
+    """What EM found: the share of good documents, ``accuracy[class, labeller, vote]`` and the patterns' posteriors."""
 
-    Two classes; a labeller has its own accuracy on each, from the documents it votes on: saying nothing is no evidence.
-    A labeller sees one kind of fault, so it may call most bad documents good; of good ones it is assumed to be seldom
-    wrong, with the weight of ``PRIOR_SHARE`` of all documents. The start takes any bad vote for a bad document.
+    good: float
+    accuracy: np.ndarray
+    posterior: dict[int, float]
+
+
+def estimate(patterns: dict[int, int], rounds: int = 200) -> Weighed:
+    """EM on the pattern counts: two classes, and each labeller has its own accuracy on each.
+
+    Accuracies come from the documents a labeller votes on: saying nothing is no evidence. A labeller sees one kind of
+    fault, so it may call most bad documents good; that it is seldom wrong on good ones is a belief of ``PRIOR_VOTES``
+    votes that a few dozen documents outweigh. The start, any bad vote means a bad document, tells the classes apart.
     """
-    if not patterns:
-        return {}
-    codes = np.array(sorted(patterns))
+    codes = np.array(sorted(patterns), np.int64)
     n = np.array([patterns[c] for c in codes], float)
     digit = np.stack([codes // 3**k % 3 for k in range(len(LABELLERS))], axis=1)
     said = np.stack([digit == v for v in (BAD, GOOD)], axis=2).astype(float)
-    wrong = PRIOR_WRONG / 1000
-    on_good = PRIOR_SHARE * n.sum() + 1
-    prior_votes = np.array([[[1.0, 1.0]], [[wrong * on_good, (1 - wrong) * on_good]]])
+    prior_votes = np.array([[[1.0, 1.0]], [[PRIOR_WRONG * PRIOR_VOTES, (1 - PRIOR_WRONG) * PRIOR_VOTES]]])
     p = np.where(said[:, :, BAD].any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
         mass = np.stack([n * (1 - p), n * p])
@@ -167,11 +171,16 @@ def weigh_votes(patterns: dict[int, int], rounds: int = 100) -> dict[int, float]
         shares /= shares.sum(axis=2, keepdims=True)
         score = np.log(prior)[:, None] + np.einsum("plv,clv->cp", said, np.log(shares))
         new = 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
-        done = np.abs(new - p).max() < 1e-9
+        done = not len(n) or np.abs(new - p).max() < 1e-9
         p = new
         if done:
             break
-    return {int(c): float(x) for c, x in zip(codes, p)}
+    return Weighed(float(prior[GOOD]), shares, {int(c): float(x) for c, x in zip(codes, p)})
+
+
+def weigh_votes(patterns: dict[int, int]) -> dict[int, float]:
+    """Probability of good for each pattern."""
+    return estimate(patterns).posterior
 
 
 class Scorer(NamedTuple):

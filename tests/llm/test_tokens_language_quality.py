@@ -41,6 +41,45 @@ def test_token_counts_of_the_table(spark):
     assert got == {r["doc_id"]: len(e.ids) for r, e in zip(rows, counts)}
 
 
+def test_every_piece_is_the_tokenizers_own():
+    tokenizer = Tokenizer.from_file(FILE)
+    cut = token_counts._Cutter(tokenizer)
+    for text in TEXTS[1:]:
+        pieces, special = cut(text)
+        assert special == text.count("<|endoftext|>")
+        assert "".join(pieces) == text.replace("<|endoftext|>", "")
+        if not special:
+            assert pieces == [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)], repr(text)
+
+
+def test_no_text_is_encoded_whole(spark, documents, monkeypatch):
+    """Pieces of odd texts are found in the two tiers: what is encoded is a miss of both, never a text."""
+    tokenizer = Tokenizer.from_file(FILE)
+    frequent = token_counts.frequent_lengths(tokenizer, [" 漢字", " Ελλάδα", "not one", ""])
+    assert " 漢字" in frequent and " Ελλάδα" in frequent and "not one" not in frequent and "" not in frequent
+    lengths = token_counts._Lengths(tokenizer, frequent, 10)
+    pieces, _ = token_counts._Cutter(tokenizer)("the 漢字 and 漢字 in Ελλάδα zqxj zqxj")
+    assert [p for p in pieces if p not in frequent] == [" zqxj", " zqxj"]
+    assert sum(map(lengths.__getitem__, pieces)) == len(tokenizer.encode("the 漢字 and 漢字 in Ελλάδα zqxj zqxj").ids)
+    assert set(lengths) - set(frequent) == {" zqxj"}
+
+
+def test_sampled_words_are_the_commonest(spark, documents):
+    docs = documents([(i, "漢字 漢字 漢字 " + "y" * 99 + f" rare{i}", "s") for i in range(300)] + [(None, None, None)])
+    words = token_counts.sampled_words(docs, Tokenizer.from_file(FILE).to_str())
+    assert words[0] == " 漢字" and "y" * 99 not in words and " " + "y" * 99 not in words
+    assert len(words) <= token_counts.SAMPLE_WORDS
+
+
+def test_tokenizers_that_change_texts_are_refused():
+    tokenizer = Tokenizer.from_file(FILE)
+    from tokenizers import normalizers
+
+    tokenizer.normalizer = normalizers.Lowercase()
+    with pytest.raises(ValueError):
+        token_counts._Cutter(tokenizer)
+
+
 def test_token_counts_of_nothing(documents):
     assert token_counts.count_tokens(documents([]), FILE).collect() == []
 
@@ -122,3 +161,70 @@ def test_the_whole_word_is_read():
     # As many buckets' worth as the shape has pieces: nothing behind the first is passed over.
     assert sum(found[2].values()) > 1.9 * sum(found[0].values()) - 1
     assert len(quality._shapes("Word's")) == 1 and quality._shapes("a" * 10**6) == quality._shapes("b")
+
+
+def _slow_em(patterns, rounds=200):
+    """The labellers' model, one pattern, labeller and class at a time."""
+    from math import exp, log
+
+    votes = {c: [c // 3**k % 3 for k in range(len(quality.LABELLERS))] for c in patterns}
+    p = {c: 0.1 if quality.BAD in v else 0.9 for c, v in votes.items()}
+    for _ in range(rounds):
+        total = sum(patterns.values())
+        good = (sum(n * p[c] for c, n in patterns.items()) + 1) / (total + 2)
+        wrong = {}
+        for k in range(len(quality.LABELLERS)):
+            for cls in (0, 1):
+                seen = [1.0, 1.0] if cls == 0 else [0.1 * 20, 0.9 * 20]
+                for c, n in patterns.items():
+                    if votes[c][k] != quality.NOTHING:
+                        seen[votes[c][k]] += n * (p[c] if cls else 1 - p[c])
+                wrong[cls, k] = [x / sum(seen) for x in seen]
+        for c, v in votes.items():
+            odds = log(good) - log(1 - good)
+            odds += sum(log(wrong[1, k][x]) - log(wrong[0, k][x]) for k, x in enumerate(v) if x != quality.NOTHING)
+            p[c] = 1 / (1 + exp(-odds))
+    return p
+
+
+def _simulated(n, share_good, wrong_on_good, right_on_bad, silent, seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < share_good
+    k = len(quality.LABELLERS)
+    bad_vote = np.where(good[:, None], rng.random((n, k)) < wrong_on_good, rng.random((n, k)) < right_on_bad)
+    vote = np.where(rng.random((n, k)) < silent, quality.NOTHING, np.where(bad_vote, quality.BAD, quality.GOOD))
+    return good, (vote * 3 ** np.arange(k)).sum(1)
+
+
+def test_estimates_equal_slow_em():
+    from collections import Counter
+
+    _, codes = _simulated(400, 0.8, 0.05, 0.6, 0.3, 1)
+    patterns = {int(c): n for c, n in Counter(codes.tolist()).items()}
+    slow, fast = _slow_em(patterns), quality.weigh_votes(patterns)
+    assert slow.keys() == fast.keys()
+    assert max(abs(slow[c] - fast[c]) for c in slow) < 1e-5
+
+
+@pytest.mark.parametrize("share_good", [0.9, 0.5])
+def test_accuracies_are_recovered(share_good):
+    """Labellers that differ in accuracy, some often wrong on good documents: EM finds how often, against the prior."""
+    from collections import Counter
+
+    import numpy as np
+
+    k = len(quality.LABELLERS)
+    wrong_on_good, right_on_bad = np.linspace(0.01, 0.3, k), np.linspace(0.4, 0.9, k)
+    good, codes = _simulated(20_000, share_good, wrong_on_good, right_on_bad, 0.2, 2)
+    found = quality.estimate({int(c): n for c, n in Counter(codes.tolist()).items()})
+    assert abs(found.good - share_good) < 0.02
+    assert np.abs(found.accuracy[quality.GOOD, :, quality.BAD] - wrong_on_good).max() < 0.02
+    assert np.abs(found.accuracy[quality.BAD, :, quality.BAD] - right_on_bad).max() < 0.04
+    # Calls are as good as those of one who knows the accuracies.
+    digit = codes[:, None] // 3 ** np.arange(k) % 3
+    odds = np.where(digit == quality.BAD, np.log(wrong_on_good / right_on_bad), np.log((1 - wrong_on_good) / (1 - right_on_bad)))
+    known = np.log(share_good / (1 - share_good)) + np.where(digit == quality.NOTHING, 0, odds).sum(1) >= 0
+    called = np.array([found.posterior[int(c)] >= 0.5 for c in codes])
+    assert (called == good).mean() > (known == good).mean() - 0.005
