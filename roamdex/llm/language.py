@@ -145,17 +145,18 @@ def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     k = len(model.languages)
     share, total = _em(like, peak, of, starts, np.full((len(ids), k), 1.0 / k))
     penalty = PENALTY * np.log(sizes + 1)
-    best, best_share = total - penalty * k, share.copy()
+    # Shares may reach zero by themselves: the penalty counts the languages that are left, and none is taken out for them.
+    best, best_share = total - penalty * (share > 0).sum(axis=1), share.copy()
     for left in range(k - 1, 0, -1):
-        active = np.where(share > 0, share, np.inf) if left < k - 1 else share.copy()
+        many = np.flatnonzero((share > 0).sum(axis=1) > left)
+        least = np.where(share > 0, share, np.inf).argmin(axis=1)
         share = share.copy()
-        share[np.arange(len(ids)), active.argmin(axis=1)] = 0
-        none = share.sum(axis=1) == 0
-        share[none] = best_share[none]
+        share[many, least[many]] = 0
         share /= share.sum(axis=1, keepdims=True)
         share, total = _em(like, peak, of, starts, share)
-        better = total - penalty * left > best
-        best, best_share[better] = np.where(better, total - penalty * left, best), share[better]
+        value = total - penalty * (share > 0).sum(axis=1)
+        better = value > best
+        best, best_share[better] = np.where(better, value, best), share[better]
     top = best_share.argmax(axis=1)
     for j, i in enumerate(ids):
         out[i] = (model.languages[top[j]], float(min(1.0, best_share[j, top[j]])))

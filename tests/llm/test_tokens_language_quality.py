@@ -228,3 +228,53 @@ def test_accuracies_are_recovered(share_good):
     known = np.log(share_good / (1 - share_good)) + np.where(digit == quality.NOTHING, 0, odds).sum(1) >= 0
     called = np.array([found.posterior[int(c)] >= 0.5 for c in codes])
     assert (called == good).mean() > (known == good).mean() - 0.005
+
+
+def _slow_language(model, text):
+    """The mixture of one text, a window and a language at a time."""
+    from math import exp, log
+
+    rows = [[float(x) for x in w] for w in language.windows(model, text)]
+    if not rows:
+        return language.UNKNOWN, 0.0
+    k = len(model.languages)
+
+    def em(share):
+        for _ in range(language.EM_ROUNDS):
+            sums = [0.0] * k
+            for w in rows:
+                parts = [exp(x - max(w)) * s for x, s in zip(w, share)]
+                total = max(sum(parts), 1e-300)
+                sums = [a + b / total for a, b in zip(sums, parts)]
+            share = [a / len(rows) for a in sums]
+        fit = 0.0
+        for w in rows:
+            fit += log(max(sum(exp(x - max(w)) * s for x, s in zip(w, share)), 1e-300)) + max(w)
+        return share, fit
+
+    cost = language.PENALTY * log(len(rows) + 1)
+    share, fit = em([1 / k] * k)
+    best, best_share = fit - cost * sum(s > 0 for s in share), share
+    for left in range(k - 1, 0, -1):
+        alive = [j for j in range(k) if share[j] > 0]
+        if len(alive) > left:
+            least = min(alive, key=lambda j: (share[j], j))
+            share = [0.0 if j == least else s for j, s in enumerate(share)]
+        share, fit = em([s / sum(share) for s in share])
+        value = fit - cost * sum(s > 0 for s in share)
+        if value > best:
+            best, best_share = value, share
+    top = max(range(k), key=lambda j: (best_share[j], -j))
+    return model.languages[top], best_share[top]
+
+
+def test_language_equals_slow_mixture(spark):
+    """Whole texts and texts put together of two languages, against the plain model."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs.where(~language.held_out()))
+    texts = [r["text"][:4000] for r in docs.where(language.held_out()).orderBy("doc_id").limit(24).collect()]
+    texts += [a[:1500] + " " + b[:1500] for a, b in zip(texts, texts[7:])] + [None, "", "12 34", "a", "été"]
+    for (lang, score), text in zip(language.predict(model, texts), texts):
+        slow, share = _slow_language(model, text)
+        assert lang == slow, text
+        assert abs(score - min(1.0, share)) < 1e-4
