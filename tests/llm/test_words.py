@@ -252,3 +252,41 @@ def test_lm_bounds(spark, documents):
     assert lm._least_levels(levels, bloom.BLOCK_BYTES) == (1, 2) and lm._least_levels(levels, 1 << 27) == (1, 1)
     assert lm._least_levels(levels, 1) == (3, 128)
     assert [r["base_score"] for r in small] == [r["base_score"] for r in whole]
+
+
+@pytest.mark.parametrize("most, common", [(4000, 12), (1, 1 << 18)])
+def test_lm_left_out_of_the_filter(spark, documents, most, common):
+    """What the filter had no room for is looked up: scores are those of a filter with room, but for its false positives."""
+    rows = lm_rows()
+    docs = documents(rows).repartition(4)
+    model, _, left = lm._trained(docs.where(~lm.is_held_out(F.col("doc_id"))), most, common)
+    assert left.where("not word").count() > 0 and (left.where("word").count() > 0) == (most == 1)
+    counts, pairs, starts = Counter(), Counter(), 0
+    for i, t, _ in rows:
+        if not held_out(i):
+            tokens = lm_tokens(t)
+            counts.update(tokens)
+            pairs.update(zip(["\r", *tokens], tokens))
+            starts += 1
+    total, share = sum(counts.values()), 0.1 * (len(counts) + 1)
+    history = Counter(counts)
+    history["\r"] = starts
+
+    def read(n):
+        return n if n < 8 else float(bloom.count_of()[8 + math.floor(math.log(n / 8) / math.log(bloom.STEP))])
+
+    expected = {}
+    for i, t, _ in rows:
+        tokens = lm_tokens(t)
+        expected[i, len(tokens)] = sum(
+            math.log10(
+                (min(read(pairs[h, w]), read(counts[w]), read(history[h])) + lm.PRIOR * (read(counts[w]) + 0.1) / (total + share))
+                / (read(history[h]) + lm.PRIOR)
+            )
+            for h, w in zip(["\r", *tokens], tokens)
+        )
+    got = lm.score(docs, most_bytes=most, common_words=common).collect()
+    assert len(got) == len(rows)
+    close = [math.isclose(r["score"], expected[r["doc_id"], r["n_tokens"]], rel_tol=1e-9) for r in got]
+    assert all(math.isclose(r["score"], expected[r["doc_id"], r["n_tokens"]], rel_tol=0.02) for r in got)
+    assert sum(close) > 0.95 * len(got)
