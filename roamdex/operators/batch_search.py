@@ -17,6 +17,13 @@ from roamdex.session import cut_lineage
 BLOCK_DOCS = 64
 # Bounds are compared with this much room for the order in which parts are added up.
 SLACK = 1e-6
+# A table of at most so many rows, made of queries and not of documents, is broadcast, so that postings stay where they are.
+SMALL_ROWS = 200_000
+
+
+def _beside(side: DataFrame, rows: int) -> DataFrame:
+    """One side of a join with postings, to be broadcast if ``rows``, which it has at most, are few."""
+    return F.broadcast(side) if rows <= SMALL_ROWS else side
 
 
 def last_word_terms(keywords: DataFrame, keyword: str = "keyword") -> DataFrame:
@@ -76,7 +83,7 @@ def asked_postings(index: Index, queries: DataFrame) -> tuple[DataFrame, DataFra
     df = cut_lineage(found.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
     fields = cut_lineage(fields)
     blocks = -(-(fields.agg(F.max("n_docs")).first()[0] or 1) // BLOCK_DOCS)
-    weighed = found.join(df, ["field", "term"]).join(F.broadcast(fields), "field")  # one row per field
+    weighed = found.join(_beside(df, df.count()), ["field", "term"]).join(F.broadcast(fields), "field")  # one row per field
     part = idf(F.col("n_docs"), F.col("df")) * tf_norm(F.col("tf"), F.col("doc_len"), F.col("total_len") / F.col("n_docs"))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
     parts = cut_lineage(weighed.select("field", "term", block.alias("block"), "doc_id", part.alias("part"), "df"))
@@ -85,8 +92,11 @@ def asked_postings(index: Index, queries: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def impact_blocks(parts: DataFrame) -> DataFrame:
-    """``field, term, block, most``: the largest part of a term's postings in each block of documents."""
-    return cut_lineage(parts.groupBy("field", "term", "block").agg(F.max("part").alias("most")))
+    """``field, term, block, most``: the largest part of a term's postings in each block of documents, dealt by block.
+
+    So a block's bounds are added up where its rows lie.
+    """
+    return cut_lineage(parts.repartition("block").groupBy("field", "term", "block").agg(F.max("part").alias("most")))
 
 
 def floors(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
@@ -98,11 +108,13 @@ def floors(asked: DataFrame, parts: DataFrame, n: int) -> DataFrame:
     rising = Window.partitionBy("query_id").orderBy("df", "field", "term")
     before = F.coalesce(F.sum("df").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rare = asked.where("needed = 0").withColumn("_before", before).where(F.col("_before") < 4 * n)
-    met = parts.join(rare.select("query_id", "field", "term", "boost"), ["field", "term"])
+    met = parts.join(_beside(rare.select("query_id", "field", "term", "boost"), asked.count()), ["field", "term"])
     scores = met.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    chosen = scores.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).select("query_id", "doc_id")
-    whole = parts.join(cut_lineage(chosen), "doc_id").join(asked, ["query_id", "field", "term"])
+    chosen = cut_lineage(
+        scores.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).select("query_id", "doc_id")
+    )
+    whole = parts.join(_beside(chosen, chosen.count()), "doc_id").join(asked, ["query_id", "field", "term"])
     scored = whole.groupBy("query_id", "doc_id").agg(F.sum(F.col("boost") * F.col("part")).alias("score"))
     return cut_lineage(scored.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == n, F.min("score")).alias("floor")))
 
@@ -114,7 +126,7 @@ def live_blocks(asked: DataFrame, impacts: DataFrame, floor: DataFrame) -> DataF
     passed over, as are those that lack a required term.
     """
     wanted = asked.select("query_id", "field", "term", "boost", "required", "needed")
-    bounds = impacts.join(wanted, ["field", "term"]).groupBy("query_id", "block").agg(
+    bounds = impacts.join(_beside(wanted, asked.count()), ["field", "term"]).groupBy("query_id", "block").agg(
         F.sum(F.col("boost") * F.col("most")).alias("most"), F.sum("required").alias("got"), F.max("needed").alias("needed")
     )
     bounds = bounds.where(F.col("got") == F.col("needed")).join(floor, "query_id", "left")
@@ -167,12 +179,17 @@ def search_batch(index: Index, queries: DataFrame, n: int | None = None, must: S
         floor = floors(asked, parts, n)
         live = live_blocks(asked, impact_blocks(parts), floor)
         pairs = cut_lineage(_candidates(asked, parts, floor, live))
-        matched = parts.join(live.join(wanted, "query_id"), ["field", "term", "block"])
-        matched = matched.join(pairs, ["query_id", "doc_id"], "left_semi")
+        if asked.count() <= SMALL_ROWS:
+            # Dealt by block, a document's postings lie together, and its parts are added up there.
+            of_block = live.groupBy("block").agg(F.collect_list("query_id").alias("_live"))
+            matched = parts.repartition("block").join(of_block, "block").join(F.broadcast(wanted), ["field", "term"])
+            matched = matched.where(F.array_contains("_live", F.col("query_id")))
+        else:
+            matched = parts.join(live.join(wanted, "query_id"), ["field", "term", "block"])
     else:
         matched = parts.join(wanted, ["field", "term"])
     hits = (
-        matched.groupBy("query_id", "doc_id")
+        matched.groupBy("query_id", "block", "doc_id")
         .agg(
             F.sum(F.col("boost") * F.col("part")).alias("score"), F.sum("required").alias("got"), F.max("needed").alias("needed")
         )
@@ -181,5 +198,6 @@ def search_batch(index: Index, queries: DataFrame, n: int | None = None, must: S
     )
     if not n:
         return hits.withColumn("rank", F.lit(None).cast("int"))
+    hits = hits.join(pairs, ["query_id", "doc_id"], "left_semi")
     order = Window.partitionBy("query_id").orderBy(*best_first())
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

@@ -192,6 +192,26 @@ def test_batch_scores_few_documents(spark):
     assert pairs < 0.05 * sum(map(len, every.values()))
 
 
+def test_batch_moves_postings_by_block_only(spark, monkeypatch):
+    """Beside few queries postings are dealt by block and added up there; many queries give the same hits."""
+    rng = random.Random(5)
+    docs = [(f"{i:04d}", " ".join(rng.choices([*WORDS, "r1", "r2", "r3"], k=6))) for i in range(400)]
+    index = Index.build(spark.createDataFrame(docs, "doc_id string, title string"), SPECS[:1])
+    rows = [(q, "title", t, q % 4 == 0) for q in range(12) for t in rng.sample(WORDS, 3)] + [(None, "title", "bay", False)]
+    queries = spark.createDataFrame(rows, "query_id int, field string, term string, required boolean")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = bs.search_batch(index, queries, 5)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(block" in plan and "hashpartitioning(field" not in plan
+        few = sorted((r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in few.collect())
+        monkeypatch.setattr(bs, "SMALL_ROWS", 0)
+        assert sorted((r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in bs.search_batch(index, queries, 5).collect()) == few
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_stored_fields_of_hits(spark):
     rows = [("1", "u", "Old bay", 1, ["A", "B"], {"See": "x"}, "rest", {"capital": "C"})]
     docs = spark.createDataFrame(
