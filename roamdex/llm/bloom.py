@@ -30,6 +30,14 @@ BLOCK_BYTES = BLOCK_BITS // 8
 EXACT, STEP = 8, 1.25
 MOST_LEVEL = 127
 
+# Keys that are put in or probed at a time: many enough for numpy's calls, few enough that their arrays stay in the cache.
+AT_A_TIME = 1 << 14
+# Rows of a filter to be built that are put in together: a loop over their levels has a price of its own.
+GATHERED = 1 << 18
+# Probes made of all keys before those that missed are passed over.
+FIRST_PROBES = 2
+_MASK = np.uint64(BLOCK_BITS - 1)
+
 
 def level_of(count: Column) -> Column:
     """Level of a count of 1 or more."""
@@ -48,14 +56,11 @@ def bucket(key: Column) -> Column:
     return F.shiftrightunsigned(key, 55)
 
 
-def _places(keys: np.ndarray, level: int | np.ndarray, blocks: int) -> Iterator[np.ndarray]:
-    """The bits of (key, level), one array for each probe."""
+def _first(keys: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (key, level): the first bit of the key's block; the first probe's bit in it; the step from probe to probe."""
     block = ((keys >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    m = mix(keys + np.asarray(level, np.uint64) * np.uint64(0xD1342543DE82EF95))
-    mask = np.uint64(BLOCK_BITS - 1)
-    a, step = m & mask, (m >> np.uint64(20)) & mask | np.uint64(1)
-    for i in range(PROBES):
-        yield block * np.uint64(BLOCK_BITS) + ((a + np.uint64(i) * step) & mask)
+    m = mix(keys + np.uint64(level * 0xD1342543DE82EF95 & (1 << 64) - 1))
+    return block * np.uint64(BLOCK_BITS), m & _MASK, (m >> np.uint64(20)) & _MASK | np.uint64(1)
 
 
 class Filter:
@@ -65,14 +70,41 @@ class Filter:
         self.blocks = blocks
         self.bits = np.zeros(blocks * BLOCK_BYTES, np.uint8)
 
-    def add(self, keys: np.ndarray, level: int | np.ndarray = 1) -> None:
-        for place in _places(keys, level, self.blocks):
-            np.bitwise_or.at(self.bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+    def add(self, keys: np.ndarray, level: int = 1) -> None:
+        for at in range(0, len(keys), AT_A_TIME):
+            base, bit, step = _first(keys[at : at + AT_A_TIME], level, self.blocks)
+            for i in range(PROBES):
+                place = base + ((bit + np.uint64(i) * step) & _MASK)
+                byte, sign = (place >> np.uint64(3)).view(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
+                # Of bits that share a byte one is set at a time.
+                while len(byte):
+                    self.bits[byte] |= sign
+                    missing = np.flatnonzero(self.bits[byte] & sign == 0)
+                    byte, sign = byte[missing], sign[missing]
+
+    def add_levels(self, keys: np.ndarray, levels: np.ndarray) -> None:
+        """Put each key in with the numbers 1 to its level."""
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            still = levels >= level
+            keys, levels = keys[still], levels[still]
+            self.add(keys, level)
 
     def has(self, keys: np.ndarray, level: int = 1) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for place in _places(keys, level, self.blocks):
-            found &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+        found = np.zeros(len(keys), bool)
+        bits = self.bits.view("<u8")
+        for at in range(0, len(keys), AT_A_TIME):
+            base, bit, step = _first(keys[at : at + AT_A_TIME], level, self.blocks)
+            # Bit 0 of a key's number stays 1 as long as its probes hit.
+            hit = np.ones(len(base), np.uint64)
+            keys_left = np.arange(at, at + len(base))
+            for i in range(PROBES):
+                if i == FIRST_PROBES:
+                    left = np.flatnonzero(hit & np.uint64(1))
+                    keys_left, hit, base, bit, step = (x[left] for x in (keys_left, hit, base, bit, step))
+                place = base + bit
+                hit &= bits[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63))
+                bit = (bit + step) & _MASK
+            found[keys_left] = (hit & np.uint64(1)).astype(bool)
         return found
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -93,16 +125,27 @@ def blocks_for(items: int, most_bytes: int) -> int:
     return max(1, min(wanted, most_bytes // BLOCK_BYTES))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``key`` and ``level`` of batches that are put together until they have so many rows."""
+    keys, levels, n = [], [], 0
+    for batch in batches:
+        keys.append(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64))
+        levels.append(batch.column("level").to_numpy(zero_copy_only=False))
+        n += batch.num_rows
+        if n >= rows:
+            yield np.concatenate(keys), np.concatenate(levels)
+            keys, levels, n = [], [], 0
+    if n:
+        yield np.concatenate(keys), np.concatenate(levels)
+
+
 def build(items: DataFrame, blocks: int, dealt: bool = False) -> Filter:
     """Filter of ``key`` (bigint) and ``level`` (1 or more). ``dealt`` says that the rows lie by their buckets already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Filter(blocks)
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-            levels = batch.column("level").to_numpy(zero_copy_only=False)
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                own.add(keys[levels >= level], level)
+        for keys, levels in _gathered(batches, GATHERED):
+            own.add_levels(keys, levels)
         parts = own.bits.reshape(blocks, BLOCK_BYTES)
         for k in np.flatnonzero(parts.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([parts[k].tobytes()])], ["block", "bits"])

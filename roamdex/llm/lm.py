@@ -107,17 +107,34 @@ class Model:
         self.grams, self.least, self.total, self.different = grams, least, total, different
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
+        # The commonest words have the highest levels, which cost most probes: they are read once.
+        self.levels = grams.levels(self.words).astype(np.int8)
         self.read_as = bloom.count_of()
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + ADD) / (self.total + ADD * (self.different + 1)))
 
-    def common(self, words: np.ndarray) -> np.ndarray:
-        """Exact counts of words; -1 for those that are not among the commonest."""
+    def _place(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words are among the commonest, and which of them are."""
         if not len(self.words):
-            return np.full(len(words), -1)
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], -1)
+        return at, self.words[at] == words
+
+    def common(self, words: np.ndarray) -> np.ndarray:
+        """Exact counts of words; -1 for those that are not among the commonest."""
+        at, here = self._place(words)
+        out = np.full(len(words), -1, np.int64)
+        out[here] = self.counts[at[here]]
+        return out
+
+    def word_levels(self, words: np.ndarray) -> np.ndarray:
+        """Levels of words as the filter has them."""
+        at, here = self._place(words)
+        out = np.zeros(len(words), np.int64)
+        out[here] = self.levels[at[here]]
+        out[~here] = self.grams.levels(words[~here])
+        return out
 
     def probed(self, keys: np.ndarray) -> np.ndarray:
         """Counts of n-grams as the filter has them."""
@@ -128,19 +145,20 @@ class Model:
 
     def log_shares(self, tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
         """log10 P of each token after the one before it, of what the filter has."""
-        return self.read(tokens, before)[0]
-
-    def read(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
-        """log10 P of each token after the one before it; the pair's key; the levels of the token, of the one before and of
-        the pair, -1 where the n-gram may be among those left out of the filter."""
-        words, word = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        of_word = self.grams.levels(words)
-        pairs, pair = np.unique(ngrams.paired(before, tokens), return_inverse=True)
+        words, at = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+        return self.read(words, at[: len(tokens)], at[len(tokens) :])[0]
+
+    def read(self, words: np.ndarray, word: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of tokens and those before them, as places in ``words``: log10 P of each token after the one before it; the pair's
+        key; the levels of the token, of the one before and of the pair, -1 where the n-gram may be among those left out of
+        the filter."""
+        of_word = self.word_levels(words)
+        pairs, pair = np.unique(ngrams.paired(words[prior], words[word]), return_inverse=True)
         of_pair = self.grams.levels(pairs)
         # A level is never read too low: what is read below the least one is not in, or by a false positive.
         for levels, least in ((of_word, self.least[0]), (of_pair, self.least[1])):
             levels[levels < least] = -1 if least > 1 else 0
-        own, history, both = of_word[word[: len(tokens)]], of_word[word[len(tokens) :]], of_pair[pair]
+        own, history, both = of_word[word], of_word[prior], of_pair[pair]
         if self.least[1] > 1:
             both[(own == 0) | (history == 0)] = 0
         n_own, n_history, together = (self.read_as[np.maximum(x, 0)] for x in (own, history, both))
@@ -260,10 +278,14 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
             n = batch.num_rows
             texts = batch.column("text").cast(pa.binary())
             tokens, before, owner = _tokens(texts)
-            read = model.read(tokens, before)
+            words, word = np.unique(tokens, return_inverse=True)
+            # The word before a token is the token before it, but for a text's first.
+            prior = np.empty_like(word)
+            prior[1:] = word[:-1]
+            prior[np.flatnonzero(np.diff(owner, prepend=-1))] = len(words)
+            read = model.read(np.append(words, _BEGIN), word, prior)
             closed = np.minimum(np.minimum(read[2], read[3]), read[4]) >= 0
             score = np.bincount(owner[closed], read[0][closed], n).astype(float)
-            words, word = np.unique(tokens, return_inverse=True)
             count = model.common(words)
             here = count[word] >= 0
             base = np.bincount(owner[here], model.base(np.maximum(count, 0))[word[here]], n).astype(float)

@@ -290,3 +290,45 @@ def test_lm_left_out_of_the_filter(spark, documents, most, common):
     close = [math.isclose(r["score"], expected[r["doc_id"], r["n_tokens"]], rel_tol=1e-9) for r in got]
     assert all(math.isclose(r["score"], expected[r["doc_id"], r["n_tokens"]], rel_tol=0.02) for r in got)
     assert sum(close) > 0.95 * len(got)
+
+
+def test_lm_reads_common_words_once(monkeypatch):
+    """Levels of the commonest words are read when the model is made: scoring texts asks the filter for the others."""
+    rng = np.random.default_rng(5)
+    words = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))
+    levels = rng.integers(1, 40, len(words))
+    grams = bloom.Filter(bloom.blocks_for(int(levels.sum()), 1 << 27))
+    grams.add_levels(words, levels)
+    model = lm.Model(grams, (1, 1), 10**6, len(words), words[::2], 2 ** np.arange(len(words[::2])) % 1000 + 1)
+    expected, asked, levels_of = grams.levels(words), [], bloom.Filter.levels
+    monkeypatch.setattr(bloom.Filter, "levels", lambda self, keys: asked.append(keys) or levels_of(self, keys))
+    assert model.word_levels(words).tolist() == expected.tolist()
+    assert np.concatenate(asked).tolist() == words[1::2].tolist()
+
+
+def test_filter_bits_are_plain():
+    """Bits and answers of a filter, keys put in many at a time, against one key at a time; some share bytes, some repeat."""
+    rng = np.random.default_rng(6)
+    keys = np.concatenate([rng.integers(0, 1 << 64, 300, dtype=np.uint64), np.arange(300, dtype=np.uint64)])
+    keys = np.concatenate([keys, keys[:50]])
+    levels = rng.integers(1, 12, len(keys))
+    many, one = bloom.Filter(2), bloom.Filter(2)
+    many.add_levels(keys, levels)
+    for key, level in zip(keys.tolist(), levels.tolist()):
+        for n in range(1, level + 1):
+            m = int(ngrams.mix(np.array([(key + n * 0xD1342543DE82EF95) % (1 << 64)], np.uint64))[0])
+            first = ((key >> 32) * 2 >> 32) * bloom.BLOCK_BITS
+            for i in range(bloom.PROBES):
+                place = first + (m % bloom.BLOCK_BITS + i * (m >> 20 & bloom.BLOCK_BITS - 1 | 1)) % bloom.BLOCK_BITS
+                one.bits[place >> 3] |= 1 << (place & 7)
+    assert (many.bits == one.bits).all()
+    assert (many.levels(keys) >= levels).all() and not many.has(np.zeros(0, np.uint64)).size
+
+
+def test_filter_rows_are_put_in_together():
+    """Arrow batches of a few rows are put in many at a time, as a loop over levels has a price for each call."""
+    batches = [pa.record_batch({"key": pa.array([i, -i], pa.int64()), "level": pa.array([1, 2], pa.int8())}) for i in range(1000)]
+    parts = list(bloom._gathered(iter(batches), 1500))
+    assert [len(keys) for keys, _ in parts] == [1500, 500]
+    assert np.concatenate([k for k, _ in parts]).view(np.int64).tolist() == [s * i for i in range(1000) for s in (1, -1)]
+    assert list(bloom._gathered(iter([]), 10)) == []
