@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +26,26 @@ def write_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def pack_pages(spark: SparkSession, files: str, path: str) -> None:
-    """A folder of crawled files, one per page, to a packed store. Keys are made of the URLs, whatever the files' names."""
-    pages = readers.read_page_files(spark, files)
-    write_pages(pages.withColumn("url_key", urls.url_key(F.col("link"))), path)
+    """A folder of crawled files, one per page, to a packed store. Keys are made of the URLs, whatever the files' names.
+
+    The pages are kept on the executors' disks, so that each file is opened once: ranges are drawn from a pass of their own.
+    """
+    pages = readers.read_page_files(spark, files).withColumn("url_key", urls.url_key(F.col("link")))
+    pages = pages.persist(StorageLevel.DISK_ONLY)
+    try:
+        write_pages(pages, path)
+    finally:
+        pages.unpersist()
+
+
+# On a local or mounted folder each file would get a checksum file beside it, and each of the two a process that sets its
+# mode. Other file systems do not look at these settings.
+_PLAIN_LOCAL = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def write_page_files(pages: DataFrame, path: str) -> None:
     """One file per page, as a crawl leaves them: the URL line, then the HTML. Files are named by Spark."""
-    pages.select("raw").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+    pages.select("raw").write.options(**_PLAIN_LOCAL).option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "append") -> None:

@@ -82,6 +82,40 @@ def test_page_files(spark, tmp_path):
     assert readers.fetched_keys(readers.read_pages(spark, str(tmp_path / "pages"))).count() == 2
 
 
+def test_page_files_are_one_file_a_page(spark, tmp_path):
+    """A local folder gets the pages and Spark's mark that all are there: no checksum file beside each."""
+    raw = [f"https://a.b/{i}\n<p>é</p>\n" for i in range(5)]
+    writers.write_page_files(spark.createDataFrame([(r,) for r in raw], "raw string").coalesce(1), str(tmp_path / "files"))
+    names = [f.name for f in (tmp_path / "files").iterdir() if f.name != "_SUCCESS"]
+    assert len(names) == 5 and not [n for n in names if n.endswith(".crc")]
+    assert sorted(r.raw for r in readers.read_page_files(spark, str(tmp_path / "files")).collect()) == [r + "\n" for r in raw]
+
+
+def test_pack_pages_opens_files_once(spark, tmp_path, monkeypatch):
+    """The pass that ranges are drawn from does not open the files again, and nothing stays behind."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for i in range(40):
+        (folder / f"k{i}.txt").write_text(f"https://a.b/{i}\nx")
+    opened, read = spark.sparkContext.accumulator(0), readers.read_page_files
+
+    def counted(*args):
+        pages = read(*args)
+
+        def run(batches):
+            for batch in batches:
+                opened.add(batch.num_rows)
+                yield batch
+
+        return pages.mapInArrow(run, pages.schema)
+
+    monkeypatch.setattr(readers, "read_page_files", counted)
+    writers.pack_pages(spark, str(folder), str(tmp_path / "store"))
+    assert sorted(r.link for r in readers.read_pages(spark, str(tmp_path / "store")).collect()) == sorted(f"https://a.b/{i}" for i in range(40))
+    assert opened.value == 40
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_keywords_and_seeds(spark, tmp_path):
     path = tmp_path / "k.txt"
     path.write_text("Tea\n Togo \nTea\n", encoding="utf-8")
