@@ -164,13 +164,15 @@ def read_state_json(
     placed = placed.select((F.col("_block") + F.col("_row") - F.col("_first")).alias("seq"), "value")
     has_key = F.col("value").rlike(_KEY)
     marks = placed.where(has_key).select("seq", F.regexp_extract("value", _KEY, 1).alias("key")).collect()
-    section = F.lit(None).cast("string")
+    section, begin, begins = F.lit(None).cast("string"), F.lit(0), {}
     for mark in sorted(marks, key=lambda m: m["seq"]):
-        section = F.when(F.col("seq") >= mark["seq"], F.lit(mark["key"])).otherwise(section)
+        behind = F.col("seq") >= mark["seq"]
+        section = F.when(behind, F.lit(mark["key"])).otherwise(section)
+        begin = F.when(behind, F.lit(begins.setdefault(mark["key"], mark["seq"]))).otherwise(begin)
     # The string of a record that holds a key is the one after the key; an empty list has none.
     own = F.when(has_key, F.concat(F.lit("\n"), F.regexp_replace("value", _KEY, ""))).otherwise(F.concat(F.lit('"'), "value"))
     raw = F.regexp_extract(own, rf'(?s)^\s*"({_STRING})"', 1)
-    strings = placed.where(own.rlike(r'^\s*"')).select(section.alias("_key"), raw.alias("_raw"), "seq")
+    strings = placed.where(own.rlike(r'^\s*"')).select(section.alias("_key"), raw.alias("_raw"), (F.col("seq") - begin).alias("seq"))
     plain = F.get(F.from_json(F.concat(F.lit('["'), "_raw", F.lit('"]')), "array<string>"), F.lit(0))
     urls = F.when(F.contains("_raw", F.lit("\\")), plain).otherwise(F.col("_raw"))
     strings = strings.select("_key", urls.alias("url"), F.col("seq").cast("bigint").alias("seq"))
